@@ -423,3 +423,87 @@ def with_models(select: str, needs: list[str], history: bool = False) -> str:
         stack.extend(deps[n])
     parts = [f"{n} AS ({sql})" for n, sql, _ in ctes if n in want]
     return ("WITH " + ",\n".join(parts) + "\n" + select) if parts else select
+
+
+# ---- checks -----------------------------------------------------------------
+
+def cte_name(relation: str) -> str:
+    silver = {"customer", "orders", "lineitem", "part", "supplier", "partsupp", "nation", "region"}
+    return f"silver_{relation}" if relation in silver else relation
+
+
+def _scoped(rel: str, where: str | None, extra: str | None = None) -> str:
+    conds = [c for c in (f"({where})" if where else None, extra) if c]
+    return f"SELECT * FROM {rel}" + (f" WHERE {' AND '.join(conds)}" if conds else "")
+
+
+def check_failing_rows_sql(c) -> str:
+    """Failing rows of one catalogue check (same shapes as the Spark side)."""
+    rel = cte_name(c.relation)
+    col = c.column
+    if c.kind == "not_null":
+        return _scoped(rel, c.where, f"{col} IS NULL")
+    if c.kind == "unique":
+        return (f"SELECT {col} AS unique_field, count(*) AS n_records FROM ({_scoped(rel, c.where)}) "
+                f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1")
+    if c.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in c.args["values"])
+        return (f"SELECT {col} AS value_field, count(*) AS n_records FROM ({_scoped(rel, c.where)}) "
+                f"WHERE {col} NOT IN ({vals}) GROUP BY {col}")
+    if c.kind == "relationships":
+        parent, fld = cte_name(c.args["to"]), c.args["field"]
+        return (f"SELECT * FROM ({_scoped(rel, c.where)}) ch WHERE ch.{col} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {parent} p WHERE p.{fld} = ch.{col})")
+    if c.kind == "unique_combination":
+        cols = ", ".join(c.args["columns"])
+        return (f"SELECT {cols}, count(*) AS n_records FROM ({_scoped(rel, c.where)}) "
+                f"GROUP BY {cols} HAVING count(*) > 1")
+    if c.kind == "expression_is_true":
+        text = f"{col} {c.args['expression']}" if col else c.args["expression"]
+        return _scoped(rel, c.where, f"NOT ({text})")
+    if c.kind == "positive_value":
+        op = "<" if c.args.get("allow_zero") else "<="
+        return _scoped(rel, c.where, f"{col} IS NOT NULL AND {col} {op} 0")
+    if c.kind == "margin_reconciliation":
+        days, tol = c.args["days"], c.args["tolerance"]
+        return f"""
+        SELECT fwt.t AS fact_windowed_total, rpt.t AS rpt_total, abs(fwt.t - rpt.t) AS discrepancy
+        FROM (SELECT CAST(sum(f.gross_margin) AS DECIMAL(38,2)) AS t
+              FROM {rel} f,
+                   (SELECT max(order_date) AS e, max(order_date) - INTERVAL {days} DAY AS s FROM {rel}) w
+              WHERE f.order_date BETWEEN w.s AND w.e) fwt,
+             (SELECT CAST(sum(total_gross_margin) AS DECIMAL(38,2)) AS t
+              FROM {cte_name(c.args['report'])}) rpt
+        WHERE abs(fwt.t - rpt.t) > {tol}"""
+    raise ValueError(c.kind)
+
+
+def check_needs(c) -> list[str]:
+    needs = [cte_name(c.relation)]
+    if c.kind == "relationships":
+        needs.append(cte_name(c.args["to"]))
+    if c.kind == "margin_reconciliation":
+        needs.append(cte_name(c.args["report"]))
+    return needs
+
+
+def summary_sql(catalogue, layer_of, history: bool = False) -> str:
+    selects, needs = [], set()
+    for i, c in enumerate(catalogue, start=1):
+        if c.kind == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in c.args["values"])
+            count = (f"(SELECT count(DISTINCT {c.column}) FROM "
+                     f"({_scoped(cte_name(c.relation), c.where)}) WHERE {c.column} NOT IN ({vals}))")
+        else:
+            count = f"(SELECT count(*) FROM ({check_failing_rows_sql(c)}))"
+        col = f"'{c.column}'" if c.column else "NULL::VARCHAR"
+        layer = layer_of.get(c.relation, "gold")
+        selects.append(
+            f"SELECT {i} AS check_id, '{layer}' AS layer, '{c.relation}' AS relation, "
+            f"{col} AS column_name, '{c.kind}' AS check_name, '{c.severity}' AS severity, "
+            f"CAST({count} AS BIGINT) AS failures")
+        needs.update(check_needs(c))
+    body = "\nUNION ALL\n".join(selects)
+    final = (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+             f"ELSE 'fail' END AS status FROM ({body}) s")
+    return with_models(final, sorted(needs), history)

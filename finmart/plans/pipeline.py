@@ -54,8 +54,10 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions) -> list[Step]:
     src = Sources(spark, sf_dir)
     out: list[Step] = []
     for t in SOURCE_TABLES:
-        out.append((BRONZE_NAMES[t], [],
-                    lambda m, t=t: bronze(src[t], o.source_system, o.batch_id, o.ingested_at)))
+        out.append((f"src_{t}", [], lambda m, t=t: src[t]))
+        out.append((BRONZE_NAMES[t], [f"src_{t}"],
+                    lambda m, t=t: bronze(m[f"src_{t}"], o.source_system, o.batch_id,
+                                          o.ingested_at)))
 
     def snapshot(m):
         cur = m["tpch_customer"].select(*SNAPSHOT_COLS)
@@ -109,6 +111,7 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions) -> list[Step]:
 
 
 LAYERS = {
+    "source": [f"src_{t}" for t in SOURCE_TABLES],
     "bronze": [BRONZE_NAMES[t] for t in SOURCE_TABLES],
     "snapshot": ["snap_customer_scd2"],
     "silver": ["customer", "orders", "lineitem", "part", "supplier", "partsupp", "nation", "region"],

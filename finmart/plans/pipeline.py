@@ -50,7 +50,10 @@ class BuildOptions:
 Step = tuple[str, list[str], Callable[[dict], DataFrame]]
 
 
-def steps(spark: SparkSession, sf_dir: str, o: BuildOptions) -> list[Step]:
+def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
+          previous_snapshot: DataFrame | None = None) -> list[Step]:
+    """The build steps.  ``previous_snapshot`` (a stored snapshot version)
+    makes the snapshot step an incremental merge of the current extract."""
     src = Sources(spark, sf_dir)
     out: list[Step] = []
     for t in SOURCE_TABLES:
@@ -62,7 +65,8 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions) -> list[Step]:
     def snapshot(m):
         cur = m["tpch_customer"].select(*SNAPSHOT_COLS)
         if not o.history:
-            return scd2_snapshot(None, cur, SNAPSHOT_KEY, SNAPSHOT_CHECK_COLS, o.as_of)
+            return scd2_snapshot(previous_snapshot, cur, SNAPSHOT_KEY, SNAPSHOT_CHECK_COLS,
+                                 o.as_of)
         snap = None
         for as_of, extract in customer_extracts(cur):
             snap = scd2_snapshot(snap, extract, SNAPSHOT_KEY, SNAPSHOT_CHECK_COLS, as_of)
@@ -127,13 +131,14 @@ def _identity(name: str, df: DataFrame) -> DataFrame:
 
 def build_models(spark: SparkSession, sf_dir: str, options: BuildOptions | None = None,
                  materialize: Callable[[str, DataFrame], DataFrame] = _identity,
-                 layer: str | None = None) -> dict[str, DataFrame]:
+                 layer: str | None = None,
+                 previous_snapshot: DataFrame | None = None) -> dict[str, DataFrame]:
     """Build every model in dependency order (``layer`` restricts which
     models are handed to ``materialize``; upstream ones stay lazy)."""
     o = options or BuildOptions()
     selected = set(LAYERS[layer]) if layer else None
     m: dict[str, DataFrame] = {}
-    for name, _deps, fn in steps(spark, sf_dir, o):
+    for name, _deps, fn in steps(spark, sf_dir, o, previous_snapshot):
         df = fn(m)
         m[name] = materialize(name, df) if selected is None or name in selected else df
     return m

@@ -23,7 +23,8 @@ STANDIN_MODULUS = 9901
 STANDIN_OFFSET_CENTS = 100
 
 
-def _align(df: DataFrame, name: str) -> DataFrame:
+def align_source(df: DataFrame, name: str) -> DataFrame:
+    """Project ``df`` onto the canonical columns of source ``name``."""
     present = set(df.columns)
     cols = [F.col(c) if c in present else F.lit(None).cast(t).alias(c)
             for c, t in SOURCE_COLUMNS[name]]
@@ -42,7 +43,7 @@ def partsupp_standin(lineitem: DataFrame) -> DataFrame:
     cents = ((F.col("ps_partkey") * STANDIN_PART_FACTOR + F.col("ps_suppkey") * STANDIN_SUPP_FACTOR)
              % STANDIN_MODULUS + STANDIN_OFFSET_CENTS)
     cost = (cents.cast("decimal(14,0)") / F.lit(100)).cast("decimal(12,2)")
-    return _align(pairs.withColumn("ps_supplycost", cost), "partsupp")
+    return align_source(pairs.withColumn("ps_supplycost", cost), "partsupp")
 
 
 def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,7 +57,7 @@ def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if name != "partsupp":
             raise
         return partsupp_standin(read_source(spark, sf_dir, "lineitem"))
-    return _align(raw, name)
+    return align_source(raw, name)
 
 
 @dataclass

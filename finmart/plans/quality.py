@@ -11,8 +11,6 @@ anti join each.  Nothing is collected: the summary is a DataFrame.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -60,6 +58,14 @@ def check_failures(c: Check, models) -> DataFrame:
     raise ValueError(c.kind)
 
 
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    """Balanced union (a left-deep chain re-analyses the growing plan at every step)."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
 def run_checks(models, catalogue: list[Check] = CATALOGUE,
                relations: set[str] | None = None) -> DataFrame:
     spark = None
@@ -93,7 +99,7 @@ def run_checks(models, catalogue: list[Check] = CATALOGUE,
             parts.append(failing.agg(F.count(F.lit(1)).cast("long").alias("failures"))
                                 .select(F.lit(i).alias("check_id"), "failures"))
 
-    counts = reduce(DataFrame.unionByName, parts)
+    counts = _union_all(parts)
     meta_schema = StructType([StructField("check_id", IntegerType()),
                               StructField("layer", StringType()),
                               StructField("relation", StringType()),

@@ -20,7 +20,7 @@ from finmart.plans.bronze import bronze
 from finmart.session import scratch_path
 from finmart.sources.reader import align_source
 from finmart.streaming.incremental import hwm_ingest, merge_fact_partitions
-from finmart.streaming.stream import refresh_on_new_lines, stream_ingest
+from finmart.streaming.stream import STREAM_BATCH_COL, refresh_on_new_lines, stream_ingest
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -65,7 +65,7 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     target, ckpt = _scratch(spark, "events-stream"), _scratch(spark, "events-stream-ckpt")
     stream_ingest(spark, sf_dir, "events.parquet", schema, target, ckpt)
-    return spark.read.parquet(target).drop(*META_COLUMNS)
+    return spark.read.parquet(target).drop(*META_COLUMNS, STREAM_BATCH_COL)
 
 
 def report_refresh(spark: SparkSession, models, sf_dir: str, days: int = 90) -> DataFrame:

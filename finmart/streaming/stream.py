@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from finmart.functions.metadata import with_ingestion_metadata
 
 
+STREAM_BATCH_COL = "stream_batch"
+
+
 def _file_stream(spark: SparkSession, source_dir: str, pattern: str, schema) -> DataFrame:
     return (spark.readStream.schema(schema).option("pathGlobFilter", pattern)
                  .option("maxFilesPerTrigger", 64).parquet(source_dir))
@@ -26,10 +29,13 @@ def stream_ingest(spark: SparkSession, source_dir: str, pattern: str, schema,
                   target_path: str, checkpoint: str, source_system: str = "stream",
                   available_now: bool = True, processing_time: str | None = None):
     """Land files matching ``pattern`` under ``source_dir`` into ``target_path``
-    (parquet, append) with load metadata.  Returns the finished/started query."""
+    (parquet, one ``stream_batch=<id>`` directory per micro-batch) with load
+    metadata.  Returns the finished/started query."""
     def land(batch: DataFrame, batch_id: int):
+        # One directory per micro-batch, written with overwrite: a batch that
+        # is re-run after a failure replaces its own output (exactly once).
         (with_ingestion_metadata(batch, source_system, f"stream-{batch_id}")
-         .write.mode("append").parquet(target_path))
+         .write.mode("overwrite").parquet(f"{target_path}/{STREAM_BATCH_COL}={batch_id}"))
 
     w = (_file_stream(spark, source_dir, pattern, schema).writeStream
          .foreachBatch(land).option("checkpointLocation", checkpoint))

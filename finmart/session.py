@@ -18,6 +18,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Long-lived sessions run many large plans; keep little per-query history.
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "200",
 }
 
 

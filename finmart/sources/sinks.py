@@ -87,6 +87,16 @@ def table_materializer(spark: SparkSession, warehouse: str,
     return materialize
 
 
+def checkpoint_materializer(name: str, df: DataFrame) -> DataFrame:
+    """``materialize`` hook that freezes every derived model once in the
+    reliable checkpoint folder (raw source scans are left as they are).
+    Used when a lazy build feeds many queries, e.g. a full check run: each
+    model is computed once and later plans start from its files."""
+    if name.startswith("src_"):
+        return df
+    return df.checkpoint(eager=True)
+
+
 # ---- snapshot: append-only versions, never overwrite what is being read ----
 
 SNAPSHOT_VERSION_COL = "snapshot_version"

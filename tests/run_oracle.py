@@ -14,7 +14,7 @@ from finmart import get_spark  # noqa: E402
 
 sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 filters = sys.argv[2:]
-spark = get_spark("local[8]", shuffle_partitions=8)
+spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": os.environ.get("DRIVER_MEMORY", "8g")})
 con = duck(sf_dir)
 qs, sqls = E.queries(), E.oracle_sql()
 bad = 0

@@ -40,23 +40,40 @@ def table_path(warehouse: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{schema_name(MODEL_SCHEMA.get(name))}/{name}"
 
 
-def write_fact(df: DataFrame, path: str, partitions: int | None = None) -> None:
+# Tables bucketed on their join key in a persisted build — the
+# two largest tables meet on order_id, so bucketing both (same count) lets the
+# fact join read them without shuffling either side.
+BUCKETED = {"orders": "order_id", "lineitem": "order_id"}
+
+
+def _writer(df: DataFrame, path: str):
+    return df.write.mode("overwrite").option("path", path)
+
+
+def write_fact(df: DataFrame, path: str, table: str | None = None,
+               partitions: int | None = None) -> None:
     """Persist the fact partitioned by order month and clustered by customer.
 
-    A range repartition on (month, customer_key, order_id) gives evenly
-    sized tasks even when one month or one customer is hot (the order id
-    splits a hot customer), and each task writes sorted files, so the
-    month filter prunes directories and the customer sort keeps row-group
-    statistics tight for customer lookups.
+    A range repartition on (month, customer_key, order_id, line_number) gives
+    evenly sized tasks even when one month, one customer or one order is hot
+    (the trailing keys split it), and each task writes sorted files, so the
+    month filter prunes directories and row-group statistics stay tight for
+    customer lookups.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, "order_year_month_key", "customer_key", "order_id")
-       .sortWithinPartitions("order_year_month_key", "customer_key", "order_id")
-       .write.mode("overwrite").partitionBy("order_year_month_key").parquet(path))
+    keys = ["order_year_month_key", "customer_key", "order_id", "line_number"]
+    w = _writer(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), path) \
+        .partitionBy("order_year_month_key")
+    w.saveAsTable(table) if table else w.parquet(path)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str, table: str | None = None,
+                bucket_by: str | None = None, buckets: int | None = None) -> None:
+    w = _writer(df, path)
+    if bucket_by and table:
+        n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        w = w.bucketBy(n, bucket_by).sortBy(bucket_by)
+    w.saveAsTable(table) if table else w.parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -64,24 +81,42 @@ def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 
 
-def table_materializer(spark: SparkSession, warehouse: str,
-                       views: set[str] = VIEWS) -> Callable[[str, DataFrame], DataFrame]:
+def ensure_schema(spark: SparkSession, warehouse: str, schema: str) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` at the layer's folder of the warehouse."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` "
+              f"LOCATION '{warehouse.rstrip('/')}/{schema}'")
+
+
+def table_materializer(spark: SparkSession, warehouse: str, views: set[str] = VIEWS,
+                       catalog: bool = True,
+                       buckets: int | None = None) -> Callable[[str, DataFrame], DataFrame]:
     """``materialize`` hook for ``build_models``: tables are written and read
-    back; views stay lazy and are registered as temp views."""
+    back; views stay lazy and are registered as temp views.
+
+    With ``catalog`` the layer schemas are databases and every model an
+    external table ``<schema>.<model>`` (bucketed where ``BUCKETED`` says);
+    otherwise plain parquet folders."""
+    made: set[str] = set()
+
     def materialize(name: str, df: DataFrame) -> DataFrame:
         if name.startswith("src_"):
             return df
         if name in views:
             df.createOrReplaceTempView(name)
             return df
+        if name == "snap_customer_scd2":
+            return df  # versioned by write_snapshot_version
         path = table_path(warehouse, name)
+        schema = schema_name(MODEL_SCHEMA.get(name))
+        table = f"`{schema}`.`{name}`" if catalog else None
+        if catalog and schema not in made:
+            ensure_schema(spark, warehouse, schema)
+            made.add(schema)
         if name == "fct_sales_lineitem":
-            write_fact(df, path)
-        elif name == "snap_customer_scd2":
-            return df  # written by the snapshot sink, see write_snapshot_version
+            write_fact(df, path, table)
         else:
-            write_table(df, path)
-        out = read_table(spark, path, df.columns)
+            write_table(df, path, table, BUCKETED.get(name), buckets)
+        out = (spark.table(table) if catalog else spark.read.parquet(path)).select(*df.columns)
         out.createOrReplaceTempView(name)
         return out
     return materialize

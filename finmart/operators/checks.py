@@ -71,10 +71,11 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, field: str,
                   where=None) -> DataFrame:
     """Child rows whose non-null key has no parent row (anti join).
 
-    The parent side is reduced to its distinct keys first; Catalyst
-    broadcasts it when small and sort-merges otherwise.
+    An anti join never multiplies child rows, so the parent keys are not
+    de-duplicated first (that would cost a shuffle); Catalyst broadcasts the
+    parent key column when small and sort-merges otherwise.
     """
-    keys = parent.select(F.col(field).alias("_parent_key")).distinct()
+    keys = parent.select(F.col(field).alias("_parent_key"))
     child = _scope(df, where).filter(F.col(column).isNotNull())
     return child.join(keys, child[column] == keys["_parent_key"], "left_anti")
 

@@ -46,34 +46,37 @@ def table_path(warehouse: str, name: str) -> str:
 BUCKETED = {"orders": "order_id", "lineitem": "order_id"}
 
 
-def _writer(df: DataFrame, path: str):
-    return df.write.mode("overwrite").option("path", path)
+def _save(w, path: str, table: str | None) -> None:
+    """External catalog table at ``path`` when ``table`` is given, else a parquet folder."""
+    if table:
+        w.option("path", path).saveAsTable(table)
+    else:
+        w.parquet(path)
 
 
-def write_fact(df: DataFrame, path: str, table: str | None = None,
-               partitions: int | None = None) -> None:
+def write_fact(df: DataFrame, path: str, table: str | None = None) -> None:
     """Persist the fact partitioned by order month and clustered by customer.
 
-    A range repartition on (month, customer_key, order_id, line_number) gives
-    evenly sized tasks even when one month, one customer or one order is hot
-    (the trailing keys split it), and each task writes sorted files, so the
-    month filter prunes directories and row-group statistics stay tight for
-    customer lookups.
+    ``rebalance`` on the month key lets AQE size the write tasks from the
+    actual data — a hot month is split into several tasks, small months are
+    coalesced — without the extra sampling pass a range repartition needs
+    (which would compute the final join stage twice).  Rows are sorted by
+    (customer_key, order_id) inside each file so row-group statistics stay
+    tight for customer lookups; the month directory prunes date filters.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["order_year_month_key", "customer_key", "order_id", "line_number"]
-    w = _writer(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), path) \
-        .partitionBy("order_year_month_key")
-    w.saveAsTable(table) if table else w.parquet(path)
+    w = (df.hint("rebalance", "order_year_month_key")
+           .sortWithinPartitions("order_year_month_key", "customer_key", "order_id")
+           .write.mode("overwrite").partitionBy("order_year_month_key"))
+    _save(w, path, table)
 
 
 def write_table(df: DataFrame, path: str, table: str | None = None,
                 bucket_by: str | None = None, buckets: int | None = None) -> None:
-    w = _writer(df, path)
+    w = df.write.mode("overwrite")
     if bucket_by and table:
         n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         w = w.bucketBy(n, bucket_by).sortBy(bucket_by)
-    w.saveAsTable(table) if table else w.parquet(path)
+    _save(w, path, table)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -106,8 +106,8 @@ def margin_reconciliation(fact: DataFrame, report: DataFrame, days: int = 90,
     by more than ``tolerance``; a NULL difference passes.  The window is the
     report's: [max(order_date) - days, max(order_date)], inclusive.
     """
-    end = fact.select(F.max("order_date")).scalar()
-    windowed = fact.filter(F.col("order_date").between(F.date_sub(end, days), end))
+    from finmart.plans.reports import windowed_fact
+    windowed = windowed_fact(fact, days)
     f = windowed.agg(F.sum("gross_margin").cast("decimal(38,2)").alias("fact_windowed_total"))
     r = report.agg(F.sum("total_gross_margin").cast("decimal(38,2)").alias("rpt_total"))
     both = f.crossJoin(r)  # two one-row aggregates

@@ -14,25 +14,26 @@ _MEASURES = ["quantity", "extended_price", "discount_amount", "net_revenue", "su
              "gross_margin"]
 
 
-def window_anchor(fact: DataFrame, as_of: dt.date | str | None = None) -> dt.date | None:
-    """The report's window end: the fact's latest order date (or ``as_of``,
-    e.g. today's date for a live source).  One scalar reaches the driver, so
-    the window bounds become literals that prune partitions and row groups."""
-    if as_of is not None:
-        return dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
-    return fact.agg(F.max("order_date")).first()[0]
+def window_bounds(fact: DataFrame, days: int = 90, as_of: dt.date | str | None = None):
+    """(start, end) of the report window as Columns: end = the fact's latest
+    order date — a scalar subquery, so the report stays a view that is
+    recomputed at read — or ``as_of`` (e.g. today's date for a live source)."""
+    end = (F.lit(str(as_of)).cast("date") if as_of is not None
+           else fact.select(F.max("order_date")).scalar())
+    return F.date_sub(end, days), end
 
 
 def windowed_fact(fact: DataFrame, days: int = 90, as_of=None) -> DataFrame:
-    """Fact rows with order_date in [end - days, end] (inclusive both ends)."""
-    end = window_anchor(fact, as_of)
-    if end is None:
-        return fact.filter(F.lit(False))
-    start = end - dt.timedelta(days=days)
-    cond = F.col("order_date").between(F.lit(start), F.lit(end))
+    """Fact rows with order_date in [end - days, end] (inclusive both ends).
+
+    The redundant month-key range lets a month-partitioned fact prune
+    directories at run time (partition filters may hold scalar subqueries);
+    the date range is pushed into the parquet scan as a runtime filter.
+    """
+    start, end = window_bounds(fact, days, as_of)
+    cond = F.col("order_date").between(start, end)
     if "order_year_month_key" in fact.columns:
-        # Redundant with the date range; lets a month-partitioned fact prune.
-        ym = lambda d: d.year * 100 + d.month
+        ym = lambda d: F.year(d) * 100 + F.month(d)
         cond = cond & F.col("order_year_month_key").between(ym(start), ym(end))
     return fact.filter(cond)
 

@@ -45,6 +45,10 @@ class BuildOptions:
     source_system: str = "TPCH_SF1"
     batch_id: str = FIXED_BATCH_ID
     ingested_at: str | None = FIXED_INGESTED_AT
+    # Persisted builds only: write silver orders/lineitem bucketed by order_id.
+    # Off by default — a bucketed join reads each bucket in one task, so a hot
+    # order key could not be split by AQE's skew handling.
+    bucketed: bool = False
 
 
 Step = tuple[str, list[str], Callable[[dict], DataFrame]]

@@ -40,9 +40,9 @@ def table_path(warehouse: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{schema_name(MODEL_SCHEMA.get(name))}/{name}"
 
 
-# Tables bucketed on their join key in a persisted build — the
-# two largest tables meet on order_id, so bucketing both (same count) lets the
-# fact join read them without shuffling either side.
+# Tables bucketed on their join key when a persisted build asks
+# for it — the two largest tables meet on order_id, so bucketing both (same
+# count) lets the fact join read them without shuffling either side.
 BUCKETED = {"orders": "order_id", "lineitem": "order_id"}
 
 
@@ -91,14 +91,16 @@ def ensure_schema(spark: SparkSession, warehouse: str, schema: str) -> None:
 
 
 def table_materializer(spark: SparkSession, warehouse: str, views: set[str] = VIEWS,
-                       catalog: bool = True,
+                       catalog: bool = True, bucketed: bool = False,
                        buckets: int | None = None) -> Callable[[str, DataFrame], DataFrame]:
     """``materialize`` hook for ``build_models``: tables are written and read
     back; views stay lazy and are registered as temp views.
 
     With ``catalog`` the layer schemas are databases and every model an
     external table ``<schema>.<model>`` (bucketed where ``BUCKETED`` says);
-    otherwise plain parquet folders."""
+    otherwise plain parquet folders.  ``bucketed`` buckets the tables named in
+    ``BUCKETED`` (opt-in: it removes the largest shuffle but gives up AQE's
+    skew splitting on that join)."""
     made: set[str] = set()
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
@@ -118,7 +120,7 @@ def table_materializer(spark: SparkSession, warehouse: str, views: set[str] = VI
         if name == "fct_sales_lineitem":
             write_fact(df, path, table)
         else:
-            write_table(df, path, table, BUCKETED.get(name), buckets)
+            write_table(df, path, table, BUCKETED.get(name) if bucketed else None, buckets)
         out = (spark.table(table) if catalog else spark.read.parquet(path)).select(*df.columns)
         out.createOrReplaceTempView(name)
         return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,18 +31,17 @@ def calendar_bounds(spark, start: str = CALENDAR_START, end: str | None = CALEND
 
     With ``end=None`` the end is derived from the data: January 1st of the
     year after the latest date found in the ``cover`` frames (each a single
-    date column), so the calendar always covers the facts it keys.
+    date column), so the calendar always covers the facts it keys.  The
+    latest date is one map-side-combined max over the union of the columns.
     """
     if end is not None:
         return spark.range(1).select(F.lit(start).cast("date").alias("start"),
                                      F.lit(end).cast("date").alias("end"))
-    maxes = None
-    for df in cover:
-        m = df.agg(F.max(df.columns[0]).alias("m"))
-        maxes = m if maxes is None else maxes.crossJoin(m.withColumnRenamed("m", f"m{id(m)}"))
-    latest = F.greatest(*[F.col(c) for c in maxes.columns]) if len(maxes.columns) > 1 else F.col("m")
-    return maxes.select(F.lit(start).cast("date").alias("start"),
-                        F.make_date(F.year(latest) + 1, F.lit(1), F.lit(1)).alias("end"))
+    dates = reduce(DataFrame.unionByName,
+                   [df.select(F.col(df.columns[0]).alias("d")) for df in cover])
+    latest = F.max("d")
+    return dates.agg(F.lit(start).cast("date").alias("start"),
+                     F.make_date(F.year(latest) + 1, F.lit(1), F.lit(1)).alias("end"))
 
 
 def dim_date(bounds: DataFrame) -> DataFrame:

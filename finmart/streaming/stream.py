@@ -12,7 +12,6 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from finmart.functions.metadata import with_ingestion_metadata
 

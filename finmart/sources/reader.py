@@ -7,6 +7,7 @@ the scan), missing ones become typed NULL literals (constant-folded, no I/O).
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -51,13 +52,20 @@ def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in SOURCE_COLUMNS:
         raise KeyError(f"unknown source table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name == "partsupp" and not _exists(spark, path):
+        return partsupp_standin(read_source(spark, sf_dir, "lineitem"))
+    return align_source(spark.read.parquet(path), name)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    local = path[7:] if path.startswith("file:") else (None if "://" in path else path)
+    if local is not None:
+        return os.path.exists(local)
     try:
-        raw = spark.read.parquet(path)
+        spark.read.parquet(path).schema  # remote store: ask the reader
+        return True
     except AnalysisException:
-        if name != "partsupp":
-            raise
-        return partsupp_standin(read_source(spark, sf_dir, "lineitem"))
-    return align_source(raw, name)
+        return False
 
 
 @dataclass

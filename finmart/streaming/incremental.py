@@ -81,8 +81,8 @@ def source_freshness(tables: dict[str, DataFrame], now: str | None = None,
               .select(F.lit(name).alias("table_name"), "max_loaded_at")
             for name, df in tables.items()]
     out = reduce(DataFrame.unionByName, rows)
-    micros = (F.unix_micros(now_col.cast("timestamp"))
-              - F.unix_micros(F.col("max_loaded_at").cast("timestamp")))
+    # Wall-clock difference of two timestamp_ntz values (no time zone, no DST).
+    micros = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now_col)
     age = micros.cast("decimal(20,0)") / F.lit(3600 * 1_000_000).cast("decimal(12,0)")
     out = out.withColumn("age_hours", age.cast("decimal(18,2)"))
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))

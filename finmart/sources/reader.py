@@ -58,7 +58,12 @@ def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    local = path[7:] if path.startswith("file:") else (None if "://" in path else path)
+    if path.startswith("file://"):
+        local = path[len("file://"):]
+    elif path.startswith("file:"):
+        local = path[len("file:"):]
+    else:
+        local = None if "://" in path else path
     if local is not None:
         return os.path.exists(local)
     try:

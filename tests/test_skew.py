@@ -18,6 +18,8 @@ CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.shuffle.partitions": "16",
 }
 
 

@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of data no longer referenced are removed (the shared
+    # checkpoint folder does not grow with every run).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Long-lived sessions run many large plans; keep little per-query history.
     "spark.sql.ui.retainedExecutions": "20",
     "spark.ui.retainedJobs": "100",

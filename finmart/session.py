@@ -52,7 +52,7 @@ def get_spark(master: str | None = None, app: str = "finmart",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.conf.get("spark.master", "").startswith("local")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -63,7 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     a fresh temporary folder — a machine-local folder is useless on a cluster,
     so there we fail loudly instead.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -107,10 +107,14 @@ def margin_reconciliation(fact: DataFrame, report: DataFrame, days: int = 90,
     report's: [max(order_date) - days, max(order_date)], inclusive.
     """
     from finmart.plans.reports import windowed_fact
-    windowed = windowed_fact(fact, days)
-    f = windowed.agg(F.sum("gross_margin").cast("decimal(38,2)").alias("fact_windowed_total"))
-    r = report.agg(F.sum("total_gross_margin").cast("decimal(38,2)").alias("rpt_total"))
-    both = f.crossJoin(r)  # two one-row aggregates
+    # Both totals in one aggregation over a tagged union (no join needed).
+    sides = (windowed_fact(fact, days)
+             .select(F.col("gross_margin").cast("decimal(38,2)").alias("_v"), F.lit(1).alias("_s"))
+             .unionByName(report.select(F.col("total_gross_margin").cast("decimal(38,2)")
+                                        .alias("_v"), F.lit(2).alias("_s"))))
+    both = sides.agg(
+        F.sum(F.when(F.col("_s") == 1, F.col("_v"))).cast("decimal(38,2)").alias("fact_windowed_total"),
+        F.sum(F.when(F.col("_s") == 2, F.col("_v"))).cast("decimal(38,2)").alias("rpt_total"))
     diff = F.abs(F.col("fact_windowed_total") - F.col("rpt_total"))
     return (both.select("fact_windowed_total", "rpt_total", diff.alias("discrepancy"))
                 .filter(F.col("discrepancy") > F.lit(tolerance)))

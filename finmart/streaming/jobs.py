@@ -2,8 +2,8 @@
 
 Each job leaves a table whose content must equal a full rebuild — that is
 how they are tested: ``incremental_fact`` (initial load + a late batch
-merged by month), ``events_hwm`` (two high-water-mark loads),
-``events_stream`` (file-stream landing), ``report_refresh`` (a stream over
+merged by month), ``orders_hwm`` (two high-water-mark loads),
+``orders_stream`` (file-stream landing), ``report_refresh`` (a stream over
 lineitem files keeping the fact and the 90-day report current).
 """
 
@@ -48,23 +48,24 @@ def incremental_fact(spark: SparkSession, models, split: str = "2001-01-15",
     return merge_fact_partitions(spark, path, fact_for_lines(models, late))
 
 
-def events_hwm(spark: SparkSession, sf_dir: str, split_fraction: float = 0.5) -> DataFrame:
-    """Two high-water-mark loads of the events table (the first one up to a
-    cut derived from the data's own time range)."""
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+def orders_hwm(spark: SparkSession, sf_dir: str, ts_col: str = "o_orderdate",
+               split_fraction: float = 0.5) -> DataFrame:
+    """Two high-water-mark loads of the orders source: the first up to a cut
+    derived from the data's own date range, the second picks up the rest."""
+    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    lo, hi = orders.agg(F.min(ts_col), F.max(ts_col)).first()
     cut = lo + (hi - lo) * split_fraction if lo is not None else None
-    target = _scratch(spark, "events-hwm")
-    hwm_ingest(spark, events.filter(F.col("ts") < F.lit(cut)) if cut else events, target, "ts")
-    hwm_ingest(spark, events, target, "ts")
-    return spark.read.parquet(target).select(*events.columns)
+    target = _scratch(spark, "orders-hwm")
+    hwm_ingest(spark, orders.filter(F.col(ts_col) < F.lit(cut)) if cut else orders, target, ts_col)
+    hwm_ingest(spark, orders, target, ts_col)
+    return spark.read.parquet(target).select(*orders.columns)
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the events file through a file-stream query (availableNow)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    target, ckpt = _scratch(spark, "events-stream"), _scratch(spark, "events-stream-ckpt")
-    stream_ingest(spark, sf_dir, "events.parquet", schema, target, ckpt)
+def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the orders source through a file-stream query (availableNow)."""
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").schema
+    target, ckpt = _scratch(spark, "orders-stream"), _scratch(spark, "orders-stream-ckpt")
+    stream_ingest(spark, sf_dir, "orders.parquet", schema, target, ckpt)
     return spark.read.parquet(target).drop(*META_COLUMNS, STREAM_BATCH_COL)
 
 

@@ -42,13 +42,13 @@ def test_incremental_fact_equals_full_fact(spark):
 
 
 def test_stream_landing_is_exactly_once_per_batch(spark):
-    first = jobs.events_stream(spark, SF_SMALL)
-    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    assert first.count() == events.count()
-    assert first.exceptAll(events).count() == 0
+    first = jobs.orders_stream(spark, SF_SMALL)
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    assert first.count() == orders.count()
+    assert first.exceptAll(orders).count() == 0
 
 
 def test_hwm_ingest_loads_everything_once(spark):
-    out = jobs.events_hwm(spark, SF_SMALL)
-    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    assert out.count() == events.count() and out.exceptAll(events).count() == 0
+    out = jobs.orders_hwm(spark, SF_SMALL)
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    assert out.count() == orders.count() and out.exceptAll(orders).count() == 0

@@ -1,9 +1,11 @@
 """Type-2 snapshot merge (check strategy, optional hard-delete expiry).
 
-One full outer join of the current extract with the open versions, then each
-joined row emits one or two version rows (the old row, possibly closed, and a
-new open row) through ``inline`` of a two-element array — a single pass over
-the join, no self-union.  Closed history rows are carried through untouched.
+The current extract is left-joined to the open versions; each joined row
+emits one or two version rows (the old row, possibly closed, and a new open
+row) through ``inline`` of a two-element array.  Open versions whose key is
+gone come from a left anti join.  Both are left-side joins, so AQE can split
+a skewed key (a full outer join could not be split).  Closed history rows
+are carried through untouched.
 
 Cases (current ⟗ open on key):
   only in current            → new open version from ``as_of``
@@ -58,23 +60,32 @@ def scd2_snapshot(previous: DataFrame | None, current: DataFrame, key: str,
 
     cur = current.select(F.col(key).alias("_k"), F.struct(*data_cols).alias("c"))
     old = open_.select(F.col(key).alias("_k"), F.struct(*out_cols).alias("o"))
-    j = cur.join(old, "_k", "full_outer")
 
-    in_cur, in_old = F.col("c").isNotNull(), F.col("o").isNotNull()
+    # 1) every current row with its open version, if any (left outer join:
+    #    AQE can split a skewed key on the current side)
+    j = cur.join(old, "_k", "left")
+    in_old = F.col("o").isNotNull()
     same = reduce(lambda a, b: a & b,
                   [F.col(f"c.{c}").cast(types[c]).eqNullSafe(F.col(f"o.{c}")) for c in check_cols])
-    changed = in_cur & in_old & ~same
-    expire = changed | (~in_cur & F.lit(invalidate_hard_deletes))
-
-    old_row = F.when(in_old, F.struct(
-        *[F.col(f"o.{c}").cast(types[c]).alias(c) for c in data_cols],
-        F.col("o.scd_id").alias("scd_id"),
-        F.col("o.scd_updated_at").alias("scd_updated_at"),
-        F.col("o.scd_valid_from").alias("scd_valid_from"),
-        F.when(expire, as_of_ts).otherwise(F.col("o.scd_valid_to")).alias("scd_valid_to")))
-    new_row = F.when(in_cur & (~in_old | changed),
+    changed = in_old & ~same
+
+    def old_version(end):
+        return F.struct(*[F.col(f"o.{c}").cast(types[c]).alias(c) for c in data_cols],
+                        F.col("o.scd_id").alias("scd_id"),
+                        F.col("o.scd_updated_at").alias("scd_updated_at"),
+                        F.col("o.scd_valid_from").alias("scd_valid_from"),
+                        end.alias("scd_valid_to"))
+
+    old_row = F.when(in_old, old_version(F.when(changed, as_of_ts)
+                                         .otherwise(F.col("o.scd_valid_to"))))
+    new_row = F.when(~in_old | changed,
                      _open_row(data_cols, types, "c", key, as_of_ts, as_of_txt))
-
     merged = (j.select(F.inline(F.filter(F.array(old_row, new_row), lambda r: r.isNotNull())))
               .select(*out_cols))
-    return merged.unionByName(closed)
+
+    # 2) open versions whose key is gone from the extract (left anti join):
+    #    closed at as_of when hard deletes expire rows, else kept open
+    gone = old.join(cur.select("_k"), "_k", "left_anti")
+    end = as_of_ts if invalidate_hard_deletes else F.col("o.scd_valid_to")
+    expired = gone.select(old_version(end).alias("r")).select("r.*")
+    return merged.unionByName(expired).unionByName(closed)

@@ -95,9 +95,13 @@ def run_checks(models, catalogue: list[Check] = CATALOGUE,
         for i, c in items:
             if c.kind in ROW_LEVEL:
                 continue
-            failing = check_failures(c, models)
-            parts.append(failing.agg(F.count(F.lit(1)).cast("long").alias("failures"))
-                                .select(F.lit(i).alias("check_id"), "failures"))
+            if c.kind == "relationships":
+                counted = C.relationships_failure_count(rel, c.column, models[c.args["to"]],
+                                                        c.args["field"], c.where)
+            else:
+                counted = check_failures(c, models).agg(
+                    F.count(F.lit(1)).cast("long").alias("failures"))
+            parts.append(counted.select(F.lit(i).alias("check_id"), "failures"))
 
     counts = _union_all(parts)
     meta_schema = StructType([StructField("check_id", IntegerType()),

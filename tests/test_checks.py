@@ -28,3 +28,12 @@ def test_expression_null_is_not_failure_and_where(spark):
     assert C.expression_is_true(df, "between 0 and 1", "r").count() == 1
     assert C.expression_is_true(df, "between 0 and 1", "r", where="cur = true").count() == 0
     assert C.unique_combination(df, ["cur"], where="cur = true").count() == 1
+
+
+def test_relationships_failure_count_matches_rows(spark):
+    child = spark.createDataFrame([(1, True), (2, True), (2, True), (None, True), (3, False)],
+                                  "fk long, keep boolean")
+    parent = spark.createDataFrame([(1,), (1,)], "id long")
+    assert C.relationships_failure_count(child, "fk", parent, "id").first()[0] == 3
+    assert C.relationships_failure_count(child, "fk", parent, "id", where="keep").first()[0] == 2
+    assert C.relationships(child, "fk", parent, "id").count() == 3

@@ -9,7 +9,7 @@ queries leave uncast are published as DECIMAL(18,6).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -44,8 +44,12 @@ def a02_top_customers_90d(rpt90: DataFrame, k: int = 25) -> DataFrame:
 
 
 def a03_latest_month_concentration(seg: DataFrame) -> DataFrame:
-    latest = seg.select(F.max("order_year_month_key")).scalar()
-    return (seg.filter(F.col("order_year_month_key") == latest)
+    # The report has one row per (month, segment) — a size set by the calendar,
+    # not the data volume — so the latest month is a window over it; a scalar
+    # subquery would aggregate the whole fact a second time.
+    latest = F.max("order_year_month_key").over(Window.partitionBy())
+    return (seg.withColumn("_latest", latest)
+               .filter(F.col("order_year_month_key") == F.col("_latest"))
                .select("order_year_month_key", "market_segment", "total_net_revenue",
                        "total_gross_margin", "margin_rate", "revenue_share", "margin_share",
                        "margin_concentration_index")

@@ -66,6 +66,19 @@ def _union_all(parts: list[DataFrame]) -> DataFrame:
     return parts[0]
 
 
+def _contributions(c: Check, i: int, rel: DataFrame, models) -> DataFrame:
+    """Rows (check_id, n) whose sum is the failure count of a set-level check."""
+    cid = F.lit(i).alias("check_id")
+    if c.kind == "relationships":
+        # per-key child counts meet the parent keys (see relationships_failure_count)
+        per_key = (C._scope(rel, c.where).filter(F.col(c.column).isNotNull())
+                   .groupBy(F.col(c.column).alias("_fk")).agg(F.count(F.lit(1)).alias("n")))
+        keys = models[c.args["to"]].select(F.col(c.args["field"]).alias("_parent_key"))
+        orphans = per_key.join(keys, per_key["_fk"] == keys["_parent_key"], "left_anti")
+        return orphans.select(cid, F.col("n").cast("long").alias("n"))
+    return check_failures(c, models).select(cid, F.lit(1).cast("long").alias("n"))
+
+
 def run_checks(models, catalogue: list[Check] = CATALOGUE,
                relations: set[str] | None = None) -> DataFrame:
     spark = None
@@ -87,23 +100,17 @@ def run_checks(models, catalogue: list[Check] = CATALOGUE,
                     aggs.append(F.count_distinct(F.when(cond, F.col(c.column))).alias(f"c{i}"))
                 else:
                     aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"c{i}"))
-            one = rel.agg(*aggs)
             rows = F.array(*[F.struct(F.lit(i).alias("check_id"),
-                                      F.col(f"c{i}").cast("long").alias("failures"))
+                                      F.col(f"c{i}").cast("long").alias("n"))
                              for i, _ in fused])
-            parts.append(one.select(F.inline(rows)))
-        for i, c in items:
-            if c.kind in ROW_LEVEL:
-                continue
-            if c.kind == "relationships":
-                counted = C.relationships_failure_count(rel, c.column, models[c.args["to"]],
-                                                        c.args["field"], c.where)
-            else:
-                counted = check_failures(c, models).agg(
-                    F.count(F.lit(1)).cast("long").alias("failures"))
-            parts.append(counted.select(F.lit(i).alias("check_id"), "failures"))
-
-    counts = _union_all(parts)
+            parts.append(rel.agg(*aggs).select(F.inline(rows)))
+        parts.extend(_contributions(c, i, rel, models) for i, c in items
+                     if c.kind not in ROW_LEVEL)
+
+    # One map-side-combined count per check over all contributions (a single
+    # shuffle instead of one global aggregate per check).
+    counts = (_union_all(parts).groupBy("check_id")
+              .agg(F.sum("n").cast("long").alias("failures")))
     meta_schema = StructType([StructField("check_id", IntegerType()),
                               StructField("layer", StringType()),
                               StructField("relation", StringType()),
@@ -111,10 +118,13 @@ def run_checks(models, catalogue: list[Check] = CATALOGUE,
                               StructField("check_name", StringType()),
                               StructField("severity", StringType())])
     # The catalogue itself (one row per declared check — a fixed, small list).
+    selected = [(i, c) for i, c in enumerate(catalogue, start=1)
+                if relations is None or c.relation in relations]
     meta = spark.createDataFrame(
         [(i, LAYER_OF.get(c.relation, "gold"), c.relation, c.column, c.kind, c.severity)
-         for i, c in enumerate(catalogue, start=1)], meta_schema)
-    out = F.broadcast(meta).join(counts, "check_id", "inner")
+         for i, c in selected], meta_schema)
+    out = meta.join(counts, "check_id", "left").withColumn(
+        "failures", F.coalesce(F.col("failures"), F.lit(0).cast("long")))
     status = (F.when(F.col("failures") == 0, F.lit("pass"))
                .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
     return out.select("check_id", "layer", "relation", "column_name", "check_name", "severity",

@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 @pytest.fixture(scope="session")
 def spark():
     from finmart import get_spark
-    s = get_spark("local[4]", app="finmart-tests", shuffle_partitions=4)
+    s = get_spark("local[4]", app="finmart-tests", shuffle_partitions=4,
+                  extra={"spark.driver.memory": "4g"})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="finmart-test-ckpt-"))
     yield s

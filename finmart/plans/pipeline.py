@@ -152,9 +152,14 @@ class Models:
     """On-demand models: ``models[name]`` builds ``name`` and its ancestors
     only (a bronze query does not build the fact)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, options: BuildOptions | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, options: BuildOptions | None = None,
+                 freeze: frozenset[str] = frozenset()):
+        """``freeze`` names models to checkpoint (reliable checkpoint folder)
+        when first built: later plans start from their files — smaller plans,
+        no recomputation when many queries share them."""
         self.spark, self.sf_dir = spark, sf_dir
         self.options = options or BuildOptions()
+        self.freeze = freeze
         self._steps = {n: (d, f) for n, d, f in steps(spark, sf_dir, self.options)}
         self._m: dict[str, DataFrame] = {}
 
@@ -163,5 +168,10 @@ class Models:
             deps, fn = self._steps[name]
             for d in deps:
                 self[d]
-            self._m[name] = fn(self)
+            df = fn(self)
+            self._m[name] = df.checkpoint(eager=True) if name in self.freeze else df
         return self._m[name]
+
+
+# Models worth freezing when many queries share one lazy model set.
+SHARED_MODELS = frozenset({"snap_customer_scd2", "dim_customer", "fct_sales_lineitem"})

@@ -5,8 +5,11 @@ store keeps).  ``run_checks`` returns one summary row per check —
 check_id, layer, relation, column_name, check_name, severity, failures,
 status — and evaluates all row-level checks of a relation (not_null,
 accepted_values, expression_is_true, positive_value) in ONE aggregation pass
-over it; uniqueness, combinations and relationships are one aggregation /
-anti join each.  Nothing is collected: the summary is a DataFrame.
+over it.  Uniqueness and combinations are one aggregation each;
+relationships count child rows per key before the anti join.  Every
+set-level check contributes (check_id, n) rows to a single map-side-combined
+count, so there is one shuffle for all of them instead of one global
+aggregate per check.  Nothing is collected: the summary is a DataFrame.
 """
 
 from __future__ import annotations

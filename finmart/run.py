@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,11 +63,15 @@ def main(argv=None):
     ap.add_argument("--as-of")
     ap.add_argument("--bucketed", action="store_true",
                     help="bucket silver orders/lineitem by order_id (flat key distributions)")
+    ap.add_argument("--reproducible", action="store_true",
+                    help="fixed load time and batch id instead of now / a fresh run id")
     ap.add_argument("--checks", action="store_true")
     ap.add_argument("--store-failures", action="store_true")
     a = ap.parse_args(argv)
     spark = get_spark()
-    opts = BuildOptions(history=a.history, bucketed=a.bucketed,
+    run_meta = {} if a.reproducible else {"ingested_at": None,
+                                          "batch_id": f"run-{uuid.uuid4().hex[:12]}"}
+    opts = BuildOptions(history=a.history, bucketed=a.bucketed, **run_meta,
                         **({"as_of": a.as_of} if a.as_of else {}))
     models = build(spark, a.data, a.warehouse, opts, a.layer)
     if a.checks:

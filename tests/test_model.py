@@ -65,3 +65,23 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "customer_id" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_missing_unit_cost_stays_null(models):
+    """Lines whose (part, supplier) pair has no unit cost keep supply cost,
+    margin and margin rate NULL (never 0); the other lines are unaffected."""
+    from finmart.plans.gold import fct_sales_lineitem
+    gap = (F.col("part_id") + F.col("supplier_id")) % 97 == 0
+    partsupp = models["partsupp"].filter(~gap)
+    fact = fct_sales_lineitem(models["lineitem"], models["orders"], models["dim_customer"],
+                              partsupp, models["dim_supplier"], models["dim_part"],
+                              models["dim_geography"])
+    li = models["lineitem"].select("part_id", "supplier_id")
+    missing = li.filter(gap).count()
+    assert missing > 0
+    nulls = fact.filter(F.col("supply_cost").isNull()).count()
+    assert nulls == missing
+    assert fact.filter(F.col("supply_cost").isNull() & (F.col("gross_margin").isNotNull()
+                                                        | F.col("margin_rate").isNotNull())).count() == 0
+    full = models["fct_sales_lineitem"]
+    assert fact.count() == full.count()

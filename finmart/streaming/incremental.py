@@ -55,8 +55,10 @@ def merge_fact_partitions(spark: SparkSession, fact_path: str, batch: DataFrame,
 def hwm_ingest(spark: SparkSession, source: DataFrame, target_path: str, ts_col: str) -> int:
     """Append rows of ``source`` with ``ts_col`` above the target's maximum.
 
-    Returns nothing big: the high-water mark is one scalar.  The first call
-    (no target yet) loads everything.
+    Returns the high-water mark used (one scalar; None on the first call,
+    which loads everything).  Rows that arrive later with a timestamp equal
+    to the mark are not picked up — where that can happen, merge on a key
+    (as ``merge_fact_partitions`` does) instead of appending.
     """
     try:
         hwm = spark.read.parquet(target_path).agg(F.max(ts_col)).first()[0]

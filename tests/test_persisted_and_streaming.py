@@ -52,3 +52,11 @@ def test_hwm_ingest_loads_everything_once(spark):
     out = jobs.orders_hwm(spark, SF_SMALL)
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     assert out.count() == orders.count() and out.exceptAll(orders).count() == 0
+
+
+def test_report_refresh_stream_equals_batch_report(spark):
+    m = Models(spark, SF_SMALL)
+    streamed = jobs.report_refresh(spark, m, SF_SMALL)
+    batch = m["rpt_customer_profitability_90d"]
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0

@@ -21,7 +21,7 @@ FIXED_BATCH_ID = "batch-0001"
 SOURCE_SYSTEM = "TPCH_SF1"
 HISTORY_RUNS = ["1995-01-01 00:00:00", "1998-01-01 00:00:00", "2000-01-01 00:00:00"]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-SAMPLE_DIR = "/root/testdata/sf0.01"
+SAMPLE_DIR = os.environ.get("FINMART_ORACLE_SAMPLE", "/root/testdata/sf0.01")
 
 SOURCE = {
     "customer": [("c_custkey", "BIGINT"), ("c_name", "VARCHAR"), ("c_address", "VARCHAR"),

@@ -36,8 +36,7 @@ def build(spark: SparkSession, data_dir: str, warehouse: str,
             return sinks.write_snapshot_version(df, warehouse, o.as_of)
         return mat(name, df)
 
-    sel = layer if layer != "snapshot" else None
-    return build_models(spark, data_dir, o, materialize, sel, previous_snapshot=prev)
+    return build_models(spark, data_dir, o, materialize, layer, previous_snapshot=prev)
 
 
 def run_checks(spark: SparkSession, models: dict, warehouse: str | None = None,

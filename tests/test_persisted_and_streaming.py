@@ -60,3 +60,10 @@ def test_report_refresh_stream_equals_batch_report(spark):
     batch = m["rpt_customer_profitability_90d"]
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_layer_selection_writes_only_that_layer(spark):
+    wh = tempfile.mkdtemp(prefix="finmart-wh-")
+    build(spark, SF_SMALL, wh, layer="snapshot")
+    assert sorted(os.listdir(wh)) == ["silver_customer"]
+    assert os.listdir(os.path.join(wh, "silver_customer")) == ["snap_customer_scd2"]

@@ -5,8 +5,9 @@ store keeps).  ``run_checks`` returns one summary row per check —
 check_id, layer, relation, column_name, check_name, severity, failures,
 status — and evaluates all row-level checks of a relation (not_null,
 accepted_values, expression_is_true, positive_value) in ONE aggregation pass
-over it.  Uniqueness and combinations are one aggregation each;
-relationships count child rows per key before the anti join.  Every
+over it.  A relation's unscoped uniqueness and combination checks share one
+grouping-sets aggregation; relationships count child rows per key before
+the anti join.  Every
 set-level check contributes (check_id, n) rows to a single map-side-combined
 count, so there is one shuffle for all of them instead of one global
 aggregate per check.  Nothing is collected: the summary is a DataFrame.
@@ -82,6 +83,42 @@ def _contributions(c: Check, i: int, rel: DataFrame, models) -> DataFrame:
     return check_failures(c, models).select(cid, F.lit(1).cast("long").alias("n"))
 
 
+def _fused_uniqueness(rel: DataFrame, items: list[tuple[int, Check]]):
+    """All unscoped unique / unique_combination checks of one relation as ONE
+    grouping-sets aggregation (one shuffle instead of one per check).
+
+    Returns (contributions DataFrame, covered check ids), or (None, []) when
+    fewer than two checks qualify.  ``unique`` ignores NULL values; a column
+    combination counts NULLs as values.
+    """
+    sets = [(i, [c.column], True) for i, c in items if c.kind == "unique" and not c.where]
+    sets += [(i, list(c.args["columns"]), False) for i, c in items
+             if c.kind == "unique_combination" and not c.where]
+    if len(sets) < 2:
+        return None, []
+    cols: list[str] = []
+    for _, s, _ in sets:
+        cols += [c for c in s if c not in cols]
+    distinct_sets = []
+    for _, s, _ in sets:
+        if s not in distinct_sets:
+            distinct_sets.append(s)
+
+    def gid(s):  # grouping_id(): bit set for every column not grouped in the set
+        return sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in s)
+
+    groups = (rel.groupingSets(distinct_sets, *cols)
+                 .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid"))
+                 .filter(F.col("_n") > 1))
+    ids = F.array(*[F.when((F.col("_gid") == gid(s))
+                           & (F.col(s[0]).isNotNull() if drop_null else F.lit(True)), F.lit(i))
+                    for i, s, drop_null in sets])
+    out = (groups.select(F.explode(ids).alias("check_id"))
+                 .filter(F.col("check_id").isNotNull())
+                 .select("check_id", F.lit(1).cast("long").alias("n")))
+    return out, [i for i, _, _ in sets]
+
+
 def run_checks(models, catalogue: list[Check] = CATALOGUE,
                relations: set[str] | None = None) -> DataFrame:
     spark = None
@@ -107,8 +144,11 @@ def run_checks(models, catalogue: list[Check] = CATALOGUE,
                                       F.col(f"c{i}").cast("long").alias("n"))
                              for i, _ in fused])
             parts.append(rel.agg(*aggs).select(F.inline(rows)))
+        fused_sets, covered = _fused_uniqueness(rel, items)
+        if fused_sets is not None:
+            parts.append(fused_sets)
         parts.extend(_contributions(c, i, rel, models) for i, c in items
-                     if c.kind not in ROW_LEVEL)
+                     if c.kind not in ROW_LEVEL and i not in covered)
 
     # One map-side-combined count per check over all contributions (a single
     # shuffle instead of one global aggregate per check).

@@ -37,3 +37,23 @@ def test_relationships_failure_count_matches_rows(spark):
     assert C.relationships_failure_count(child, "fk", parent, "id").first()[0] == 3
     assert C.relationships_failure_count(child, "fk", parent, "id", where="keep").first()[0] == 2
     assert C.relationships(child, "fk", parent, "id").count() == 3
+
+
+def test_fused_uniqueness_matches_individual_checks(spark):
+    from pyspark.sql import functions as F
+
+    from finmart.plans.catalogue import Check
+    from finmart.plans.quality import _fused_uniqueness
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "c"), (None, "c"),
+                                (None, None), (None, None)], "x long, y string")
+    checks = [(1, Check("t", "x", "unique")), (2, Check("t", "y", "unique")),
+              (3, Check("t", None, "unique_combination", {"columns": ["x", "y"]})),
+              (4, Check("t", "x", "unique"))]
+    out, covered = _fused_uniqueness(df, checks)
+    got = {r["check_id"]: r["n"] for r in out.groupBy("check_id").agg(F.sum("n").alias("n"))
+           .collect()}
+    assert covered == [1, 2, 4, 3]
+    # unique x: value 1 (NULLs ignored); unique y: a and c; combination: (NULL,c), (NULL,NULL)
+    assert got == {1: 1, 4: 1, 2: 2, 3: 2}
+    assert C.unique(df, "x").count() == 1 and C.unique(df, "y").count() == 2
+    assert C.unique_combination(df, ["x", "y"]).count() == 2

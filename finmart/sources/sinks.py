@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -155,7 +156,7 @@ def read_latest_snapshot(spark: SparkSession, warehouse: str) -> DataFrame | Non
     root = snapshot_root(warehouse)
     try:
         versions = spark.read.parquet(root)
-    except Exception:  # noqa: BLE001 - no snapshot written yet
+    except AnalysisException:  # no snapshot written yet
         return None
     latest = versions.agg(F.max(SNAPSHOT_VERSION_COL)).first()[0]
     return versions.filter(F.col(SNAPSHOT_VERSION_COL) == latest).drop(SNAPSHOT_VERSION_COL)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def merge_fact_partitions(spark: SparkSession, fact_path: str, batch: DataFrame,
     batch = batch.checkpoint(eager=True)
     try:
         existing = spark.read.parquet(fact_path)
-    except Exception:  # noqa: BLE001 - first load: nothing to merge with
+    except AnalysisException:  # first load: nothing to merge with
         batch.write.mode("overwrite").partitionBy(partition).parquet(fact_path)
         return spark.read.parquet(fact_path).select(*columns)
     # Months touched by the batch: at most one row per calendar month.
@@ -62,7 +63,7 @@ def hwm_ingest(spark: SparkSession, source: DataFrame, target_path: str, ts_col:
     """
     try:
         hwm = spark.read.parquet(target_path).agg(F.max(ts_col)).first()[0]
-    except Exception:  # noqa: BLE001 - target does not exist yet
+    except AnalysisException:  # target does not exist yet
         hwm = None
     new = source if hwm is None else source.filter(F.col(ts_col) > F.lit(hwm))
     new.write.mode("append").parquet(target_path)

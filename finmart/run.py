@@ -1,16 +1,18 @@
 """Build the model into a warehouse folder and run the checks.
 
     python -m finmart.run --data /path/to/sources --warehouse /shared/wh \
-        [--layer bronze|silver|gold] [--history] [--checks] [--store-failures]
+        [--layer source|bronze|snapshot|silver|gold] [--history] [--as-of TS]
+        [--bucketed] [--reproducible] [--checks] [--store-failures]
 
 A build is one snapshot run: the previous snapshot version (if any) is read
 from the warehouse, merged with the current customer extract as of
-``--as-of`` and written as a new version.
+``--as-of`` (default: now, UTC) and written as a new version.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import uuid
 
@@ -68,10 +70,12 @@ def main(argv=None):
     ap.add_argument("--store-failures", action="store_true")
     a = ap.parse_args(argv)
     spark = get_spark()
-    run_meta = {} if a.reproducible else {"ingested_at": None,
-                                          "batch_id": f"run-{uuid.uuid4().hex[:12]}"}
-    opts = BuildOptions(history=a.history, bucketed=a.bucketed, **run_meta,
-                        **({"as_of": a.as_of} if a.as_of else {}))
+    run_meta = {} if a.reproducible else {
+        "ingested_at": None, "batch_id": f"run-{uuid.uuid4().hex[:12]}",
+        "as_of": dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")}
+    if a.as_of:
+        run_meta["as_of"] = a.as_of
+    opts = BuildOptions(history=a.history, bucketed=a.bucketed, **run_meta)
     models = build(spark, a.data, a.warehouse, opts, a.layer)
     if a.checks:
         rows = run_checks(spark, models, a.warehouse, a.store_failures)

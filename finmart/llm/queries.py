@@ -3,18 +3,25 @@ the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from finmart.llm.common import table
+from finmart.llm.common import table, workers_find_package
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
-    return f
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers_find_package(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 @query
@@ -22,3 +29,15 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from finmart.llm.token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"),
                         public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+@query
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.html_extract import extract_main_text
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.simhash_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -41,3 +41,17 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from finmart.llm.simhash_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.mixing import mixed
+    return mixed(table(spark, sf_dir, "documents"))
+
+
+def _oracles() -> None:
+    from finmart.llm import mixing
+    ORACLE_SQL["op9_curriculum_mix"] = mixing.ORACLE
+
+
+_oracles()

@@ -43,6 +43,12 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.packing import packed
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from finmart.llm.mixing import mixed

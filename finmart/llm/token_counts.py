@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.common import only_columns, text_slices
+from finmart.llm.common import byte_symbols, only_columns, text_slices
 
 #: Entries of each look-up table of a worker before it starts afresh.
 CACHE_ENTRIES = 300_000
@@ -39,14 +39,6 @@ CACHE_ENTRIES = 300_000
 SHARED_PREFIX = 48
 
 
-def _byte_symbols() -> list[str]:
-    """The printable stand-in of each byte in byte-level vocabularies: printable
-    Latin-1 bytes stand for themselves, the others follow from code point 256."""
-    keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    extra = iter(range(256, 512))
-    return [chr(b) if b in keep else chr(next(extra)) for b in range(256)]
-
-
 class _Units(dict):
     """Counts of the units seen, bounded; a miss computes the unit."""
 
@@ -91,7 +83,7 @@ class PrefixCounter:
             self.ranks[a, b] = self.born[a + b] = i
             self.left[a + b], self.right[a + b] = a, b
         self.longest = max(map(len, [*self.inner, *self.final]))
-        self.symbols = dict(enumerate(_byte_symbols()))
+        self.symbols = dict(enumerate(byte_symbols()))
         self.follow = {s: 1 if 0xC0 <= b < 0xE0 else 2 if 0xE0 <= b < 0xF0 else 3 if b >= 0xF0
                        else -1 if b >= 0x80 else 0 for b, s in self.symbols.items()}
         self.library = Tokenizer.from_file(path)

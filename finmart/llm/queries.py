@@ -49,12 +49,26 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op7_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm import toxicity_cnn
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_cnn.score(docs, toxicity_cnn.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from finmart.llm.mixing import mixed
     return mixed(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm import quality_rules
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.score(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def _oracles() -> None:
     from finmart.llm import mixing
     ORACLE_SQL["op9_curriculum_mix"] = mixing.ORACLE

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from finmart.llm.common import byte_symbols, only_columns, text_slices
 
 #: Entries of each look-up table of a worker before it starts afresh.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 700_000
 #: Piece prefixes up to this length share states; longer ones use local arrays.
 SHARED_PREFIX = 48
 
@@ -193,11 +193,11 @@ class PrefixCounter:
             norm = self.library.normalizer.normalize_str
             return np.array([self._whole(norm(unit[:j])) for j in range(1, len(unit) + 1)],
                             "<u4").tobytes()
-        if low.isascii():
+        if low.isascii() or max(low) < "\u0250":  # Latin: isalpha() is the pattern's letter
             if low.isalpha():
-                return self._closed(low)
+                return self._piece(low)
             if low[:-1].isalpha() and low[-1] in ".,;:!?":  # a word and its punctuation mark
-                counts = self._closed(low[:-1])
+                counts = self._piece(low[:-1])
                 return counts + (int.from_bytes(counts[-4:], "little") + 1).to_bytes(4, "little")
         out, base, at = [], 0, 0
         for m in self.pieces.finditer(low):

@@ -24,6 +24,12 @@ def query(f):
     return run
 
 
+@query
+def op5_rabitq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.rabitq_dedup import near_duplicate_vectors
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from finmart.llm.token_counts import token_counts

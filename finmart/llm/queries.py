@@ -62,6 +62,12 @@ def op7_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_cnn.score(docs, toxicity_cnn.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op8_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.fingerprints import fingerprinted, with_near_counts
+    return with_near_counts(fingerprinted(table(spark, sf_dir, "documents")))
+
+
 @query
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from finmart.llm.mixing import mixed

@@ -24,6 +24,12 @@ def query(f):
     return run
 
 
+@query
+def op4_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.chat_tools import TOOLS, link_tool_calls, with_tool_messages
+    return link_tool_calls(with_tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+
+
 @query
 def op5_rabitq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from finmart.llm.rabitq_dedup import near_duplicate_vectors
@@ -82,7 +88,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracles() -> None:
-    from finmart.llm import mixing
+    from finmart.llm import chat_tools, mixing
+    ORACLE_SQL["op4_tool_call_linking"] = chat_tools.ORACLE
     ORACLE_SQL["op9_curriculum_mix"] = mixing.ORACLE
 
 

@@ -1,15 +1,63 @@
-"""The corpus pipeline: five stages over ``documents``."""
+"""The corpus pipeline: from raw documents to packed training sequences.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
+each result as Parquet in the cluster's shared folder and gives the next stage
+what it reads back.  All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from finmart.llm import mixing, packing, quality_rules, simhash_dedup, toxicity_cnn
+from finmart.llm.common import scratch_table, table, workers_find_package
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    workers_find_package(spark)
+    return quality_rules.keep_good(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go."""
+    workers_find_package(spark)
+    return toxicity_cnn.keep_clean(docs, toxicity_cnn.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    workers_find_package(spark)
+    return simhash_dedup.keep_one_of_each(docs)
+
+
+def mix_of_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies that the mix takes, in training order."""
+    workers_find_package(spark)
+    return mixing.training_order(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, placed in sequences."""
+    workers_find_package(spark)
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("toxicity", not_toxic),
+    ("SimHash near-dedup", near_duplicates_out),
+    ("mixing sources to target weights", mix_of_sources),
+    ("best-fit packing", packed_sequences),
+]
+
+#: The classifiers and the tokenizer can't be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = scratch_table(stage(spark, docs, sf_dir), f"stage{i + 1}")
     return docs

@@ -70,19 +70,23 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * votes > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and ``fp`` (the fingerprint's bits as a signed long) per row."""
+def fingerprints(docs: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``fp`` (the fingerprint's bits as a signed long) per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             fps = np.fromiter((fingerprint(t.as_py() or b"") for t in texts), np.uint64, len(texts))
-            yield pa.record_batch({"doc_id": batch.column("doc_id"),
-                                   "fp": pa.array(fps.view(np.int64))})
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in keep], pa.array(fps.view(np.int64))], [*keep, "fp"])
 
-    docs = only_columns(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return docs.mapInArrow(run, "doc_id bigint, fp bigint")
+    docs = docs.select(*keep, F.col("text").cast("binary").alias("text"))
+    kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in docs.schema[:-1])
+    return docs.mapInArrow(run, f"{kept}fp bigint")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return only_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def _ring_keys(fp: Column) -> Column:
@@ -164,19 +168,33 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row."""
-    rows = checkpointed(fingerprints(docs))
-    return with_components(rows)
-
-
-def with_components(rows: DataFrame) -> DataFrame:
-    """The components of rows that carry doc_id and ``fp``; other columns stay."""
-    classes = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    linked = checkpointed(components(fingerprint_links(classes.select("fp"))))
-    firsts = classes.join(linked.withColumnRenamed("node", "fp"), "fp").groupBy("component").agg(
-        F.min("first").alias("component_id"))
-    known = checkpointed(classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
-                         .join(firsts, "component", "left")
-                         .select("fp", F.coalesce("component_id", "first").alias("component_id")))
+    rows = checkpointed(fingerprints(_texts(docs), "doc_id"))
+    known = component_of(rows)
+    firsts = known.join(rows, "fp").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    known = checkpointed(known.join(firsts, "component").drop("component"))
     hex_digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(known, "fp").select(
-        *[c for c in rows.columns if c != "fp"], hex_digits.alias("fingerprint"), "component_id")
+    return rows.join(known, "fp").select("doc_id", hex_digits.alias("fingerprint"), "component_id")
+
+
+def component_of(rows: DataFrame) -> DataFrame:
+    """(fp, component) of every distinct fingerprint; a component is named by
+    its smallest fingerprint."""
+    distinct = checkpointed(rows.select("fp").distinct())
+    linked = components(fingerprint_links(distinct)).withColumnRenamed("node", "fp")
+    return checkpointed(distinct.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("component")))
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each component, with all its columns: the one with the
+    smallest doc_id (rows without id come last; the text's hash breaks ties)."""
+    key = [F.col("doc_id").isNull().alias("_none"),
+           F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("_id"),
+           F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")]
+    names = ["_none", "_id", "_hash"]
+    rows = checkpointed(fingerprints(docs.select(*key, "text"), *names))
+    first = (rows.join(component_of(rows), "fp").groupBy("component")
+             .agg(F.min(F.struct(*names)).alias("first")))
+    first = checkpointed(first.select("first.*"))
+    kept = docs.select("*", *key).dropDuplicates(names).join(first, names, "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

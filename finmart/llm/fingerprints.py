@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from finmart.llm.common import checkpointed
 
 MAX_WEIGHT = 15
-CHUNK_TERMS = 4096  # times MAX_WEIGHT stays below a lane's 65536
+CHUNK_TERMS = 2048  # times MAX_WEIGHT stays below 32768, so the top lane keeps the sign
 RADIUS = 3
 BLOCKS = 6
 #: Which rows ask for their neighbours in ``op8``'s digest.

@@ -131,13 +131,12 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 def training_order(docs: DataFrame) -> DataFrame:
     """The taken copies with all their columns, range-sorted by position."""
-    columns = docs.columns
-    rows = plan(docs, keep=columns).filter("copies > 0")
+    docs = docs.select(F.struct("*").alias("row"), "doc_id", "text", "source")  # no name can clash
+    rows = plan(docs, keep=["row"]).filter("copies > 0")
     rows = rows.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     place = (F.col("_epoch") * F.col("source_size") + F.col("_before")) / F.col("target")
     at = F.when(F.col("target") > 0, _position(F.least(place, F.lit(1.0)))).otherwise(0.0)
-    return (rows.withColumn("_at", at).orderBy("_at", "_order", "_epoch")
-            .select(*[F.col(f"`{c}`") for c in columns]))
+    return rows.withColumn("_at", at).orderBy("_at", "_order", "_epoch").select("row.*")
 
 
 _D = repr(float(MAX_REPEATS))

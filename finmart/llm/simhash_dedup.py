@@ -192,9 +192,9 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
            F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("_id"),
            F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")]
     names = ["_none", "_id", "_hash"]
-    rows = checkpointed(fingerprints(docs.select(*key, "text"), *names))
+    docs = docs.select(F.struct("*").alias("row"), "text", *key)  # no name can clash
+    rows = checkpointed(fingerprints(docs.select(*names, "text"), *names))
     first = (rows.join(component_of(rows), "fp").groupBy("component")
              .agg(F.min(F.struct(*names)).alias("first")))
     first = checkpointed(first.select("first.*"))
-    kept = docs.select("*", *key).dropDuplicates(names).join(first, names, "left_semi")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.drop("text").dropDuplicates(names).join(first, names, "left_semi").select("row.*")

@@ -47,7 +47,8 @@ def oracle_rows(sql: str, folder: str, *tables: str):
 def as_text(df):
     """Rows as sorted tuples of text, for comparing two engines' results."""
     out = []
-    for row in df.sort_index(axis=1).astype(object).itertuples(index=False):
+    df = df.sort_index(axis=1)
+    for row in df.astype(object).where(df.notna(), None).itertuples(index=False):
         out.append(tuple("" if v is None or v != v else repr(float(v)) if isinstance(v, (int, float))
                          and not isinstance(v, bool) else str(v) for v in row))
     return sorted(out)

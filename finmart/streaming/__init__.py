@@ -1,10 +1,10 @@
 """Incremental and streaming maintenance of the model (the documented
-scale-up path): touched-partition fact merge, high-water-mark and
+scale-up path): fact kept from landed batches, high-water-mark and
 Structured Streaming ingestion, report refresh on a trigger, freshness."""
 
-from finmart.streaming.incremental import (hwm_ingest, merge_fact_partitions,
+from finmart.streaming.incremental import (LandedSales, hwm_ingest,
                                            source_freshness)
 from finmart.streaming.stream import refresh_on_new_lines, stream_ingest
 
-__all__ = ["hwm_ingest", "merge_fact_partitions", "source_freshness", "stream_ingest",
+__all__ = ["hwm_ingest", "LandedSales", "source_freshness", "stream_ingest",
            "refresh_on_new_lines"]

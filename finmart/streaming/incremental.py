@@ -1,14 +1,13 @@
 """Batch incremental patterns.
 
-merge_fact_partitions — the fact at scale is partitioned by order month; a
-batch of recomputed fact rows replaces, inside the months it touches, the
-rows with the same unique key and keeps the rest.  Only the touched month
-partitions are read and rewritten (dynamic partition overwrite); the merged
-rows are checkpointed to the reliable checkpoint folder first, so the write
-never reads the directories it replaces and a lost executor recomputes from
-the checkpoint, not from the sources.
+LandedSales — lines and orders land append-only, a folder per batch.  The fact
+(partitioned by order month) follows by recomputing, from everything landed,
+the orders that a batch touches: its own orders and the orders of its lines.
+So a line that came before its order shows up with the order, a re-dated order
+leaves its old month, and how files are dealt to batches makes no difference.
 
-hwm_ingest — append the source rows newer than the target's high-water mark.
+hwm_ingest — append the source rows that the target doesn't have yet, from its
+high-water mark (less a lateness) on.
 
 source_freshness — age of the latest load per table against warn/error
 thresholds.
@@ -16,58 +15,131 @@ thresholds.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finmart.functions.keys import year_month_key
 from finmart.session import ensure_checkpoint_dir
+from finmart.sources.storage import delete_folder, path_exists
 
 FACT_PARTITION = "order_year_month_key"
-FACT_KEY = ("order_id", "line_number")
+_BATCH, _REPLACES = "landed_batch", "landed_replaces"
 
 
-def merge_fact_partitions(spark: SparkSession, fact_path: str, batch: DataFrame,
-                          key: tuple[str, ...] = FACT_KEY,
-                          partition: str = FACT_PARTITION) -> DataFrame:
-    """Upsert ``batch`` (fact rows) into the month-partitioned fact at ``fact_path``.
+class LandedSales:
+    """Landed silver lines and orders under ``root``, and the fact kept from them.
 
-    Returns the fact as read back after the write.
+    Landing is idempotent per batch id (a batch that runs again replaces its own
+    folder).  Batch ids grow with time: the latest delivery of an order wins;
+    lines add up, unless a batch is landed with ``replace=True``, which stands
+    for all lines of its orders delivered before.
     """
-    ensure_checkpoint_dir(spark)
-    columns = batch.columns
-    batch = batch.checkpoint(eager=True)
-    try:
-        existing = spark.read.parquet(fact_path)
-    except AnalysisException:  # first load: nothing to merge with
-        batch.write.mode("overwrite").partitionBy(partition).parquet(fact_path)
-        return spark.read.parquet(fact_path).select(*columns)
-    # Months touched by the batch: at most one row per calendar month.
-    touched = batch.select(partition).distinct()
-    old = existing.join(F.broadcast(touched), partition, "left_semi")
-    kept = old.join(batch.select(*key).distinct(), list(key), "left_anti")
-    merged = kept.select(*columns).unionByName(batch.select(*columns)).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition).parquet(fact_path))
-    return spark.read.parquet(fact_path).select(*columns)
-
-
-def hwm_ingest(spark: SparkSession, source: DataFrame, target_path: str, ts_col: str) -> int:
-    """Append rows of ``source`` with ``ts_col`` above the target's maximum.
-
-    Returns the high-water mark used (one scalar; None on the first call,
-    which loads everything).  Rows that arrive later with a timestamp equal
-    to the mark are not picked up — where that can happen, merge on a key
-    (as ``merge_fact_partitions`` does) instead of appending.
+
+    def __init__(self, spark: SparkSession, root: str,
+                 fact_for: Callable[[DataFrame, DataFrame], DataFrame]):
+        """``fact_for(lines, orders)`` gives the fact rows of silver lines."""
+        ensure_checkpoint_dir(spark)
+        self.spark, self.root, self.fact_for = spark, root.rstrip("/"), fact_for
+        self.fact_path = f"{self.root}/fact"
+
+    def land(self, batch_id: int, lines: DataFrame | None = None,
+             orders: DataFrame | None = None, replace: bool = False) -> None:
+        for name, df in (("lines", lines), ("orders", orders)):
+            if df is not None:
+                folder = f"{self.root}/{name}/{_BATCH}={batch_id:012d}"
+                df.withColumn(_REPLACES, F.lit(replace)).write.mode("overwrite").parquet(folder)
+
+    def _landed(self, name: str) -> DataFrame | None:
+        path = f"{self.root}/{name}"
+        if not path_exists(self.spark, path):
+            return None
+        # ids of landed batches are compared as numbers
+        return self.spark.read.parquet(path).withColumn(_BATCH, F.col(_BATCH).cast("bigint"))
+
+    def _current_orders(self, touched: DataFrame) -> DataFrame | None:
+        """All landed versions of the touched orders, with the latest batch of each."""
+        orders = self._landed("orders")
+        if orders is None:
+            return None
+        rows = orders.join(touched, "order_id", "left_semi")
+        latest = rows.groupBy("order_id").agg(F.max(_BATCH).alias("_latest"))
+        return rows.join(latest, "order_id")
+
+    def _current_lines(self, touched: DataFrame) -> DataFrame | None:
+        lines = self._landed("lines")
+        if lines is None:
+            return None
+        rows = lines.join(touched, "order_id", "left_semi")
+        since = rows.filter(_REPLACES).groupBy("order_id").agg(F.max(_BATCH).alias("_since"))
+        rows = rows.join(since, "order_id", "left")
+        return rows.filter(F.col("_since").isNull() | (F.col(_BATCH) >= F.col("_since"))).drop(
+            "_since", _BATCH, _REPLACES)
+
+    def merge(self, batch_id: int) -> DataFrame | None:
+        """Brings the fact up to date with a landed batch; the fact as stored
+        (None while nothing can be in it)."""
+        touched = None
+        for name in ("lines", "orders"):
+            landed = self._landed(name)
+            if landed is not None:
+                ids = landed.filter(F.col(_BATCH) == batch_id).select("order_id")
+                touched = ids if touched is None else touched.union(ids)
+        if touched is None:
+            return None
+        touched = touched.distinct().checkpoint()
+        versions, lines = self._current_orders(touched), self._current_lines(touched)
+        if versions is None or lines is None:
+            return None
+        # every month that a version of these orders was or is in (one row per
+        # calendar month): the only folders that are read and written
+        months = [r[0] for r in versions.select(year_month_key("order_date")).distinct().collect()]
+        orders = versions.filter(F.col(_BATCH) == F.col("_latest")).drop("_latest", _BATCH, _REPLACES)
+        new = self.fact_for(lines, orders)
+        columns = new.columns
+        if path_exists(self.spark, self.fact_path):
+            fact = self.spark.read.parquet(self.fact_path)
+            kept = fact.filter(F.col(FACT_PARTITION).isin(months)).join(touched, "order_id", "left_anti")
+            new = kept.select(*columns).unionByName(new)
+        new = new.checkpoint()  # the write replaces folders that it reads from
+        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(FACT_PARTITION).parquet(self.fact_path))
+        filled = {r[0] for r in new.select(FACT_PARTITION).distinct().collect()}
+        for month in set(months) - filled:  # a month that its last order has left
+            delete_folder(self.spark, f"{self.fact_path}/{FACT_PARTITION}={month}")
+        return self.spark.read.schema(new.schema).parquet(self.fact_path).select(*columns)
+
+
+def hwm_ingest(spark: SparkSession, source: DataFrame, target_path: str, ts_col: str,
+               key: list[str] | None = None, lateness: str | None = None):
+    """Append to the target the rows of ``source`` that it doesn't have.
+
+    Looked at are the rows from the target's maximum of ``ts_col`` on, less
+    ``lateness`` (an interval such as "2 days"; None: rows may be any amount
+    late, the whole source is compared), and all rows without a time.  Of
+    these, a row is new if the target doesn't hold it: by ``key``, or by all
+    columns; a row that the source holds n times is appended until the target
+    holds it n times.  Returns the mark (None on the first call).
     """
-    try:
-        hwm = spark.read.parquet(target_path).agg(F.max(ts_col)).first()[0]
-    except AnalysisException:  # target does not exist yet
-        hwm = None
-    new = source if hwm is None else source.filter(F.col(ts_col) > F.lit(hwm))
-    new.write.mode("append").parquet(target_path)
-    return hwm
+    columns = source.columns
+    if not path_exists(spark, target_path):
+        source.write.parquet(target_path)
+        return None
+    target = spark.read.parquet(target_path)
+    mark = target.agg(F.max(ts_col)).first()[0]
+    if mark is not None and lateness is not None:
+        since = F.lit(mark) - F.expr(f"INTERVAL {lateness}")
+        window = F.col(ts_col).isNull() | (F.col(ts_col) >= since)
+        source, target = source.filter(window), target.filter(window)
+    if key:
+        same = reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}")) for k in key])
+        new = source.alias("s").join(target.select(*key).distinct().alias("t"), same, "left_anti")
+    else:
+        new = source.exceptAll(target.select(*columns))
+    new.select(*columns).checkpoint().write.mode("append").parquet(target_path)
+    return mark
 
 
 # Freshness thresholds of the landed sources (hours).

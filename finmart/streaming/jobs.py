@@ -1,10 +1,12 @@
 """Maintenance jobs built from the incremental/streaming patterns.
 
-Each job leaves a table whose content must equal a full rebuild — that is
-how they are tested: ``incremental_fact`` (initial load + a late batch
-merged by month), ``orders_hwm`` (two high-water-mark loads),
-``orders_stream`` (file-stream landing), ``report_refresh`` (a stream over
-lineitem files keeping the fact and the 90-day report current).
+Each job leaves a table whose content must equal a full rebuild — that is how
+they are tested: ``incremental_fact`` (initial load, then a batch that
+delivers part of a month again), ``redated_order`` and ``late_order`` (orders
+that change month, or come after their lines), ``orders_hwm`` (high-water-mark
+loads with ties, late rows and rows without a time), ``orders_stream``
+(file-stream landing), ``report_refresh`` (a stream over lineitem files keeping
+the fact and the 90-day report current).
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from finmart.plans import gold, reports, silver
 from finmart.plans.bronze import bronze
 from finmart.session import scratch_path
 from finmart.sources.reader import align_source
-from finmart.streaming.incremental import hwm_ingest, merge_fact_partitions
+from finmart.streaming.incremental import LandedSales, hwm_ingest
 from finmart.streaming.stream import STREAM_BATCH_COL, refresh_on_new_lines, stream_ingest
 
 
@@ -27,36 +29,72 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
 
 
-def fact_for_lines(models, lines: DataFrame) -> DataFrame:
+def fact_for_lines(models, lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Fact rows for a set of silver lineitem rows, against the current dims."""
-    return gold.fct_sales_lineitem(lines, models["orders"], models["dim_customer"],
+    return gold.fct_sales_lineitem(lines, orders, models["dim_customer"],
                                    models["partsupp"], models["dim_supplier"], models["dim_part"],
                                    models["dim_geography"])
 
 
+def landed_sales(spark: SparkSession, models, root: str | None = None) -> LandedSales:
+    return LandedSales(spark, root or _scratch(spark, "sales"),
+                       lambda lines, orders: fact_for_lines(models, lines, orders))
+
+
 def incremental_fact(spark: SparkSession, models, split: str = "2001-01-15",
                      overlap_from: str = "2001-01-01") -> DataFrame:
-    """Initial load of the lines of orders before ``split``, then a batch with
-    the lines of orders from ``overlap_from`` on (re-delivering part of an
-    already-loaded month) merged by month.  The result is the whole fact."""
-    path = _scratch(spark, "fact-incremental")
-    orders = models["orders"].select("order_id", "order_date")
-    lines = models["lineitem"].join(orders, "order_id")
-    first = lines.filter(F.col("order_date") < F.lit(split).cast("date")).drop("order_date")
+    """Initial load of the lines of orders before ``split``, then a batch that
+    delivers the lines of orders from ``overlap_from`` on, part of them again.
+    The result is the whole fact."""
+    sales = landed_sales(spark, models)
+    dates = models["orders"].select("order_id", "order_date")
+    lines = models["lineitem"].join(dates, "order_id")
+    sales.land(1, lines.filter(F.col("order_date") < F.lit(split).cast("date")).drop("order_date"),
+               models["orders"])
+    sales.merge(1)
     late = lines.filter(F.col("order_date") >= F.lit(overlap_from).cast("date")).drop("order_date")
-    merge_fact_partitions(spark, path, fact_for_lines(models, first))
-    return merge_fact_partitions(spark, path, fact_for_lines(models, late))
+    sales.land(2, late, replace=True)
+    return sales.merge(2)
+
+
+def redated_order(spark: SparkSession, models) -> DataFrame:
+    """Every fifth order is first delivered with a date 45 days off and then
+    with its own; its lines must leave the month they were in."""
+    sales = landed_sales(spark, models)
+    orders = models["orders"]
+    moved = F.col("order_id") % 5 == 0
+    sales.land(1, models["lineitem"], orders.withColumn(
+        "order_date", F.when(moved, F.date_add("order_date", 45)).otherwise(F.col("order_date"))))
+    sales.merge(1)
+    sales.land(2, orders=orders.filter(moved))
+    return sales.merge(2)
+
+
+def late_order(spark: SparkSession, models) -> DataFrame:
+    """All lines arrive with half of the orders; the other half comes later,
+    without any new lines."""
+    sales = landed_sales(spark, models)
+    early = F.col("order_id") % 2 == 0
+    sales.land(1, models["lineitem"], models["orders"].filter(early))
+    sales.merge(1)
+    sales.land(2, orders=models["orders"].filter(~early))
+    return sales.merge(2)
 
 
 def orders_hwm(spark: SparkSession, sf_dir: str, ts_col: str = "o_orderdate",
-               split_fraction: float = 0.5) -> DataFrame:
-    """Two high-water-mark loads of the orders source: the first up to a cut
-    derived from the data's own date range, the second picks up the rest."""
+               split_fraction: float = 0.5, late: bool = False) -> DataFrame:
+    """High-water-mark loads of the orders source: the first up to a cut derived
+    from the data's own date range, the second picks up the rest.  With
+    ``late`` the first load also misses every seventh row (they come late, or
+    tie with the mark), and every eleventh row has no time."""
     orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
     lo, hi = orders.agg(F.min(ts_col), F.max(ts_col)).first()
     cut = lo + (hi - lo) * split_fraction if lo is not None else None
     target = _scratch(spark, "orders-hwm")
-    hwm_ingest(spark, orders.filter(F.col(ts_col) < F.lit(cut)) if cut else orders, target, ts_col)
+    if late:
+        orders = orders.withColumn(ts_col, F.when(F.col("o_orderkey") % 11 != 0, F.col(ts_col)))
+    first = orders.filter(F.col(ts_col) <= F.lit(cut)) if cut else orders
+    hwm_ingest(spark, first.filter("o_orderkey % 7 <> 0") if late else first, target, ts_col)
     hwm_ingest(spark, orders, target, ts_col)
     return spark.read.parquet(target).select(*orders.columns)
 
@@ -69,20 +107,24 @@ def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).drop(*META_COLUMNS, STREAM_BATCH_COL)
 
 
-def report_refresh(spark: SparkSession, models, sf_dir: str, days: int = 90) -> DataFrame:
+def report_refresh(spark: SparkSession, models, sf_dir: str, days: int = 90,
+                   max_files: int | None = None) -> DataFrame:
     """Keep the fact and the 90-day report current from a lineitem file stream."""
-    fact_path = _scratch(spark, "fact-stream")
+    sales = landed_sales(spark, models)
     report_path = _scratch(spark, "rpt90-stream")
     ckpt = _scratch(spark, "rpt90-stream-ckpt")
     o = models.options
+    sales.land(0, orders=models["orders"])
 
     def on_batch(batch: DataFrame, batch_id: int):
         raw = align_source(batch, "lineitem")
         lines = silver.silver_lineitem(bronze(raw, o.source_system, f"stream-{batch_id}",
                                               o.ingested_at))
-        fact = merge_fact_partitions(spark, fact_path, fact_for_lines(models, lines))
+        sales.land(batch_id + 1, lines)
+        fact = sales.merge(batch_id + 1)
         rpt = reports.rpt_customer_profitability_90d(fact, models["dim_customer"], days)
         rpt.write.mode("overwrite").parquet(report_path)
 
-    refresh_on_new_lines(spark, sf_dir, ckpt, on_batch, pattern="lineitem.parquet")
+    refresh_on_new_lines(spark, sf_dir, ckpt, on_batch, pattern="lineitem.parquet",
+                         max_files=max_files)
     return spark.read.parquet(report_path)

@@ -14,20 +14,39 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from finmart.functions.metadata import with_ingestion_metadata
+from finmart.sources.storage import is_folder
 
 
 STREAM_BATCH_COL = "stream_batch"
 
 
-def _file_stream(spark: SparkSession, source_dir: str, pattern: str, schema) -> DataFrame:
-    return (spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-                 .option("maxFilesPerTrigger", 64).parquet(source_dir))
+def _file_stream(spark: SparkSession, source_dir: str, table: str, schema,
+                 max_files: int | None) -> DataFrame:
+    """New files of a table: ``<source_dir>/<table>`` is a folder of part files,
+    or a single file (or name pattern) in ``source_dir``.  ``max_files`` limits
+    the files of one micro-batch (throughput only, no result depends on it)."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    folder = f"{source_dir.rstrip('/')}/{table}"
+    if is_folder(spark, folder):
+        return reader.option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.parquet").parquet(folder)
+    return reader.option("pathGlobFilter", table).parquet(source_dir)
+
+
+def _schema(spark: SparkSession, source_dir: str, table: str):
+    folder = f"{source_dir.rstrip('/')}/{table}"
+    if is_folder(spark, folder):
+        return spark.read.parquet(folder).schema
+    return spark.read.option("pathGlobFilter", table).parquet(source_dir).schema
 
 
 def stream_ingest(spark: SparkSession, source_dir: str, pattern: str, schema,
                   target_path: str, checkpoint: str, source_system: str = "stream",
-                  available_now: bool = True, processing_time: str | None = None):
-    """Land files matching ``pattern`` under ``source_dir`` into ``target_path``
+                  available_now: bool = True, processing_time: str | None = None,
+                  max_files: int | None = None):
+    """Land the files of table ``pattern`` under ``source_dir`` into ``target_path``
     (parquet, one ``stream_batch=<id>`` directory per micro-batch) with load
     metadata.  Returns the finished/started query."""
     def land(batch: DataFrame, batch_id: int):
@@ -36,7 +55,7 @@ def stream_ingest(spark: SparkSession, source_dir: str, pattern: str, schema,
         (with_ingestion_metadata(batch, source_system, f"stream-{batch_id}")
          .write.mode("overwrite").parquet(f"{target_path}/{STREAM_BATCH_COL}={batch_id}"))
 
-    w = (_file_stream(spark, source_dir, pattern, schema).writeStream
+    w = (_file_stream(spark, source_dir, pattern, schema, max_files).writeStream
          .foreachBatch(land).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=processing_time or "1 hour")
@@ -48,13 +67,14 @@ def stream_ingest(spark: SparkSession, source_dir: str, pattern: str, schema,
 
 def refresh_on_new_lines(spark: SparkSession, source_dir: str, checkpoint: str,
                          on_batch: Callable[[DataFrame, int], None],
-                         lag: str | None = None, pattern: str = "lineitem*.parquet"):
+                         lag: str | None = None, pattern: str = "lineitem*.parquet",
+                         max_files: int | None = None):
     """Run ``on_batch(new_lineitem_rows, batch_id)`` whenever new lineitem
     files arrive — e.g. merge the touched fact months and rebuild a report
     table.  ``lag`` is the refresh cadence (processing-time trigger); without
     it the query drains what is there and stops (availableNow)."""
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(source_dir).schema
-    w = (_file_stream(spark, source_dir, pattern, schema).writeStream
+    schema = _schema(spark, source_dir, pattern)
+    w = (_file_stream(spark, source_dir, pattern, schema, max_files).writeStream
          .foreachBatch(on_batch).option("checkpointLocation", checkpoint))
     w = w.trigger(processingTime=lag) if lag else w.trigger(availableNow=True)
     q = w.start()

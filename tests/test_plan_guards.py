@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-SKIP = {"incremental_fact", "hwm_ingest", "stream_ingest", "refresh_to_lag",
+SKIP = {"incremental_fact", "incremental_redated_order", "incremental_late_order", "hwm_ingest_late", "hwm_ingest", "stream_ingest", "refresh_to_lag",
         "check_summary", "check_summary_history"}
 
 

@@ -142,17 +142,6 @@ def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> D
 
 # ---- fct_sales_lineitem --------------------------------------------------
 
-FACT_COLUMNS = [
-    "sales_lineitem_key", "customer_key", "supplier_key", "part_key", "ship_geography_key",
-    "bill_geography_key", "order_year_month_key", "order_date_key", "ship_date_key",
-    "commit_date_key", "receipt_date_key", "order_id", "line_number", "order_status_code",
-    "order_priority", "ship_priority", "return_flag", "line_status", "ship_mode",
-    "ship_instruction", "order_date", "ship_date", "commit_date", "receipt_date", "quantity",
-    "extended_price", "discount_amount", "tax_amount", "net_revenue", "supply_cost",
-    "gross_margin", "discount_rate", "tax_rate", "margin_rate",
-]
-
-
 def resolved_orders(orders: DataFrame, dim_cust: DataFrame, dim_geo: DataFrame) -> DataFrame:
     """Orders with the customer version valid at the order date and the bill
     geography — resolved at order grain (orders are ~1/4 of the lines, and the

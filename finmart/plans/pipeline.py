@@ -42,6 +42,8 @@ class BuildOptions:
     calendar_start: str = gold.CALENDAR_START
     calendar_end: str | None = None  # None: derived from the data's latest date
     report_days: int = 90
+    report_as_of: str | None = None  # end of the report window; None: latest order date
+    standin_costs: bool = False      # made-up unit costs where partsupp is missing (test data)
     source_system: str = "TPCH_SF1"
     batch_id: str = FIXED_BATCH_ID
     ingested_at: str | None = FIXED_INGESTED_AT
@@ -58,7 +60,7 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
           previous_snapshot: DataFrame | None = None) -> list[Step]:
     """The build steps.  ``previous_snapshot`` (a stored snapshot version)
     makes the snapshot step an incremental merge of the current extract."""
-    src = Sources(spark, sf_dir)
+    src = Sources(spark, sf_dir, o.standin_costs)
     out: list[Step] = []
     for t in SOURCE_TABLES:
         out.append((f"src_{t}", [], lambda m, t=t: src[t]))
@@ -110,7 +112,8 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
                                            m["dim_geography"])),
         ("rpt_customer_profitability_90d", ["fct_sales_lineitem", "dim_customer"],
          lambda m: reports.rpt_customer_profitability_90d(m["fct_sales_lineitem"],
-                                                          m["dim_customer"], o.report_days)),
+                                                          m["dim_customer"], o.report_days,
+                                                          o.report_as_of)),
         ("rpt_segment_margin_concentration", ["fct_sales_lineitem", "dim_customer"],
          lambda m: reports.rpt_segment_margin_concentration(m["fct_sales_lineitem"],
                                                             m["dim_customer"])),

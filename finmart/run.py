@@ -2,11 +2,13 @@
 
     python -m finmart.run --data /path/to/sources --warehouse /shared/wh \
         [--layer source|bronze|snapshot|silver|gold] [--history] [--as-of TS]
-        [--bucketed] [--reproducible] [--checks] [--store-failures]
+        [--bucketed] [--reproducible] [--standin-costs] [--report-as-of DATE]
+        [--checks] [--store-failures]
 
-A build is one snapshot run: the previous snapshot version (if any) is read
-from the warehouse, merged with the current customer extract as of
-``--as-of`` (default: now, UTC) and written as a new version.
+A build is one snapshot run: the open rows of the previous snapshot version (if
+any) are merged with the current customer extract as of ``--as-of`` (default:
+now, UTC) and published as a new version.  The same ``--as-of`` again changes
+nothing, an older one is refused.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from finmart.plans.catalogue import CATALOGUE
 from finmart.plans.pipeline import LAYERS, BuildOptions, build_models
 from finmart.session import ensure_checkpoint_dir, get_spark
 from finmart.sources import sinks
+from finmart.sources.history import HISTORY_RUNS
 
 
 def build(spark: SparkSession, data_dir: str, warehouse: str,
@@ -31,11 +34,15 @@ def build(spark: SparkSession, data_dir: str, warehouse: str,
     o = options or BuildOptions()
     ensure_checkpoint_dir(spark)
     mat = sinks.table_materializer(spark, warehouse, bucketed=o.bucketed)
-    prev = None if o.history else sinks.read_latest_snapshot(spark, warehouse)
+    as_of = HISTORY_RUNS[-1] if o.history else o.as_of
+    fresh = sinks.check_snapshot_time(spark, warehouse, as_of)
+    prev = None if o.history else sinks.read_latest_snapshot(spark, warehouse, open_only=True)
 
     def materialize(name, df):
         if name == "snap_customer_scd2":
-            return sinks.write_snapshot_version(df, warehouse, o.as_of)
+            if not fresh:  # this version is published already
+                return sinks.read_latest_snapshot(spark, warehouse).select(*df.columns)
+            return sinks.write_snapshot_version(df, warehouse, as_of)
         return mat(name, df)
 
     return build_models(spark, data_dir, o, materialize, layer, previous_snapshot=prev)
@@ -66,6 +73,9 @@ def main(argv=None):
                     help="bucket silver orders/lineitem by order_id (flat key distributions)")
     ap.add_argument("--reproducible", action="store_true",
                     help="fixed load time and batch id instead of now / a fresh run id")
+    ap.add_argument("--standin-costs", action="store_true",
+                    help="without a partsupp table, make up unit costs (test data only)")
+    ap.add_argument("--report-as-of", help="end of the report window (default: latest order date)")
     ap.add_argument("--checks", action="store_true")
     ap.add_argument("--store-failures", action="store_true")
     a = ap.parse_args(argv)
@@ -75,7 +85,8 @@ def main(argv=None):
         "as_of": dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")}
     if a.as_of:
         run_meta["as_of"] = a.as_of
-    opts = BuildOptions(history=a.history, bucketed=a.bucketed, **run_meta)
+    opts = BuildOptions(history=a.history, bucketed=a.bucketed, standin_costs=a.standin_costs,
+                        report_as_of=a.report_as_of, **run_meta)
     models = build(spark, a.data, a.warehouse, opts, a.layer)
     if a.checks:
         rows = run_checks(spark, models, a.warehouse, a.store_failures)

@@ -7,14 +7,13 @@ the scan), missing ones become typed NULL literals (constant-folded, no I/O).
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finmart.sources.schemas import SOURCE_COLUMNS
+from finmart.sources.storage import path_exists
 
 # Fixed values of the partsupp stand-in (the delivered test data has no
 # partsupp table): unit cost = ((partkey*31 + suppkey*17) % 9901 + 100) cents.
@@ -47,41 +46,33 @@ def partsupp_standin(lineitem: DataFrame) -> DataFrame:
     return align_source(pairs.withColumn("ps_supplycost", cost), "partsupp")
 
 
-def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one source table by logical name, aligned to its canonical columns."""
+def read_source(spark: SparkSession, sf_dir: str, name: str,
+                standin_costs: bool = False) -> DataFrame:
+    """Scan one source table by logical name, aligned to its canonical columns.
+
+    A missing partsupp is an error, unless ``standin_costs`` asks for made-up
+    unit costs; whether it is missing is asked of the file system Spark uses.
+    """
     if name not in SOURCE_COLUMNS:
         raise KeyError(f"unknown source table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if name == "partsupp" and not _exists(spark, path):
+    if name == "partsupp" and not path_exists(spark, path):
+        if not standin_costs:
+            raise FileNotFoundError(f"{path} is not there; standin_costs would make up its costs")
         return partsupp_standin(read_source(spark, sf_dir, "lineitem"))
     return align_source(spark.read.parquet(path), name)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith("file://"):
-        local = path[len("file://"):]
-    elif path.startswith("file:"):
-        local = path[len("file:"):]
-    else:
-        local = None if "://" in path else path
-    if local is not None:
-        return os.path.exists(local)
-    try:
-        spark.read.parquet(path).schema  # remote store: ask the reader
-        return True
-    except AnalysisException:
-        return False
-
-
 @dataclass
 class Sources:
     """Lazily-read source tables of one data directory."""
 
     spark: SparkSession
     sf_dir: str
+    standin_costs: bool = False
     _cache: dict = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = read_source(self.spark, self.sf_dir, name)
+            self._cache[name] = read_source(self.spark, self.sf_dir, name, self.standin_costs)
         return self._cache[name]

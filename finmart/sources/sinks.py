@@ -9,12 +9,16 @@ the written table back, which cuts the lineage at each layer.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
 from typing import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finmart.sources.storage import child_names, publish_text, read_text
+
 # Schema of each model.
 MODEL_SCHEMA = {
     **{f"tpch_{t}": "bronze_tpch" for t in
@@ -80,11 +84,6 @@ def write_table(df: DataFrame, path: str, table: str | None = None,
     _save(w, path, table)
 
 
-def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    # Re-impose the model's column order (partition columns are read last).
-    return spark.read.parquet(path).select(*columns)
-
-
 def ensure_schema(spark: SparkSession, warehouse: str, schema: str) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` at the layer's folder of the warehouse."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` "
@@ -138,38 +137,82 @@ def checkpoint_materializer(name: str, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# ---- snapshot: append-only versions, never overwrite what is being read ----
-
-SNAPSHOT_VERSION_COL = "snapshot_version"
+# ---- snapshot store -------------------------------------------------------
+#
+# versions/<as_of>-<run>/state=open|closed   rows a run has written, never changed
+# published/<as_of>.json                     which folders make up that version
+#
+# A run writes a fresh folder: the open rows as of now, and the rows it closed
+# (each closed row is stored once, later versions name its folder).  The version
+# exists when its manifest appears, which happens whole or not at all; a run that
+# died before leaves a folder that nothing names.  Versions never overwrite.
 
 
-def _version_tag(as_of: str) -> str:
-    return "".join(ch for ch in as_of if ch.isdigit())
+def version_tag(as_of: str) -> str:
+    """``as_of`` (a date or timestamp) as digits of fixed width, so that the
+    order of the tags is the order in time."""
+    return dt.datetime.fromisoformat(as_of.strip()).strftime("%Y%m%d%H%M%S%f")
 
 
 def snapshot_root(warehouse: str) -> str:
     return table_path(warehouse, "snap_customer_scd2")
 
 
-def read_latest_snapshot(spark: SparkSession, warehouse: str) -> DataFrame | None:
-    """The newest snapshot version, or None before the first run."""
+def snapshot_versions(spark: SparkSession, warehouse: str) -> list[str]:
+    """Tags of the published versions, oldest first."""
+    names = child_names(spark, f"{snapshot_root(warehouse)}/published")
+    return sorted(n.removesuffix(".json") for n in names if n.endswith(".json") and n[0] != ".")
+
+
+def _manifest(spark: SparkSession, warehouse: str, tag: str) -> dict:
+    return json.loads(read_text(spark, f"{snapshot_root(warehouse)}/published/{tag}.json"))
+
+
+def _read_folders(spark: SparkSession, warehouse: str, folders: list[str]) -> DataFrame:
     root = snapshot_root(warehouse)
-    try:
-        versions = spark.read.parquet(root)
-    except AnalysisException:  # no snapshot written yet
+    return spark.read.parquet(*[f"{root}/{f}" for f in folders])
+
+
+def read_latest_snapshot(spark: SparkSession, warehouse: str,
+                         open_only: bool = False) -> DataFrame | None:
+    """The newest published version, or None before the first run.
+    ``open_only`` reads the open rows alone (all that the next run needs)."""
+    tags = snapshot_versions(spark, warehouse)
+    if not tags:
         return None
-    latest = versions.agg(F.max(SNAPSHOT_VERSION_COL)).first()[0]
-    return versions.filter(F.col(SNAPSHOT_VERSION_COL) == latest).drop(SNAPSHOT_VERSION_COL)
+    m = _manifest(spark, warehouse, tags[-1])
+    return _read_folders(spark, warehouse, m["open"] + ([] if open_only else m["closed"]))
+
+
+def check_snapshot_time(spark: SparkSession, warehouse: str, as_of: str) -> bool:
+    """Whether a run as of this time has something to do.  A version of the
+    same time is there already (a retry): nothing.  An older time is refused,
+    the history can't be changed."""
+    tags = snapshot_versions(spark, warehouse)
+    if tags and version_tag(as_of) < tags[-1]:
+        raise ValueError(f"as_of {as_of} is older than the newest snapshot version {tags[-1]}")
+    return not tags or version_tag(as_of) > tags[-1]
 
 
 def write_snapshot_version(df: DataFrame, warehouse: str, as_of: str) -> DataFrame:
-    """Write the merged snapshot as a new version directory (the previous
-    version stays readable while this one is written), then read it back."""
-    root = snapshot_root(warehouse)
-    tag = _version_tag(as_of)
-    path = f"{root}/{SNAPSHOT_VERSION_COL}={tag}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path).select(*df.columns)
+    """Publish a version from the merge of the previous version's open rows with
+    the current extract; returns the whole snapshot as stored."""
+    spark, tag, root = df.sparkSession, version_tag(as_of), snapshot_root(warehouse)
+    if check_snapshot_time(spark, warehouse, as_of):
+        tags = snapshot_versions(spark, warehouse)
+        folder = f"versions/{tag}-{uuid.uuid4().hex[:12]}"
+        state = F.when(F.col("scd_valid_to").isNull(), "open").otherwise("closed")
+        (df.withColumn("state", state).write.partitionBy("state").parquet(f"{root}/{folder}"))
+        written = [f"{folder}/{n}" for n in child_names(spark, f"{root}/{folder}")
+                   if n.startswith("state=")]
+        if not written:  # an empty extract: an empty open part keeps the schema
+            df.limit(0).write.parquet(f"{root}/{folder}/state=open")
+            written = [f"{folder}/state=open"]
+        before = _manifest(spark, warehouse, tags[-1])["closed"] if tags else []
+        manifest = {"as_of": tag, "open": [f for f in written if f.endswith("open")],
+                    "closed": before + [f for f in written if f.endswith("closed")]}
+        publish_text(spark, f"{root}/published", f"{tag}.json", json.dumps(manifest))
+    return read_latest_snapshot(spark, warehouse).select(*df.columns)
 
 
 # ---- check failures -------------------------------------------------------

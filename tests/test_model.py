@@ -11,12 +11,12 @@ from finmart.plans.pipeline import BuildOptions, Models
 
 @pytest.fixture(scope="module")
 def models(spark):
-    return Models(spark, SF_SMALL)
+    return Models(spark, SF_SMALL, BuildOptions(standin_costs=True))
 
 
 @pytest.fixture(scope="module")
 def history(spark):
-    return Models(spark, SF_SMALL, BuildOptions(history=True))
+    return Models(spark, SF_SMALL, BuildOptions(history=True, standin_costs=True))
 
 
 def test_report_total_equals_fact_window_total(models):

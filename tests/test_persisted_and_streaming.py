@@ -15,14 +15,12 @@ from finmart.streaming import jobs
 
 def test_persisted_build_snapshot_versions_and_checks(spark):
     wh = tempfile.mkdtemp(prefix="finmart-wh-")
-    m1 = build(spark, SF_SMALL, wh)
+    m1 = build(spark, SF_SMALL, wh, BuildOptions(standin_costs=True))
     assert m1["fct_sales_lineitem"].count() == 6000
     assert spark.catalog.tableExists("gold_profitability.fct_sales_lineitem")
     # second run, same extract, later time: snapshot unchanged, new version directory
-    m2 = build(spark, SF_SMALL, wh, BuildOptions(as_of="1996-01-01 00:00:00"))
-    versions = {r[0] for r in spark.read.parquet(sinks.snapshot_root(wh))
-                .select(sinks.SNAPSHOT_VERSION_COL).distinct().collect()}
-    assert len(versions) == 2
+    m2 = build(spark, SF_SMALL, wh, BuildOptions(as_of="1996-01-01 00:00:00", standin_costs=True))
+    assert len(sinks.snapshot_versions(spark, wh)) == 2
     assert m2["snap_customer_scd2"].filter(F.col("scd_valid_to").isNotNull()).count() == 0
     rows = run_checks(spark, m2, wh, store_failures=True)
     assert len(rows) == 182
@@ -33,7 +31,7 @@ def test_persisted_build_snapshot_versions_and_checks(spark):
 
 
 def test_incremental_fact_equals_full_fact(spark):
-    m = Models(spark, SF_SMALL)
+    m = Models(spark, SF_SMALL, BuildOptions(standin_costs=True))
     inc = jobs.incremental_fact(spark, m)
     full = m["fct_sales_lineitem"]
     assert inc.count() == full.count()
@@ -55,7 +53,7 @@ def test_hwm_ingest_loads_everything_once(spark):
 
 
 def test_report_refresh_stream_equals_batch_report(spark):
-    m = Models(spark, SF_SMALL)
+    m = Models(spark, SF_SMALL, BuildOptions(standin_costs=True))
     streamed = jobs.report_refresh(spark, m, SF_SMALL)
     batch = m["rpt_customer_profitability_90d"]
     assert streamed.count() == batch.count()
@@ -64,7 +62,7 @@ def test_report_refresh_stream_equals_batch_report(spark):
 
 def test_layer_selection_writes_only_that_layer(spark):
     wh = tempfile.mkdtemp(prefix="finmart-wh-")
-    build(spark, SF_SMALL, wh, layer="snapshot")
+    build(spark, SF_SMALL, wh, BuildOptions(standin_costs=True), layer="snapshot")
     assert sorted(os.listdir(wh)) == ["silver_customer"]
     assert os.listdir(os.path.join(wh, "silver_customer")) == ["snap_customer_scd2"]
 
@@ -76,14 +74,14 @@ def _same_rows(a, b):
 
 
 def test_redated_and_late_orders_equal_a_rebuild(spark):
-    m = Models(spark, SF_SMALL)
+    m = Models(spark, SF_SMALL, BuildOptions(standin_costs=True))
     full = m["fct_sales_lineitem"].checkpoint()
     assert _same_rows(jobs.redated_order(spark, m), full)
     assert _same_rows(jobs.late_order(spark, m), full)
 
 
 def test_a_month_that_empties_disappears(spark):
-    m = Models(spark, SF_SMALL)
+    m = Models(spark, SF_SMALL, BuildOptions(standin_costs=True))
     sales = jobs.landed_sales(spark, m)
     first = F.col("order_id") == m["orders"].agg(F.min("order_id")).first()[0]
     lines, order = m["lineitem"].filter(first), m["orders"].filter(first)
@@ -98,7 +96,7 @@ def test_a_month_that_empties_disappears(spark):
 
 
 def test_report_refresh_does_not_depend_on_file_layout(spark):
-    m = Models(spark, SF_SMALL)
+    m = Models(spark, SF_SMALL, BuildOptions(standin_costs=True))
     batch = m["rpt_customer_profitability_90d"].checkpoint()
     folder = tempfile.mkdtemp(prefix="finmart-src-")
     lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
@@ -128,3 +126,61 @@ def test_hwm_ingest_keeps_ties_late_rows_and_rows_without_time(spark):
                     .withColumn("d", F.col("d").cast("date")))
     hwm_ingest(spark, more, path, "d", key=["id"], lateness="2 days")
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5, 6, 6, 8]
+
+
+def test_snapshot_store_keeps_its_history(spark):
+    import pytest
+    from finmart.operators.scd2 import scd2_snapshot
+    wh = "file://" + tempfile.mkdtemp(prefix="finmart-snap-")
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    two = spark.createDataFrame([(1, "a"), (2, "B")], "k int, v string")
+
+    def run(extract, as_of):
+        prev = sinks.read_latest_snapshot(spark, wh, open_only=True)
+        sinks.write_snapshot_version(scd2_snapshot(prev, extract, "k", ["v"], as_of), wh, as_of)
+        rows = sinks.read_latest_snapshot(spark, wh).collect()
+        return sorted((r.k, r.v, r.scd_valid_to is None) for r in rows)
+
+    first = [(1, "a", True), (2, "b", True), (3, "c", True)]
+    assert run(one, "1995-01-01 00:00:00") == first
+    assert run(one, "1995-01-01") == first  # the same time again: nothing changes
+    # a run that died before it was published leaves a folder that nothing names
+    one.withColumn("scd_valid_to", F.lit(None).cast("timestamp_ntz")).write.parquet(
+        f"{sinks.snapshot_root(wh)}/versions/20250101000000000000-dead/state=open")
+    second = [(1, "a", True), (2, "B", True), (2, "b", False), (3, "c", False)]
+    assert run(two, "2026-01-01") == second  # a date alone is later than a 1995 timestamp
+    assert run(two, "2026-01-01 00:00:00") == second
+    assert run(two, "2026-02-01") == second
+    with pytest.raises(ValueError):
+        run(two, "2020-01-01")
+    with pytest.raises(ValueError):
+        run(two, "some day")
+    assert len(sinks.snapshot_versions(spark, wh)) == 3
+
+
+def test_build_twice_as_of_the_same_time(spark):
+    wh = tempfile.mkdtemp(prefix="finmart-wh-")
+    options = BuildOptions(standin_costs=True)
+    first = build(spark, SF_SMALL, wh, options, layer="snapshot")["snap_customer_scd2"].count()
+    assert build(spark, SF_SMALL, wh, options, layer="snapshot")["snap_customer_scd2"].count() == first
+
+
+def test_costs_are_never_made_up_silently(spark):
+    import pytest
+    from finmart.sources.reader import read_source
+    with pytest.raises(FileNotFoundError):
+        read_source(spark, SF_SMALL, "partsupp")
+    assert read_source(spark, SF_SMALL, "partsupp", standin_costs=True).count() > 0
+    folder = "file://" + tempfile.mkdtemp(prefix="finmart-src-")
+    spark.createDataFrame([(1, 2, "3.50")], "ps_partkey int, ps_suppkey int, ps_supplycost string") \
+        .withColumn("ps_supplycost", F.col("ps_supplycost").cast("decimal(12,2)")) \
+        .write.parquet(f"{folder}/partsupp.parquet")
+    for asked in (False, True):
+        assert [str(r.ps_supplycost) for r in read_source(spark, folder, "partsupp", asked).collect()] == ["3.50"]
+
+
+def test_report_window_ends_at_the_given_date(spark):
+    m = Models(spark, SF_SMALL, BuildOptions(standin_costs=True, report_as_of="1999-06-30"))
+    rows = m["rpt_customer_profitability_90d"]
+    lines = m["fct_sales_lineitem"].filter("order_date BETWEEN date'1999-04-01' AND date'1999-06-30'")
+    assert rows.agg(F.sum("lineitem_count")).first()[0] == lines.count() > 0

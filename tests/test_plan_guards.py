@@ -31,7 +31,7 @@ def test_bucketed_fact_join_without_exchange(spark):
     from finmart.plans.pipeline import BuildOptions
     from finmart.run import build
     wh = tempfile.mkdtemp(prefix="finmart-wh-")
-    m = build(spark, SF_SMALL, wh, BuildOptions(bucketed=True))
+    m = build(spark, SF_SMALL, wh, BuildOptions(bucketed=True, standin_costs=True))
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from finmart.plans.gold import resolved_orders
-from finmart.plans.pipeline import Models
+from finmart.plans.pipeline import BuildOptions, Models
 
 CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -28,7 +28,7 @@ def test_hot_customer_asof_join_is_split_and_exact(spark):
     for k, v in CONF.items():
         spark.conf.set(k, v)
     try:
-        m = Models(spark, SF_SMALL)
+        m = Models(spark, SF_SMALL, BuildOptions(standin_costs=True))
         dc, geo = m["dim_customer"].checkpoint(), m["dim_geography"].checkpoint()
         hot = (m["orders"].withColumn("customer_id",
                                       F.when(F.col("order_id") % 3 == 0, F.lit(1))

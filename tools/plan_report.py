@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from finmart import get_spark  # noqa: E402
 from finmart.plans import analyses, quality  # noqa: E402
 from finmart.plans.gold import fct_sales_lineitem  # noqa: E402
+from finmart.plans.pipeline import BuildOptions  # noqa: E402
 from finmart.run import build  # noqa: E402
 from finmart.session import scratch_path  # noqa: E402
 
@@ -46,7 +47,8 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark("local[8]", shuffle_partitions=8,
                       extra={"spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "1000"})
-    m = build(spark, sf_dir, scratch_path(spark, f"plans-{uuid.uuid4().hex[:8]}"))
+    m = build(spark, sf_dir, scratch_path(spark, f"plans-{uuid.uuid4().hex[:8]}"),
+              BuildOptions(standin_costs=True))
     items = {
         "fct_sales_lineitem (rebuild from silver)": fct_sales_lineitem(
             m["lineitem"], m["orders"], m["dim_customer"], m["partsupp"], m["dim_supplier"],

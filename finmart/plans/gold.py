@@ -25,23 +25,36 @@ TIER_NO_CURRENT = "Lapsed"
 
 # ---- dim_date -----------------------------------------------------------
 
+#: Dates from here on (such as 9999-12-31) are sentinels: no calendar row.
+CALENDAR_HORIZON = "2200-01-01"
+
+
 def calendar_bounds(spark, start: str = CALENDAR_START, end: str | None = CALENDAR_END,
                     cover: list[DataFrame] | None = None) -> DataFrame:
     """One row (start, end_exclusive).
 
-    With ``end=None`` the end is derived from the data: January 1st of the
-    year after the latest date found in the ``cover`` frames (each a single
-    date column), so the calendar always covers the facts it keys.  The
-    latest date is one map-side-combined max over the union of the columns.
+    With ``end=None`` the calendar covers the dates found in the ``cover``
+    frames (date columns only, before ``CALENDAR_HORIZON``): from ``start``, or
+    the year of the earliest date if that is before, up to the end of the year
+    of the latest.  Each frame is one map-side-combined aggregation of all its
+    columns.
     """
     if end is not None:
         return spark.range(1).select(F.lit(start).cast("date").alias("start"),
                                      F.lit(end).cast("date").alias("end"))
-    dates = reduce(DataFrame.unionByName,
-                   [df.select(F.col(df.columns[0]).alias("d")) for df in cover])
-    latest = F.max("d")
-    return dates.agg(F.lit(start).cast("date").alias("start"),
-                     F.make_date(F.year(latest) + 1, F.lit(1), F.lit(1)).alias("end"))
+
+    def ends(df: DataFrame) -> DataFrame:
+        known = [F.when(F.col(c) < F.lit(CALENDAR_HORIZON).cast("date"), F.col(c)) for c in df.columns]
+        least, most = [f(*[g(c) for c in known]) if len(known) > 1 else g(known[0])
+                       for f, g in ((F.least, F.min), (F.greatest, F.max))]
+        return df.agg(least.alias("lo"), most.alias("hi"))
+
+    both = reduce(DataFrame.unionByName, [ends(df) for df in cover]).agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    first = F.lit(start).cast("date")
+    return both.select(F.least(first, F.trunc("lo", "year")).alias("start"),
+                       F.coalesce(F.make_date(F.year("hi") + 1, F.lit(1), F.lit(1)),
+                                  F.lit(CALENDAR_END).cast("date")).alias("end"))
 
 
 def dim_date(bounds: DataFrame) -> DataFrame:

@@ -81,9 +81,8 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
     def calendar(m):
         cover = None
         if o.calendar_end is None:
-            li = m["lineitem"]
-            cover = [m["orders"].select("order_date"), li.select("ship_date"),
-                     li.select("commit_date"), li.select("receipt_date")]
+            cover = [m["orders"].select("order_date"),
+                     m["lineitem"].select("ship_date", "commit_date", "receipt_date")]
         return gold.dim_date(gold.calendar_bounds(spark, o.calendar_start, o.calendar_end, cover))
 
     out += [

@@ -11,7 +11,8 @@ import os
 
 import duckdb
 
-VIEWS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+VIEWS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+         "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -80,22 +80,6 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, field: str,
     return child.join(keys, child[column] == keys["_parent_key"], "left_anti")
 
 
-def relationships_failure_count(df: DataFrame, column: str, parent: DataFrame, field: str,
-                                where=None) -> DataFrame:
-    """One row: the number of child rows whose non-null key has no parent.
-
-    Child rows are first counted per key value (map-side combined, so a hot
-    key is one partial row per task); only those (key, count) pairs meet the
-    parent keys in the anti join — at scale one row per distinct foreign key
-    is shuffled instead of every child row.
-    """
-    per_key = (_scope(df, where).filter(F.col(column).isNotNull())
-               .groupBy(F.col(column).alias("_fk")).agg(F.count(F.lit(1)).alias("_n")))
-    keys = parent.select(F.col(field).alias("_parent_key"))
-    orphans = per_key.join(keys, per_key["_fk"] == keys["_parent_key"], "left_anti")
-    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failures"))
-
-
 def unique_combination(df: DataFrame, columns: list[str], where=None) -> DataFrame:
     """Column tuples occurring more than once."""
     return (_scope(df, where).groupBy(*columns)

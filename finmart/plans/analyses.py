@@ -9,12 +9,13 @@ queries leave uncast are published as DECIMAL(18,6).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from finmart.functions.decimals import SUM_MONEY, guarded_ratio
 from finmart.operators.ranking import global_rank
+from finmart.plans.reports import rpt_segment_margin_concentration
 
 RATE_OUT = DecimalType(18, 6)
 
@@ -43,17 +44,18 @@ def a02_top_customers_90d(rpt90: DataFrame, k: int = 25) -> DataFrame:
                  .limit(k))
 
 
-def a03_latest_month_concentration(seg: DataFrame) -> DataFrame:
-    # The report has one row per (month, segment) — a size set by the calendar,
-    # not the data volume — so the latest month is a window over it; a scalar
-    # subquery would aggregate the whole fact a second time.
-    latest = F.max("order_year_month_key").over(Window.partitionBy())
-    return (seg.withColumn("_latest", latest)
-               .filter(F.col("order_year_month_key") == F.col("_latest"))
-               .select("order_year_month_key", "market_segment", "total_net_revenue",
-                       "total_gross_margin", "margin_rate", "revenue_share", "margin_share",
-                       "margin_concentration_index")
-               .orderBy(F.col("total_net_revenue").desc_nulls_last(), "market_segment"))
+def a03_latest_month_concentration(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    """The concentration report of the latest month that a known customer has
+    bought in.  That month is one maximum over two columns; with it, the report
+    is made from a single month's folder of the fact."""
+    known = fact.join(dim_cust.select("customer_key"), "customer_key", "left_semi")
+    latest = known.select(F.max("order_year_month_key")).scalar()
+    month = fact.filter(F.col("order_year_month_key") == latest)
+    return (rpt_segment_margin_concentration(month, dim_cust)
+            .select("order_year_month_key", "market_segment", "total_net_revenue",
+                    "total_gross_margin", "margin_rate", "revenue_share", "margin_share",
+                    "margin_concentration_index")
+            .orderBy(F.col("total_net_revenue").desc_nulls_last(), "market_segment"))
 
 
 def _by_customer_key(fact: DataFrame) -> DataFrame:
@@ -182,7 +184,7 @@ ANALYSES = {
     "a01_headline": (a01_headline, ["fct_sales_lineitem"]),
     "a02_top_customers_90d": (a02_top_customers_90d, ["rpt_customer_profitability_90d"]),
     "a03_latest_month_concentration": (a03_latest_month_concentration,
-                                       ["rpt_segment_margin_concentration"]),
+                                       ["fct_sales_lineitem", "dim_customer"]),
     "a04_top_customers_all_time": (a04_top_customers_all_time, ["fct_sales_lineitem", "dim_customer"]),
     "a05_rank_gap": (a05_rank_gap, ["fct_sales_lineitem", "dim_customer"]),
     "a06_bill_geography": (a06_bill_geography, ["fct_sales_lineitem", "dim_geography"]),

@@ -180,10 +180,28 @@ def supplier_roles(dim_sup: DataFrame, dim_geo: DataFrame) -> DataFrame:
               .select("supplier_id", "supplier_key", "ship_geography_key"))
 
 
+def part_supplier_roles(lineitem: DataFrame, partsupp: DataFrame, dim_sup: DataFrame,
+                        dim_prt: DataFrame, dim_geo: DataFrame) -> DataFrame:
+    """Unit cost, supplier and part keys and ship geography of every (part,
+    supplier) pair that the lines have.  The three lookups meet the pairs, which
+    are far fewer than the lines, so the lines themselves are shuffled for one
+    lookup instead of three."""
+    pairs = lineitem.select(F.col("part_id").alias("_part"), F.col("supplier_id").alias("_supplier")).distinct()
+    ps = partsupp.select(F.col("part_id").alias("_ps_part"), F.col("supplier_id").alias("_ps_supp"),
+                         "supply_cost_per_unit")
+    x = pairs.join(ps, (pairs["_part"] == ps["_ps_part"]) & (pairs["_supplier"] == ps["_ps_supp"]), "left")
+    sr = supplier_roles(dim_sup, dim_geo)
+    x = x.join(sr, x["_supplier"] == sr["supplier_id"], "left")
+    dp = dim_prt.select(F.col("part_id").alias("_dp_part"), "part_key")
+    x = x.join(dp, x["_part"] == dp["_dp_part"], "left")
+    return x.select("_part", "_supplier", "supply_cost_per_unit", "supplier_key",
+                    "ship_geography_key", "part_key")
+
+
 def fct_sales_lineitem(lineitem: DataFrame, orders: DataFrame, dim_cust: DataFrame,
                        partsupp: DataFrame, dim_sup: DataFrame, dim_prt: DataFrame,
                        dim_geo: DataFrame) -> DataFrame:
-    """Line fact: lines ⋈ resolved orders, ⟕ unit cost, ⟕ supplier/part keys.
+    """Line fact: lines ⋈ resolved orders, ⟕ cost and keys of the line's part and supplier.
 
     Missing unit cost keeps supply_cost, gross_margin and margin_rate NULL
     (never 0) so sums skip the line.
@@ -193,14 +211,9 @@ def fct_sales_lineitem(lineitem: DataFrame, orders: DataFrame, dim_cust: DataFra
                          "tax_amount", "net_revenue", "return_flag", "line_status", "ship_date",
                          "commit_date", "receipt_date", "ship_mode", "ship_instruction")
     base = li.join(resolved_orders(orders, dim_cust, dim_geo), "order_id", "inner")
-    ps = partsupp.select(F.col("part_id").alias("_ps_part"), F.col("supplier_id").alias("_ps_supp"),
-                         "supply_cost_per_unit")
-    x = (base.join(ps, (base["part_id"] == ps["_ps_part"]) & (base["supplier_id"] == ps["_ps_supp"]),
-                   "left").drop("_ps_part", "_ps_supp"))
-    sr = supplier_roles(dim_sup, dim_geo).withColumnRenamed("supplier_id", "_sr_supp")
-    x = x.join(sr, x["supplier_id"] == sr["_sr_supp"], "left").drop("_sr_supp")
-    dp = dim_prt.select(F.col("part_id").alias("_dp_part"), "part_key")
-    x = x.join(dp, x["part_id"] == dp["_dp_part"], "left").drop("_dp_part")
+    pairs = part_supplier_roles(li, partsupp, dim_sup, dim_prt, dim_geo)
+    x = base.join(pairs, base["part_id"].eqNullSafe(pairs["_part"])
+                  & base["supplier_id"].eqNullSafe(pairs["_supplier"]), "left")
 
     cost_qty = F.col("supply_cost_per_unit") * F.col("quantity")
     margin_exact = F.col("net_revenue") - cost_qty

@@ -11,9 +11,12 @@ ancestors of the model asked for.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Callable
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from finmart.operators.scd2 import scd2_snapshot
@@ -21,7 +24,9 @@ from finmart.plans import gold, reports, silver
 from finmart.plans.bronze import BRONZE_NAMES, bronze
 from finmart.sources.history import HISTORY_RUNS, customer_extracts
 from finmart.sources.reader import Sources
+from finmart.session import scratch_path
 from finmart.sources.schemas import SOURCE_TABLES
+from finmart.sources.sinks import write_fact, write_table
 
 # Snapshot key and the columns whose change opens a version.
 SNAPSHOT_KEY = "c_custkey"
@@ -138,16 +143,23 @@ def _identity(name: str, df: DataFrame) -> DataFrame:
 def build_models(spark: SparkSession, sf_dir: str, options: BuildOptions | None = None,
                  materialize: Callable[[str, DataFrame], DataFrame] = _identity,
                  layer: str | None = None,
-                 previous_snapshot: DataFrame | None = None) -> dict[str, DataFrame]:
+                 previous_snapshot: DataFrame | None = None, threads: int = 4) -> dict[str, DataFrame]:
     """Build every model in dependency order (``layer`` restricts which
-    models are handed to ``materialize``; upstream ones stay lazy)."""
+    models are handed to ``materialize``; upstream ones stay lazy).  Steps that
+    don't need each other run at the same time, at most ``threads`` of them."""
     o = options or BuildOptions()
     selected = set(LAYERS[layer]) if layer else None
-    m: dict[str, DataFrame] = {}
-    for name, _deps, fn in steps(spark, sf_dir, o, previous_snapshot):
+    futures: dict[str, Future] = {}
+
+    def run(name: str, deps: list[str], fn) -> DataFrame:
+        m = {d: futures[d].result() for d in deps}  # these were queued before
         df = fn(m)
-        m[name] = materialize(name, df) if selected is None or name in selected else df
-    return m
+        return materialize(name, df) if selected is None or name in selected else df
+
+    with ThreadPoolExecutor(threads) as pool:
+        for name, deps, fn in steps(spark, sf_dir, o, previous_snapshot):
+            futures[name] = pool.submit(inheritable_thread_target(spark)(run), name, deps, fn)
+        return {name: f.result() for name, f in futures.items()}
 
 
 class Models:
@@ -156,9 +168,10 @@ class Models:
 
     def __init__(self, spark: SparkSession, sf_dir: str, options: BuildOptions | None = None,
                  freeze: frozenset[str] = frozenset()):
-        """``freeze`` names models to checkpoint (reliable checkpoint folder)
-        when first built: later plans start from their files — smaller plans,
-        no recomputation when many queries share them."""
+        """``freeze`` names models that are written once, as Parquet in the
+        shared checkpoint folder (the fact by month, like its table), when first
+        built: later plans start from those files and read only the columns
+        and months they need."""
         self.spark, self.sf_dir = spark, sf_dir
         self.options = options or BuildOptions()
         self.freeze = freeze
@@ -171,9 +184,15 @@ class Models:
             for d in deps:
                 self[d]
             df = fn(self)
-            self._m[name] = df.checkpoint(eager=True) if name in self.freeze else df
+            self._m[name] = self._frozen(name, df) if name in self.freeze else df
         return self._m[name]
 
 
+    def _frozen(self, name: str, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, f"models-{uuid.uuid4().hex}/{name}")
+        (write_fact if name == "fct_sales_lineitem" else write_table)(df, path)
+        return self.spark.read.parquet(path).select(*df.columns)
+
+
 # Models worth freezing when many queries share one lazy model set.
 SHARED_MODELS = frozenset({"snap_customer_scd2", "dim_customer", "fct_sales_lineitem"})

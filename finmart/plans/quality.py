@@ -4,8 +4,9 @@
 store keeps).  ``run_checks`` returns one summary row per check —
 check_id, layer, relation, column_name, check_name, severity, failures,
 status — and evaluates all row-level checks of a relation (not_null,
-accepted_values, expression_is_true, positive_value) in ONE aggregation pass
-over it.  A relation's unscoped uniqueness and combination checks share one
+expression_is_true, positive_value) in ONE aggregation pass over it (no
+distinct in it, so no row is copied); accepted_values filters the bad values
+first and groups those few.  A relation's unscoped uniqueness and combination checks share one
 grouping-sets aggregation; relationships count child rows per key before
 the anti join.  Every
 set-level check contributes (check_id, n) rows to a single map-side-combined
@@ -22,14 +23,12 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from finmart.operators import checks as C
 from finmart.plans.catalogue import CATALOGUE, LAYER_OF, Check
 
-ROW_LEVEL = {"not_null", "accepted_values", "expression_is_true", "positive_value"}
+ROW_LEVEL = {"not_null", "expression_is_true", "positive_value"}
 
 
 def _fail_condition(c: Check):
     if c.kind == "not_null":
         cond = C.not_null_fails(c.column)
-    elif c.kind == "accepted_values":
-        cond = C.accepted_values_fails(c.column, c.args["values"])
     elif c.kind == "expression_is_true":
         cond = C.expression_fails(c.args["expression"], c.column)
     elif c.kind == "positive_value":
@@ -74,7 +73,7 @@ def _contributions(c: Check, i: int, rel: DataFrame, models) -> DataFrame:
     """Rows (check_id, n) whose sum is the failure count of a set-level check."""
     cid = F.lit(i).alias("check_id")
     if c.kind == "relationships":
-        # per-key child counts meet the parent keys (see relationships_failure_count)
+        # per-key child counts meet the parent keys 
         per_key = (C._scope(rel, c.where).filter(F.col(c.column).isNotNull())
                    .groupBy(F.col(c.column).alias("_fk")).agg(F.count(F.lit(1)).alias("n")))
         keys = models[c.args["to"]].select(F.col(c.args["field"]).alias("_parent_key"))
@@ -136,10 +135,7 @@ def run_checks(models, catalogue: list[Check] = CATALOGUE,
             aggs = []
             for i, c in fused:
                 cond = _fail_condition(c)
-                if c.kind == "accepted_values":
-                    aggs.append(F.count_distinct(F.when(cond, F.col(c.column))).alias(f"c{i}"))
-                else:
-                    aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"c{i}"))
+                aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"c{i}"))
             rows = F.array(*[F.struct(F.lit(i).alias("check_id"),
                                       F.col(f"c{i}").cast("long").alias("n"))
                              for i, _ in fused])

@@ -18,8 +18,13 @@ def window_bounds(fact: DataFrame, days: int = 90, as_of: dt.date | str | None =
     """(start, end) of the report window as Columns: end = the fact's latest
     order date — a scalar subquery, so the report stays a view that is
     recomputed at read — or ``as_of`` (e.g. today's date for a live source)."""
-    end = (F.lit(str(as_of)).cast("date") if as_of is not None
-           else fact.select(F.max("order_date")).scalar())
+    if as_of is not None:
+        end = F.lit(str(as_of)).cast("date")
+    else:
+        if "order_year_month_key" in fact.columns:  # only the newest month's folder is read for it
+            newest = fact.select(F.max("order_year_month_key")).scalar()
+            fact = fact.filter(F.col("order_year_month_key") == newest)
+        end = fact.select(F.max("order_date")).scalar()
     return F.date_sub(end, days), end
 
 

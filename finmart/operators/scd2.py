@@ -35,13 +35,32 @@ def _open_row(data_cols, types, src: str, key: str, as_of_ts, as_of_txt):
                     F.lit(None).cast("timestamp_ntz").alias("scd_valid_to"))
 
 
+def _per_key(current: DataFrame, key: str) -> DataFrame:
+    """One row per key that is there, with its least and greatest row."""
+    row = F.struct(*current.columns)
+    return current.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
+        F.min(row).alias("c"), F.max(row).alias("_other"))
+
+
+def set_aside(current: DataFrame, key: str) -> DataFrame:
+    """Rows of an extract that a snapshot can't apply, with the reason: no key,
+    or a key that comes with different rows."""
+    bad = _per_key(current, key).filter(~F.col("c").eqNullSafe(F.col("_other"))).select("_k")
+    unclear = current.join(bad, current[key] == bad["_k"], "left_semi")
+    return (current.filter(F.col(key).isNull()).withColumn("reason", F.lit("key_null"))
+            .unionByName(unclear.withColumn("reason", F.lit("key_repeated"))))
+
+
 def scd2_snapshot(previous: DataFrame | None, current: DataFrame, key: str,
                   check_cols: list[str], as_of: str,
                   invalidate_hard_deletes: bool = True) -> DataFrame:
     """Merge ``current`` into the snapshot ``previous`` as of ``as_of``.
 
     ``as_of`` is an argument (not the wall clock) so reruns are reproducible;
-    re-running with the same extract is a no-op.
+    re-running with the same extract is a no-op.  Exact repeats of a row count
+    once; rows without a key, and keys that come with different rows, aren't
+    applied (``set_aside`` reports them): an open version of such a key stays
+    as it is.
     """
     data_cols = current.columns
     types = {f.name: f.dataType for f in current.schema.fields}
@@ -49,16 +68,17 @@ def scd2_snapshot(previous: DataFrame | None, current: DataFrame, key: str,
     as_of_txt = F.date_format(as_of_ts, "yyyy-MM-dd HH:mm:ss")
     out_cols = [*data_cols, *SCD_COLUMNS]
 
+    delivered = _per_key(current, key)
+    usable = delivered.filter(F.col("c").eqNullSafe(F.col("_other")))
     if previous is None:
-        return (current.alias("c")
-                .select(_open_row(data_cols, types, "c", key, as_of_ts, as_of_txt).alias("r"))
+        return (usable.select(_open_row(data_cols, types, "c", key, as_of_ts, as_of_txt).alias("r"))
                 .select("r.*"))
 
     prev = previous.select(*out_cols)
     closed = prev.filter(F.col("scd_valid_to").isNotNull())
     open_ = prev.filter(F.col("scd_valid_to").isNull())
 
-    cur = current.select(F.col(key).alias("_k"), F.struct(*data_cols).alias("c"))
+    cur = usable.select("_k", "c")
     old = open_.select(F.col(key).alias("_k"), F.struct(*out_cols).alias("o"))
 
     # 1) every current row with its open version, if any (left outer join:
@@ -85,7 +105,10 @@ def scd2_snapshot(previous: DataFrame | None, current: DataFrame, key: str,
 
     # 2) open versions whose key is gone from the extract (left anti join):
     #    closed at as_of when hard deletes expire rows, else kept open
-    gone = old.join(cur.select("_k"), "_k", "left_anti")
+    gone = old.join(delivered.select("_k"), "_k", "left_anti")
+    # 3) open versions whose key comes with different rows: left as they are
+    unclear = delivered.filter(~F.col("c").eqNullSafe(F.col("_other"))).select("_k")
+    held = old.join(unclear, "_k", "left_semi").select("o.*").select(*out_cols)
     end = as_of_ts if invalidate_hard_deletes else F.col("o.scd_valid_to")
     expired = gone.select(old_version(end).alias("r")).select("r.*")
-    return merged.unionByName(expired).unionByName(closed)
+    return merged.unionByName(expired).unionByName(held).unionByName(closed)

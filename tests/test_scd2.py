@@ -57,3 +57,20 @@ def test_null_to_null_is_not_a_change(spark):
     s1 = _snap(None, [_cust(1, addr=None)], spark, "1995-01-01 00:00:00")
     s2 = _snap(s1, [_cust(1, addr=None)], spark, "1998-01-01 00:00:00")
     assert s2.count() == 1
+
+
+def test_rows_without_a_clear_key_are_set_aside(spark):
+    from finmart.operators.scd2 import scd2_snapshot, set_aside
+    one = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "n")], "k int, v string")
+    two = spark.createDataFrame([(1, "x"), (1, "z"), (2, "b"), (None, "n"), (3, "c"), (3, "d")],
+                                "k int, v string")
+    first = scd2_snapshot(None, one, "k", ["v"], "2020-01-01")
+    again = scd2_snapshot(first, one, "k", ["v"], "2020-02-01")
+    for snap in (first, again):
+        assert sorted((r.k, r.v) for r in snap.collect()) == [(1, "a"), (2, "b")]
+    later = scd2_snapshot(again, two, "k", ["v"], "2020-03-01")
+    assert sorted((r.k, r.v, r.scd_valid_to is None) for r in later.collect()) == [
+        (1, "a", True), (2, "b", True)]
+    assert sorted((str(r.k), r.v, r.reason) for r in set_aside(two, "k").collect()) == [
+        ("1", "x", "key_repeated"), ("1", "z", "key_repeated"), ("3", "c", "key_repeated"),
+        ("3", "d", "key_repeated"), ("None", "n", "key_null")]

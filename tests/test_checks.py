@@ -30,15 +30,28 @@ def test_expression_null_is_not_failure_and_where(spark):
     assert C.unique_combination(df, ["cur"], where="cur = true").count() == 1
 
 
-def test_relationships_failure_count_matches_rows(spark):
+def test_relationships_summary_matches_rows(spark):
+    from finmart.plans.catalogue import Check
+    from finmart.plans.quality import run_checks
     child = spark.createDataFrame([(1, True), (2, True), (2, True), (None, True), (3, False)],
                                   "fk long, keep boolean")
     parent = spark.createDataFrame([(1,), (1,)], "id long")
-    assert C.relationships_failure_count(child, "fk", parent, "id").first()[0] == 3
-    assert C.relationships_failure_count(child, "fk", parent, "id", where="keep").first()[0] == 2
+    checks = [Check("child", "fk", "relationships", {"to": "parent", "field": "id"}),
+              Check("child", "fk", "relationships", {"to": "parent", "field": "id"}, where="keep")]
+    rows = run_checks({"child": child, "parent": parent}, checks).orderBy("check_id").collect()
+    assert [r.failures for r in rows] == [3, 2]
     assert C.relationships(child, "fk", parent, "id").count() == 3
 
 
+def test_accepted_values_counts_bad_values(spark):
+    from finmart.plans.catalogue import Check
+    from finmart.plans.quality import run_checks
+    df = spark.createDataFrame([("a",), ("x",), ("x",), ("y",), (None,)], "v string")
+    checks = [Check("t", "v", "accepted_values", {"values": ["a"]}), Check("t", "v", "not_null")]
+    rows = run_checks({"t": df}, checks).orderBy("check_id").collect()
+    assert [r.failures for r in rows] == [2, 1]
+
+
 def test_fused_uniqueness_matches_individual_checks(spark):
     from pyspark.sql import functions as F
 

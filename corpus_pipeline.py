@@ -7,11 +7,15 @@ what it reads back.  All stages but the last return the columns of documents.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from finmart.llm import mixing, packing, quality_rules, simhash_dedup, toxicity_cnn
-from finmart.llm.common import scratch_table, table, workers_find_package
+from finmart.llm.common import table, workers_find_package
+from finmart.session import ensure_checkpoint_dir
+from finmart.sources.storage import delete_folder
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +62,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
-        docs = scratch_table(stage(spark, docs, sf_dir), f"stage{i + 1}")
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+        if i:  # nothing reads the stage before any more
+            delete_folder(spark, f"{folder}/{i - 1}")
     return docs

@@ -46,7 +46,7 @@ FILTERS = 8
 HEADS = (4, 5)
 EPOCHS = 2
 #: Words a worker remembers the buckets of.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 
 #: Common function words, to guess a text's language.
 FUNCTION_WORDS = {

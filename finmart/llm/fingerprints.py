@@ -130,7 +130,9 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     order = checkpointed(order.orderBy(*_KEY).withColumn("_m", F.monotonically_increasing_id()))
     previous = checkpointed(_previous(order))
 
+    # the filter keeps both uses of the texts alike, so that they are shuffled once
     texts = rows.groupBy(*_KEY).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("_copies"))
+    texts = texts.filter("_copies > 0")
     pieces = texts.join(previous, _KEY).select(
         *[F.col(f"_before_{c}").alias(c) for c in _KEY],
         F.expr("left(text, int(_before_n_chars div 4))").alias("_piece"))

@@ -45,7 +45,7 @@ def test_odd_rows(llm, odd_docs):
     rows = Q.score(odd_docs, model).collect()
     assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
     kept = Q.keep_good(odd_docs, model)
-    assert kept.columns == odd_docs.columns and kept.schema == odd_docs.schema
+    assert kept.dtypes == odd_docs.dtypes
     assert kept.count() == sum(r.predicted for r in rows)
     assert Q.score(odd_docs.limit(0), model).count() == 0 and Q.keep_good(odd_docs.limit(0), model).count() == 0
     assert Q.fit(odd_docs, labels.limit(0)).constant == 1.0

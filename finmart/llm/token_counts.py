@@ -21,6 +21,7 @@ table gives an empty table; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from finmart.llm.common import byte_symbols, only_columns, text_slices
 
 #: Entries of each look-up table of a worker before it starts afresh.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 900_000
 #: Piece prefixes up to this length share states; longer ones use local arrays.
 SHARED_PREFIX = 48
 
@@ -88,7 +89,11 @@ class PrefixCounter:
                        else -1 if b >= 0x80 else 0 for b, s in self.symbols.items()}
         self.library = Tokenizer.from_file(path)
         self.states: dict[str, tuple] = {}
+        self.alone: dict[str, bool] = {}
         self.units = _Units(self._unit)
+        # The tables hold no cycles: the collector need not walk them again and again.
+        gc.freeze()
+        gc.set_threshold(200_000, 50, 50)
 
     # ---- the dynamic programme over one piece
     def _compatible(self, x: str, y: str) -> bool:
@@ -107,15 +112,34 @@ class PrefixCounter:
             else:
                 return True
 
+    def _reachable(self, token: str) -> bool:
+        """Whether the token's own text is encoded as this token."""
+        known = self.alone.get(token)
+        if known is None:
+            closed = token.removesuffix(self.end) or token
+            parts = [*closed]
+            parts[-1] += token[len(closed):]
+            while len(parts) > 1:
+                rank, i = min((self.ranks.get(p, 1 << 40), i) for i, p in enumerate(zip(parts, parts[1:])))
+                if rank == 1 << 40:
+                    break
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            self.alone[token] = known = len(parts) == 1
+        return known
+
     def _last(self, s: str, tokens: dict[str, str | None], before) -> int:
         """Where the last token of ``s`` starts: the longest that fits."""
         start, found = len(s) - 1, []
-        while start >= 0 and (tail := s[start:]) in tokens:
-            if token := tokens[tail]:
+        while start >= 0:
+            token = tokens.get(s[start:], "")
+            if token:
                 found.append((start, token))
+            elif token is not None:  # not even the tail of a token
+                break
             start -= 1
-        for start, token in reversed(found):
-            if self._compatible(before(start)[0], token):
+        while found:
+            start, token = found.pop()
+            if self._compatible(before(start)[0], token) if start else self._reachable(token):
                 return start
         raise ValueError(f"no token ends {s!r}")
 

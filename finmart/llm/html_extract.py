@@ -9,7 +9,11 @@ threshold is the least density on the path from ``body`` to the node of the
 largest sum; from ``body`` down, each node at or above the threshold gives its
 subtree of the largest sum to the text.  Only elements that can hold a whole
 article are measured against each other, so a lone paragraph never wins over
-the article around it.
+the article around it.  What is chosen grows to the article (or main) around it.
+Other prose follows: blocks nearly as dense as those chosen, in a page with
+articles only those in an article or main; a subtree that is mostly such blocks
+comes whole, and so do short unlinked blocks between two chosen ones and headings
+right before one.
 
 Elements that are furniture by their tag, role or class name (menus, footers,
 adverts, forms, notices, reader comments, scripts ...) leave the tree first.
@@ -54,6 +58,9 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbo
 CONTAINERS = frozenset(
     "html body article main section div center table tbody tr td ul ol dl dd blockquote details "
     "fieldset figure hgroup pre".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A block is prose from this share of the usual density of the chosen blocks on.
+PROSE_SHARE = 0.25
 _SCOPES = frozenset("body article section div main ul ol dl table blockquote".split())
 #: Page furniture by tag, by role, and by words of class and id.
 FURNITURE_TAGS = frozenset(
@@ -220,14 +227,129 @@ def main_text(page: str) -> str:
     while step is not body and id(step) in parent:
         step = parent[id(step)]
         threshold = min(threshold, step.density)
-    chosen: set[int] = set()
+    chosen: dict[int, _Node] = {}
     todo = [body]
     while todo:
         node = todo.pop()
         if node.density >= threshold and node.best and node.chars:
-            chosen.add(id(node.best))
+            chosen[id(node.best)] = node.best
             todo += [c for c in node.children if not isinstance(c, str)]
-    return _render(body, chosen)
+    return _render(body, _completed(body, chosen, parent))
+
+
+def _inner(node: _Node) -> list[_Node]:
+    return [c for c in node.children if not isinstance(c, str)]
+
+
+def _leaves(node: _Node) -> list[_Node]:
+    """The blocks without blocks in them, headings apart, in page order."""
+    out, todo = [], [node]
+    while todo:
+        node = todo.pop()
+        inner = _inner(node)
+        if node.tag in BLOCKS and node.tag not in HEADINGS and node.chars and not any(
+                c.tag in BLOCKS for c in inner):
+            out.append(node)
+        else:
+            todo += reversed(inner)
+    return out
+
+
+def _completed(body: _Node, chosen: dict[int, _Node], parent: dict[int, _Node]) -> set[int]:
+    """What is chosen, grown to the articles around it, with the prose, the short
+    blocks and the headings that belong to it."""
+    of_article: dict[int, _Node] = {}  # the outermost article around a node, or else its main
+    todo: list = [(body, None)]
+    while todo:
+        node, around = todo.pop()
+        if node.tag in ("article", "main") and (around is None or around.tag == "main" != node.tag):
+            around = node
+        if around:
+            of_article[id(node)] = around
+        todo += [(c, around) for c in _inner(node)]
+    roots = {id(n): n for n in (of_article.get(i, n) for i, n in chosen.items())}
+    in_articles = any(i in of_article for i in roots)
+
+    above: set[int] = set()
+    for node in roots.values():
+        while id(node) in parent and id(parent[id(node)]) not in above:
+            node = parent[id(node)]
+            above.add(id(node))
+    found = sorted((n for r in roots.values() if id(r) not in above for n in _leaves(r)),
+                   key=lambda n: n.density)
+    if not found:
+        return set(roots)
+    half, level = sum(n.chars for n in found) / 2, 0.0
+    for n in found:
+        half, level = half - n.chars, n.density * PROSE_SHARE
+        if half <= 0:
+            break
+
+    def linked(n: _Node) -> bool:
+        return 2 * n.link_chars >= n.chars
+
+    prose: dict[int, int] = {}  # unlinked characters of the dense blocks below
+    for leaf in _leaves(body):
+        if leaf.density >= level and not linked(leaf):
+            prose[id(leaf)] = leaf.chars - leaf.link_chars
+    order, todo = [], [body]
+    while todo:
+        order.append(todo.pop())
+        todo += _inner(order[-1])
+    for node in reversed(order):
+        if id(node) in prose and node is not body:
+            up = id(parent[id(node)])
+            prose[up] = prose.get(up, 0) + prose[id(node)]
+
+    units, todo = [], [body]  # what is taken, headings and other blocks, in page order
+    taken: dict[int, _Node] = {}
+    while todo:
+        node = todo.pop()
+        whole = id(node) in roots
+        if not whole and id(node) not in above and id(node) in prose and not linked(node):
+            whole = (not in_articles or id(node) in of_article) and \
+                2 * prose[id(node)] >= node.chars - node.link_chars
+        if whole:
+            taken[id(node)] = node
+            units.append(node)
+        elif node.tag in HEADINGS and node.chars:
+            units.append(node)
+        else:
+            inner = _inner(node)
+            if node.tag in BLOCKS and node.chars and not any(c.tag in BLOCKS for c in inner):
+                units.append(node)
+            todo += reversed(inner)
+
+    def holds_h1(node: _Node) -> bool:
+        todo = [node]
+        while todo:
+            node = todo.pop()
+            if node.tag == "h1":
+                return True
+            todo += _inner(node)
+        return False
+
+    first = [i for i, n in enumerate(units) if id(n) in taken]
+    if not first:
+        return set(roots)
+    for n in list(taken.values()):
+        while id(n) in parent and id(parent[id(n)]) not in above:
+            n = parent[id(n)]
+            above.add(id(n))
+    has_h1 = any(map(holds_h1, taken.values()))
+    at = {id(n): i for i, n in enumerate(units)}
+    following = None  # the next unit that is no heading is taken
+    for n in reversed(units):
+        if id(n) in taken:
+            following = True
+        elif n.tag not in HEADINGS:
+            near = id(parent[id(n)]) in above and first[0] < at[id(n)] < first[-1]
+            following = near and not linked(n)
+            if following:
+                taken[id(n)] = n
+        elif following and (id(parent[id(n)]) in above or n.tag == "h1" and not has_h1):
+            taken[id(n)] = n
+    return set(taken)
 
 
 def _render(body: _Node, chosen: set[int]) -> str:

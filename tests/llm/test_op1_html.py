@@ -29,6 +29,25 @@ def test_text_in_plain_containers_and_broken_html():
     assert main_text(deep) == PROSE.strip()
 
 
+def test_main_text_beside_the_largest_container():
+    p = lambda n, c="x": f"<p>{(c * 9 + ' ') * (n // 10)}</p>"
+    line = lambda n, c="x": ((c * 9 + " ") * (n // 10)).strip()
+    ten = "<div>" + p(400) * 10 + "</div>"
+    menu = "<div><a href=1>One of the links</a> <a href=2>Another of the links</a></div>"
+    body = [line(400)] * 10
+    assert main_text(f"<body><article><header><h1>T</h1></header>{ten}</article>").split("\n") == ["T"] + body
+    assert main_text(f"<body>{menu}<article><h1>T</h1>{p(800, 'l')}{ten}<p>End.</p></article>{menu}").split("\n") == [
+        "T", line(800, "l"), *body, "End."]
+    assert main_text(f"<body>{menu}<div><h1>T</h1>{p(800, 'l')}{ten}</div>{menu}").split("\n") == [
+        "T", line(800, "l"), *body]
+    two = f"<section><h2>A</h2>{p(400) * 5}</section><p>Short.</p><section><h2>B</h2>{p(300, 'y') * 5}</section>"
+    want = ["A", *[line(400)] * 5, "Short.", "B", *[line(300, "y")] * 5]
+    assert main_text(f"<body>{menu}{two}{menu}").split("\n") == want
+    assert main_text(f"<body>{menu}<main>{two}</main>{menu}{p(300, 'z')}").split("\n") == want
+    assert main_text(f"<body>{menu}<article>{two}</article>{menu}<article>{p(200, 'z')}</article>").split("\n") == [
+        *want, line(200, "z")]
+
+
 def test_rows(llm):
     rows = [(1, "u", f"<article><p>{PROSE}</p></article>"), (None, None, None), (2, "v", ""),
             (2, "v", ""), (3, "w", "<p>a 😀</p>")]

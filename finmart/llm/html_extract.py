@@ -15,8 +15,11 @@ articles only those in an article or main; a subtree that is mostly such blocks
 comes whole, and so do short unlinked blocks between two chosen ones and headings
 right before one.
 
-Elements that are furniture by their tag, role or class name (menus, footers,
-adverts, forms, notices, reader comments, scripts ...) leave the tree first.
+Elements that are furniture by their tag or role (menus, footers, forms, scripts
+...) leave the tree first.  A class or id (advert, sidebar, comments ...) is evidence
+only: a whole name or its last word counts, and the element stays if it holds an
+article, a headline with prose, or most of the unlinked prose around it.  Names
+that articles have too (discussion, related ...) count outside articles only.
 
 Defined results: null or empty html gives an empty text; malformed html is
 closed the way browsers do (a new block ends an open paragraph, unknown end
@@ -62,7 +65,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A block is prose from this share of the usual density of the chosen blocks on.
 PROSE_SHARE = 0.25
 _SCOPES = frozenset("body article section div main ul ol dl table blockquote".split())
-#: Page furniture by tag, by role, and by words of class and id.
+#: Page furniture by tag, by role, and by names of class and id.
 FURNITURE_TAGS = frozenset(
     "nav aside footer form script style noscript template iframe svg math button select "
     "textarea input label object embed canvas audio video head menu dialog".split())
@@ -75,17 +78,28 @@ FURNITURE_NAMES = frozenset(
     "notices notification popup modal newsletter subscribe subscription signup login comment "
     "comments discussion respond replies disqus pagination pager toolbar masthead skip "
     "disclaimer copyright gdpr alert".split())
+#: Names that parts of an article have as well.
+AMBIGUOUS_NAMES = frozenset(
+    "discussion related recommended respond replies notice notices alert disclaimer copyright "
+    "promotion side share sharing social comment comments skip menu navigation".split())
+#: Last words that say where or in which form, and words that tell a state of the page.
+_FORM_WORDS = frozenset(
+    "area bar block bottom box buttons container content form inner item items left links list "
+    "main outer right section slot top unit wrap wrapper".split())
+_STATE_WORDS = frozenset("has is no not with without".split())
+#: Characters of prose that a named element needs for its headline to count.
+HEADLINE_PROSE = 200
 _WORD = re.compile(r"[a-z]+")
 _ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|(\S+)))?""",
                    re.I)
 
 
 class _Node:
-    __slots__ = ("tag", "children", "furniture", "chars", "tags", "link_chars", "link_tags",
+    __slots__ = ("tag", "children", "furniture", "named", "chars", "tags", "link_chars", "link_tags",
                  "density", "total", "best")
 
-    def __init__(self, tag: str, furniture: bool = False):
-        self.tag, self.furniture = tag, furniture
+    def __init__(self, tag: str, furniture: bool = False, named: int = 0):
+        self.tag, self.furniture, self.named = tag, furniture, named
         self.children: list = []  # nodes, and strings of text
 
 
@@ -98,10 +112,7 @@ def _is_furniture(tag: str, attrs: str, open_tags: list[_Node]) -> bool:
         return False
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
-        if name in ("class", "id"):
-            if not FURNITURE_NAMES.isdisjoint(_WORD.findall(value)):
-                return True
-        elif name == "role":
+        if name == "role":
             if value in FURNITURE_ROLES:
                 return True
         elif name == "hidden" or name == "aria-hidden" and value == "true" \
@@ -110,6 +121,26 @@ def _is_furniture(tag: str, attrs: str, open_tags: list[_Node]) -> bool:
     return False
 
 
+def _named(tag: str, attrs: str) -> int:
+    """Whether class or id name furniture: 0 no, 1 by a name that parts of an
+    article have too, 2 yes."""
+    found = 0
+    if not attrs or tag in ("html", "body", "article", "main"):
+        return found
+    for name, a, b, c in _ATTR.findall(attrs):
+        if name.lower() not in ("class", "id"):
+            continue
+        for token in (a or b or c).lower().split():
+            words = _WORD.findall(token)
+            if not _STATE_WORDS.isdisjoint(words):
+                continue
+            while len(words) > 1 and words[-1] in _FORM_WORDS:
+                words.pop()
+            if words and words[-1] in FURNITURE_NAMES:
+                found = max(found, 1 if words[-1] in AMBIGUOUS_NAMES else 2)
+    return found
+
+
 def parse(page: str) -> _Node:
     """The tree of a page; text is decoded, comments and raw elements are gone."""
     root = _Node("html")
@@ -152,7 +183,7 @@ def parse(page: str) -> _Node:
                 if stack[i].tag == open_tag:
                     while len(stack) > i:
                         pop()
-        node = _Node(tag, _is_furniture(tag, attrs, stack))
+        node = _Node(tag, _is_furniture(tag, attrs, stack), _named(tag, attrs))
         stack[-1].children.append(node)
         if tag not in VOID and not (attrs.endswith("/") and tag not in BLOCKS):
             stack.append(node)
@@ -185,6 +216,35 @@ def _measure(root: _Node) -> list[_Node]:
     return order
 
 
+def _without_named(root: _Node, order: list[_Node]) -> list[_Node]:
+    """The nodes once more, without those that are furniture by name."""
+    if not any(n.named for n in order):
+        return order
+    plain = lambda n: n.chars - n.link_chars
+    holds: dict[int, tuple[bool, bool]] = {}  # article or main with text, h1
+    for node in order:
+        inner = [holds[id(c)] for c in node.children if not isinstance(c, str)]
+        holds[id(node)] = (node.tag in ("article", "main") and plain(node) > 0 or any(a for a, _ in inner),
+                           node.tag == "h1" or any(h for _, h in inner))
+    in_articles = holds[id(root)][0]
+    todo = [(root, root)]
+    while todo:
+        node, around = todo.pop()
+        if node.tag in ("article", "main"):
+            around = node
+        if node.named:
+            article, h1 = holds[id(node)]
+            inside = around is not root
+            node.furniture = not (
+                article or h1 and plain(node) >= HEADLINE_PROSE
+                or (inside or not in_articles) and 2 * plain(node) > plain(around)
+                or node.named == 1 and (inside or not in_articles) and plain(node) > node.link_chars
+                and node.tag in ("section", "p", *HEADINGS))
+        if not node.furniture:
+            todo += [(c, around) for c in node.children if not isinstance(c, str)]
+    return _measure(root)
+
+
 def _density(node: _Node, page_link_share: float) -> float:
     """Characters per tag, less the more of both is in links."""
     if not node.chars:
@@ -201,7 +261,7 @@ def main_text(page: str) -> str:
     if not page:
         return ""
     root = parse(page)
-    order = _measure(root)
+    order = _without_named(root, _measure(root))
     body = next((n for n in reversed(order) if n.tag == "body"), root)
     if not body.chars:
         body = root

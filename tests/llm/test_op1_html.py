@@ -48,6 +48,21 @@ def test_main_text_beside_the_largest_container():
         *want, line(200, "z")]
 
 
+def test_names_are_evidence_only():
+    long, more = f"<p>{PROSE * 4}</p>" * 5, f"<p>{PROSE * 3}</p>" * 2
+    want, other = [(PROSE * 4).strip()] * 5, [(PROSE * 3).strip()] * 2
+    for name in ("content has-sidebar", "no-sidebar", "layout-with-menu", "comments-open", "sidebar", "menu"):
+        assert main_text(f'<body><div class="{name}">{long}</div></body>').split("\n") == want, name
+        assert main_text(f'<body><div id="x" class="{name}"><article>{long}</article></div>').split("\n") == want
+        assert main_text(f"<body><article>{more}<div class='{name}'>{long}</div></article>").split("\n") == other + want
+    paper = f'<section id="results">{long}</section><section id="discussion"><h2>Discussion</h2>{more}</section>'
+    for page in (f"<body><article>{paper}</article>", f"<body>{paper}"):
+        assert main_text(page).split("\n") == [*want, "Discussion", *other]
+    for name in ("sidebar", "sidebar-left", "comments", "comments-area", "site-ad", "cookie-bar", "related"):
+        assert main_text(f"<body><article>{long}</article><div class={name}>{more}</div>").split("\n") == want, name
+        assert main_text(f"<body><div>{long}</div><div class={name}>{more}</div>").split("\n") == want, name
+
+
 def test_rows(llm):
     rows = [(1, "u", f"<article><p>{PROSE}</p></article>"), (None, None, None), (2, "v", ""),
             (2, "v", ""), (3, "w", "<p>a 😀</p>")]

@@ -51,6 +51,12 @@ def set_aside(current: DataFrame, key: str) -> DataFrame:
             .unionByName(unclear.withColumn("reason", F.lit("key_repeated"))))
 
 
+def set_aside_counts(rows: DataFrame, entity: str) -> DataFrame:
+    """Rows set aside per reason; they warn, they don't fail a build."""
+    return (rows.groupBy("reason").agg(F.count(F.lit(1)).alias("failures"))
+            .select(F.lit(entity).alias("entity"), "reason", "failures", F.lit("warn").alias("status")))
+
+
 def scd2_snapshot(previous: DataFrame | None, current: DataFrame, key: str,
                   check_cols: list[str], as_of: str,
                   invalidate_hard_deletes: bool = True) -> DataFrame:
@@ -59,7 +65,7 @@ def scd2_snapshot(previous: DataFrame | None, current: DataFrame, key: str,
     ``as_of`` is an argument (not the wall clock) so reruns are reproducible;
     re-running with the same extract is a no-op.  Exact repeats of a row count
     once; rows without a key, and keys that come with different rows, aren't
-    applied (``set_aside`` reports them): an open version of such a key stays
+    applied (``set_aside`` gives them, a build stores them): an open version of such a key stays
     as it is.
     """
     data_cols = current.columns

@@ -14,19 +14,21 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from finmart.operators.scd2 import scd2_snapshot
+from finmart.operators.scd2 import scd2_snapshot, set_aside
 from finmart.plans import gold, reports, silver
 from finmart.plans.bronze import BRONZE_NAMES, bronze
 from finmart.sources.history import HISTORY_RUNS, customer_extracts
 from finmart.sources.reader import Sources
 from finmart.session import scratch_path
 from finmart.sources.schemas import SOURCE_TABLES
-from finmart.sources.sinks import write_fact, write_table
+from finmart.sources.sinks import SET_ASIDE, write_fact, write_table
 
 # Snapshot key and the columns whose change opens a version.
 SNAPSHOT_KEY = "c_custkey"
@@ -83,6 +85,14 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
             snap = scd2_snapshot(snap, extract, SNAPSHOT_KEY, SNAPSHOT_CHECK_COLS, as_of)
         return snap
 
+    def left_out(m):
+        """The rows of every snapshot run that it can't apply."""
+        cur = m["tpch_customer"].select(*SNAPSHOT_COLS)
+        runs = customer_extracts(cur) if o.history else [(o.as_of, cur)]
+        return reduce(DataFrame.unionByName, [
+            set_aside(extract, SNAPSHOT_KEY).withColumn("snapshot_as_of", F.lit(as_of).cast("timestamp_ntz"))
+            for as_of, extract in runs])
+
     def calendar(m):
         cover = None
         if o.calendar_end is None:
@@ -92,6 +102,7 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
 
     out += [
         ("snap_customer_scd2", ["tpch_customer"], snapshot),
+        (SET_ASIDE, ["tpch_customer"], left_out),
         ("customer", ["snap_customer_scd2"], lambda m: silver.silver_customer(m["snap_customer_scd2"])),
         ("orders", ["tpch_orders"], lambda m: silver.silver_orders(m["tpch_orders"])),
         ("lineitem", ["tpch_lineitem"], lambda m: silver.silver_lineitem(m["tpch_lineitem"])),
@@ -128,7 +139,7 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
 LAYERS = {
     "source": [f"src_{t}" for t in SOURCE_TABLES],
     "bronze": [BRONZE_NAMES[t] for t in SOURCE_TABLES],
-    "snapshot": ["snap_customer_scd2"],
+    "snapshot": [SET_ASIDE, "snap_customer_scd2"],
     "silver": ["customer", "orders", "lineitem", "part", "supplier", "partsupp", "nation", "region"],
     "gold": ["dim_date", "dim_geography", "dim_customer", "dim_supplier", "dim_part",
              "fct_sales_lineitem", "rpt_customer_profitability_90d",

@@ -20,6 +20,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from finmart.operators.scd2 import set_aside_counts
 from finmart.plans import quality
 from finmart.plans.catalogue import CATALOGUE
 from finmart.plans.pipeline import LAYERS, BuildOptions, build_models
@@ -43,6 +44,8 @@ def build(spark: SparkSession, data_dir: str, warehouse: str,
             if not fresh:  # this version is published already
                 return sinks.read_latest_snapshot(spark, warehouse).select(*df.columns)
             return sinks.write_snapshot_version(df, warehouse, as_of)
+        if name == sinks.SET_ASIDE:
+            return sinks.store_set_aside(df, warehouse, as_of, fresh)
         return mat(name, df)
 
     return build_models(spark, data_dir, o, materialize, layer, previous_snapshot=prev)
@@ -88,6 +91,10 @@ def main(argv=None):
     opts = BuildOptions(history=a.history, bucketed=a.bucketed, standin_costs=a.standin_costs,
                         report_as_of=a.report_as_of, **run_meta)
     models = build(spark, a.data, a.warehouse, opts, a.layer)
+    if a.layer in (None, "snapshot"):
+        counts = set_aside_counts(models[sinks.SET_ASIDE], "customer").collect()  # a row per reason
+        print(json.dumps({"snapshot_set_aside": {r["reason"]: r["failures"] for r in counts},
+                          "status": "warn" if counts else "pass"}))
     if a.checks:
         rows = run_checks(spark, models, a.warehouse, a.store_failures)
         failed = [r.asDict() for r in rows if r["status"] == "fail"]

@@ -51,6 +51,15 @@ def faulty_lineitem(lineitem: DataFrame) -> DataFrame:
         "l_linenumber": F.when(~of(43), F.col("l_linenumber"))})
 
 
+def faulty_customers(customer: DataFrame) -> DataFrame:
+    """A customer extract with missing keys (53), keys that come with different
+    rows (59) and rows that are repeated as they are (61)."""
+    of = lambda n: F.col("c_custkey") % n == 0
+    other = customer.filter(of(59)).withColumn("c_name", F.concat("c_name", F.lit(" (2)")))
+    rows = customer.unionByName(other).unionByName(customer.filter(of(61)))
+    return rows.withColumn("c_custkey", F.when(~of(53), F.col("c_custkey")))
+
+
 def faulty_order_ids(orders: DataFrame) -> DataFrame:
     """Raw order identifiers as text, some too long, with letters, or missing."""
     of = lambda n: F.col("o_orderkey") % n == 0

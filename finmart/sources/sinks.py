@@ -215,6 +215,20 @@ def write_snapshot_version(df: DataFrame, warehouse: str, as_of: str) -> DataFra
     return read_latest_snapshot(spark, warehouse).select(*df.columns)
 
 
+#: The model of the rows that a snapshot run can't apply.
+SET_ASIDE = "snap_customer_set_aside"
+
+
+def store_set_aside(rows: DataFrame, warehouse: str, as_of: str, fresh: bool = True) -> DataFrame:
+    """Rows that the snapshot run of ``as_of`` leaves out, in a folder of the run;
+    one that is published already (not ``fresh``) keeps what it stored."""
+    path = f"{warehouse.rstrip('/')}/quarantine/{SET_ASIDE}/{version_tag(as_of)}"
+    spark = rows.sparkSession
+    if fresh or "_SUCCESS" not in child_names(spark, path):
+        rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).select(*rows.columns)
+
+
 # ---- check failures -------------------------------------------------------
 
 def store_failures(failing: DataFrame, warehouse: str, check_id: int, label: str) -> str:

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 from finmart.operators.scd2 import scd2_snapshot
@@ -74,3 +75,27 @@ def test_rows_without_a_clear_key_are_set_aside(spark):
     assert sorted((str(r.k), r.v, r.reason) for r in set_aside(two, "k").collect()) == [
         ("1", "x", "key_repeated"), ("1", "z", "key_repeated"), ("3", "c", "key_repeated"),
         ("3", "d", "key_repeated"), ("None", "n", "key_null")]
+
+
+def test_build_stores_what_the_snapshot_leaves_out(spark, tmp_path):
+    from conftest import SF_SMALL
+    from finmart.plans.pipeline import BuildOptions
+    from finmart.run import build
+    from finmart.sources import sinks
+    from finmart.sources.faults import faulty_customers
+    customer = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    data, wh = tmp_path / "data", f"{tmp_path}/wh"
+    data.mkdir()
+    for p in os.listdir(SF_SMALL):
+        if p.endswith(".parquet") and p != "customer.parquet":
+            os.symlink(f"{SF_SMALL}/{p}", data / p)
+    faulty_customers(customer).write.parquet(f"file://{data}/customer.parquet")
+    o = BuildOptions(standin_costs=True)
+    for _ in range(2):  # the version is published already the second time
+        left = build(spark, str(data), wh, o, layer="snapshot")[sinks.SET_ASIDE].collect()
+    keys = [r.c_custkey for r in customer.select("c_custkey").collect()]
+    null, twice = [k for k in keys if k % 53 == 0], [k for k in keys if k % 59 == 0 and k % 53]
+    assert sum(r.reason == "key_null" for r in left) == len(null) + sum(k % 59 == 0 for k in null) + sum(
+        k % 61 == 0 for k in null)
+    assert {r.c_custkey for r in left if r.reason == "key_repeated"} == set(twice)
+    assert os.listdir(f"{wh}/quarantine/{sinks.SET_ASIDE}") == [sinks.version_tag(o.as_of)]

@@ -37,7 +37,7 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mix_of_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copies that the mix takes, in training order."""
+    """The copies that the mix takes, in training order (packing doesn't keep it)."""
     workers_find_package(spark)
     return mixing.training_order(docs)
 

@@ -1,8 +1,7 @@
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-SMALL = "/root/testdata/sf0.001"
+from llm_helpers import SMALL
 
 
 @pytest.fixture(scope="session")
@@ -35,20 +34,3 @@ def odd_docs(llm):
                               "cid", "n", "score", "s", "piece", "slope", "which", "y", "_text"]):
         df = df.withColumn(name, F.lit(i))
     return df
-
-
-def oracle_rows(sql: str, folder: str, *tables: str):
-    c = duckdb.connect()
-    for t in tables:
-        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
-    return c.sql(sql).df()
-
-
-def as_text(df):
-    """Rows as sorted tuples of text, for comparing two engines' results."""
-    out = []
-    df = df.sort_index(axis=1)
-    for row in df.astype(object).where(df.notna(), None).itertuples(index=False):
-        out.append(tuple("" if v is None or v != v else repr(float(v)) if isinstance(v, (int, float))
-                         and not isinstance(v, bool) else str(v) for v in row))
-    return sorted(out)

@@ -1,6 +1,6 @@
 import json
 
-from conftest import SMALL, as_text, oracle_rows  # noqa: F401
+from llm_helpers import SMALL, as_text, oracle_rows  # noqa: F401
 
 from finmart.llm import chat_tools as C
 

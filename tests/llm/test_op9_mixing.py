@@ -1,4 +1,4 @@
-from conftest import SMALL, as_text, oracle_rows
+from llm_helpers import SMALL, as_text, oracle_rows
 
 from finmart.llm import mixing as M
 

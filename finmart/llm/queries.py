@@ -95,8 +95,29 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.hard_negatives import mine
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.source_audit import source_divergence
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from finmart.llm.secret_ledger import document_secrets
+    return document_secrets(table(spark, sf_dir, "documents"))
+
+
 def _oracles() -> None:
-    from finmart.llm import chat_tools, mixing
+    from finmart.llm import chat_tools, hard_negatives, mixing, secret_ledger, source_audit
+    ORACLE_SQL["op11_hard_negatives"] = hard_negatives.ORACLE
+    ORACLE_SQL["op12_source_divergence"] = source_audit.ORACLE
+    ORACLE_SQL["op13_secret_ledger"] = secret_ledger.ORACLE
     ORACLE_SQL["op4_tool_call_linking"] = chat_tools.ORACLE
     ORACLE_SQL["op4_tool_call_linking_whole"] = chat_tools.ORACLE_WHOLE
     ORACLE_SQL["op9_curriculum_mix"] = mixing.ORACLE

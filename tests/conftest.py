@@ -20,4 +20,3 @@ def spark():
     s.stop()
 
 
-SF_SMALL = "/root/testdata/sf0.001"

@@ -4,7 +4,7 @@ import pytest
 from harness import compare, duck
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 @pytest.mark.parametrize("name", ["rpt_customer_profitability_as_of_full",

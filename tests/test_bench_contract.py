@@ -5,7 +5,7 @@ import os
 import subprocess
 import sys
 
-from conftest import ROOT, SF_SMALL
+from paths import ROOT, SF_SMALL
 
 
 def test_bench_prints_one_json_line():

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from harness import compare, duck
 
 SAMPLE = ["silver_lineitem", "snapshot_history", "dim_date", "dim_customer_history",

@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from finmart.plans.pipeline import BuildOptions, Models
 from finmart.run import build, run_checks
 from finmart.sources import sinks
@@ -63,7 +63,9 @@ def test_report_refresh_stream_equals_batch_report(spark):
 def test_layer_selection_writes_only_that_layer(spark):
     wh = tempfile.mkdtemp(prefix="finmart-wh-")
     build(spark, SF_SMALL, wh, BuildOptions(standin_costs=True), layer="snapshot")
-    assert sorted(os.listdir(wh)) == ["silver_customer"]
+    # a snapshot run stores what it leaves out beside the snapshot
+    assert sorted(os.listdir(wh)) == ["quarantine", "silver_customer"]
+    assert os.listdir(os.path.join(wh, "quarantine")) == ["snap_customer_set_aside"]
     assert os.listdir(os.path.join(wh, "silver_customer")) == ["snap_customer_scd2"]
 
 

@@ -9,7 +9,7 @@ import tempfile
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 # Jobs that leave a written table: their plan is a scan.  The optional operators
 # have tests of their own.

@@ -78,7 +78,7 @@ def test_rows_without_a_clear_key_are_set_aside(spark):
 
 
 def test_build_stores_what_the_snapshot_leaves_out(spark, tmp_path):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from finmart.plans.pipeline import BuildOptions
     from finmart.run import build
     from finmart.sources import sinks

@@ -8,7 +8,7 @@ skewed reduce partition along map-output boundaries.
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from finmart.plans.gold import resolved_orders
 from finmart.plans.pipeline import BuildOptions, Models
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from finmart.functions.decimals import INDEX, RATIO, SUM_MONEY, guarded_ratio, share
 
-_MEASURES = ["quantity", "extended_price", "discount_amount", "net_revenue", "supply_cost",
+MEASURES = ["quantity", "extended_price", "discount_amount", "net_revenue", "supply_cost",
              "gross_margin"]
 
 
@@ -59,7 +59,7 @@ def latest_customer(dim_cust: DataFrame) -> DataFrame:
 
 def rpt_customer_profitability_90d(fact: DataFrame, dim_cust: DataFrame, days: int = 90,
                                    as_of=None) -> DataFrame:
-    w = windowed_fact(fact, days, as_of).select("customer_key", "order_id", *_MEASURES)
+    w = windowed_fact(fact, days, as_of).select("customer_key", "order_id", *MEASURES)
     keys = dim_cust.select(F.col("customer_key").alias("_dc_key"), "customer_id")
     fc = w.join(keys, w["customer_key"] == keys["_dc_key"], "inner")
     by_customer = fc.groupBy("customer_id").agg(
@@ -71,8 +71,12 @@ def rpt_customer_profitability_90d(fact: DataFrame, dim_cust: DataFrame, days: i
         F.sum("gross_margin").cast(SUM_MONEY).alias("total_gross_margin"),
         F.count_distinct("order_id").alias("order_count"),
         F.count(F.lit(1)).alias("lineitem_count"))
-    lc = latest_customer(dim_cust)
-    j = by_customer.join(lc, "customer_id", "inner")
+    return customer_profitability(by_customer, dim_cust)
+
+
+def customer_profitability(by_customer: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    """The report from the totals of each customer."""
+    j = by_customer.join(latest_customer(dim_cust), "customer_id", "inner")
     return j.select(
         "customer_id", "customer_name", "market_segment", "customer_tier", "nation_name",
         "region_name", (~F.col("is_current")).alias("is_lapsed"),

@@ -1,10 +1,10 @@
 """Batch incremental patterns.
 
-LandedSales — lines and orders land append-only, a folder per batch.  The fact
-(partitioned by order month) follows by recomputing, from everything landed,
-the orders that a batch touches: its own orders and the orders of its lines.
-So a line that came before its order shows up with the order, a re-dated order
-leaves its old month, and how files are dealt to batches makes no difference.
+LandedSales — lines and orders land append-only in a log of hash buckets.  The
+fact (partitioned by order month) follows by recomputing, from the buckets
+concerned, the orders that a batch touches: its own orders and the orders of its
+lines.  So a line that came before its order shows up with the order, a re-dated
+order leaves its old month, and how files are dealt to batches makes no difference.
 
 hwm_ingest — append the source rows that the target doesn't have yet, from its
 high-water mark (less a lateness) on.
@@ -15,101 +15,201 @@ thresholds.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from finmart.functions.keys import year_month_key
 from finmart.session import ensure_checkpoint_dir
-from finmart.sources.storage import delete_folder, path_exists
+from finmart.sources.storage import child_names, delete_folder, path_exists, publish_text, read_text
+from finmart.streaming.landing import BATCH, REPLACES, LandingLog
+from finmart.streaming.schema_change import conform, reconcile
 
 FACT_PARTITION = "order_year_month_key"
-_BATCH, _REPLACES = "landed_batch", "landed_replaces"
 
 
 class LandedSales:
     """Landed silver lines and orders under ``root``, and the fact kept from them.
 
-    Landing is idempotent per batch id (a batch that runs again replaces its own
-    folder).  Batch ids grow with time: the latest delivery of an order wins;
-    lines add up, unless a batch is landed with ``replace=True``, which stands
-    for all lines of its orders delivered before.
+    Both land in a ``LandingLog`` in hash buckets of the order.  Landing is
+    idempotent per batch id (a batch that runs again replaces what it landed).
+    Batch ids grow with time: the latest delivery of an order wins; lines add up,
+    unless a batch is landed with ``replace=True``, which stands for all lines of
+    its orders delivered before.
+
+    A merge first writes what changes (``changes/<token>``: the orders touched, their
+    rows in the fact before, their rows now) and then rewrites the months concerned
+    from it.  So a merge that died at any point is simply run again, and whoever
+    follows the fact by its changes (``DayReport``) sees each change once.
     """
 
     def __init__(self, spark: SparkSession, root: str,
-                 fact_for: Callable[[DataFrame, DataFrame], DataFrame]):
-        """``fact_for(lines, orders)`` gives the fact rows of silver lines."""
+                 fact_for: Callable[[DataFrame, DataFrame], DataFrame],
+                 fact_path: str | None = None, buckets: int = 256, policy: str = "append"):
+        """``fact_for(lines, orders)`` gives the fact rows of silver lines;
+        ``policy`` is what a change of schema means, in what lands and in the fact."""
         ensure_checkpoint_dir(spark)
         self.spark, self.root, self.fact_for = spark, root.rstrip("/"), fact_for
-        self.fact_path = f"{self.root}/fact"
+        self.fact_path = fact_path or f"{self.root}/fact"
+        self.policy = policy
+        needed = {"lines": ("line_number",), "orders": ("customer_id", "order_date")}
+        self.logs = {name: LandingLog(spark, f"{self.root}/{name}", "order_id", buckets, policy, columns)
+                     for name, columns in needed.items()}
+
+    # ---- landing
 
     def land(self, batch_id: int, lines: DataFrame | None = None,
-             orders: DataFrame | None = None, replace: bool = False) -> None:
-        for name, df in (("lines", lines), ("orders", orders)):
-            if df is not None:
-                folder = f"{self.root}/{name}/{_BATCH}={batch_id:012d}"
-                df.withColumn(_REPLACES, F.lit(replace)).write.mode("overwrite").parquet(folder)
-
-    def _landed(self, name: str) -> DataFrame | None:
-        path = f"{self.root}/{name}"
-        if not path_exists(self.spark, path):
-            return None
-        # ids of landed batches are compared as numbers
-        return self.spark.read.parquet(path).withColumn(_BATCH, F.col(_BATCH).cast("bigint"))
+             orders: DataFrame | None = None, replace: bool = False) -> dict[str, list]:
+        """What differed in the schema of the batch, by table."""
+        return {name: self.logs[name].land(batch_id, df, replace)
+                for name, df in (("lines", lines), ("orders", orders)) if df is not None}
+
+    def _folders(self, batch_id: int) -> list[str]:
+        """The landed folders of a batch; landed again, it has new ones."""
+        return [t for t in (log.token(batch_id) for log in self.logs.values()) if t]
+
+    def _state(self) -> dict:
+        names = [n for n in child_names(self.spark, f"{self.root}/fact_log") if n[0] != "."]
+        return (json.loads(read_text(self.spark, f"{self.root}/fact_log/{max(names)}")) if names
+                else {"number": 0, "schema": None, "merged": []})
+
+    def merged(self) -> list[str]:
+        """Change sets of the merged batches, in the order of their merges."""
+        return [m["token"] for m in self._state()["merged"]]
+
+    def is_merged(self, batch_id: int) -> bool:
+        done = {f for m in self._state()["merged"] for f in m["folders"]}
+        return all(f in done or f.startswith("compact-") for f in self._folders(batch_id))
 
-    def _current_orders(self, touched: DataFrame) -> DataFrame | None:
-        """All landed versions of the touched orders, with the latest batch of each."""
-        orders = self._landed("orders")
-        if orders is None:
+    def fact(self) -> DataFrame | None:
+        """The fact as stored (None before the first merge)."""
+        known = self._state()["schema"]
+        if not known:
             return None
-        rows = orders.join(touched, "order_id", "left_semi")
-        latest = rows.groupBy("order_id").agg(F.max(_BATCH).alias("_latest"))
-        return rows.join(latest, "order_id")
+        schema = StructType.fromJson(known)
+        if not path_exists(self.spark, self.fact_path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.fact_path).select(*schema.names)
 
-    def _current_lines(self, touched: DataFrame) -> DataFrame | None:
-        lines = self._landed("lines")
-        if lines is None:
+    # ---- what a batch changes
+
+    def _touched(self, batch_id: int) -> DataFrame | None:
+        parts = [log.read(batch=batch_id) for log in self.logs.values() if batch_id in log.batches()]
+        if not parts:
             return None
-        rows = lines.join(touched, "order_id", "left_semi")
-        since = rows.filter(_REPLACES).groupBy("order_id").agg(F.max(_BATCH).alias("_since"))
-        rows = rows.join(since, "order_id", "left")
-        return rows.filter(F.col("_since").isNull() | (F.col(_BATCH) >= F.col("_since"))).drop(
-            "_since", _BATCH, _REPLACES)
+        return reduce(DataFrame.union, [p.select("order_id") for p in parts]).distinct().checkpoint()
 
-    def merge(self, batch_id: int) -> DataFrame | None:
-        """Brings the fact up to date with a landed batch; the fact as stored
-        (None while nothing can be in it)."""
-        touched = None
-        for name in ("lines", "orders"):
-            landed = self._landed(name)
-            if landed is not None:
-                ids = landed.filter(F.col(_BATCH) == batch_id).select("order_id")
-                touched = ids if touched is None else touched.union(ids)
+    def _of(self, name: str, touched: DataFrame) -> DataFrame | None:
+        """All landed rows of the touched orders; only their buckets are opened."""
+        log = self.logs[name]
+        rows = log.read(buckets=log.buckets_of(touched))
+        return None if rows is None else rows.join(touched, "order_id", "left_semi")
+
+    def _prepare(self, batch_id: int, change: str) -> bool:
+        """Writes the change set of a batch (False while nothing can be in the fact)."""
+        touched = self._touched(batch_id)
         if touched is None:
-            return None
-        touched = touched.distinct().checkpoint()
-        versions, lines = self._current_orders(touched), self._current_lines(touched)
+            return False
+        versions, lines = self._of("orders", touched), self._of("lines", touched)
         if versions is None or lines is None:
-            return None
+            return False
         # every month that a version of these orders was or is in (one row per
-        # calendar month): the only folders that are read and written
+        # calendar month): the only folders of the fact that are read and written
         months = [r[0] for r in versions.select(year_month_key("order_date")).distinct().collect()]
-        orders = versions.filter(F.col(_BATCH) == F.col("_latest")).drop("_latest", _BATCH, _REPLACES)
-        new = self.fact_for(lines, orders)
-        columns = new.columns
-        if path_exists(self.spark, self.fact_path):
-            fact = self.spark.read.parquet(self.fact_path)
-            kept = fact.filter(F.col(FACT_PARTITION).isin(months)).join(touched, "order_id", "left_anti")
-            new = kept.select(*columns).unionByName(new)
-        new = new.checkpoint()  # the write replaces folders that it reads from
-        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(FACT_PARTITION).parquet(self.fact_path))
-        filled = {r[0] for r in new.select(FACT_PARTITION).distinct().collect()}
-        for month in set(months) - filled:  # a month that its last order has left
+        new = self.fact_for(current_lines(lines).drop(BATCH, REPLACES),
+                            latest_orders(versions).drop(BATCH, REPLACES))
+        state = self._state()
+        known = StructType.fromJson(state["schema"]) if state["schema"] else None
+        schema, changes = reconcile(known, new.schema, self.policy, (FACT_PARTITION, "order_id"))
+        stored = self.fact()
+        old = (conform(stored.filter(F.col(FACT_PARTITION).isin(months)), schema)
+               .join(touched, "order_id", "left_semi") if stored is not None
+               else self.spark.createDataFrame([], schema))
+        for name, rows in (("touched", touched), ("old", old), ("new", conform(new, schema))):
+            rows.select(*(schema.names if name != "touched" else ["order_id"])).write.mode(
+                "overwrite").parquet(f"{change}/{name}")
+        publish_text(self.spark, change, "ready.json", json.dumps({
+            "batch": batch_id, "months": months, "schema": schema.jsonValue(),
+            "changes": [c.as_dict() for c in changes]}))
+        return True
+
+    def change(self, token: str) -> tuple[DataFrame, DataFrame]:
+        """The rows that a merge took from the fact, and those it put there."""
+        path = f"{self.root}/changes/{token}"
+        schema = StructType.fromJson(json.loads(read_text(self.spark, f"{path}/ready.json"))["schema"])
+        return tuple(self.spark.read.schema(schema).parquet(f"{path}/{n}") for n in ("old", "new"))
+
+    def merge(self, batch_id: int) -> DataFrame | None:
+        """Brings the fact up to date with a landed batch; the fact as stored
+        (None while nothing can be in it)."""
+        if self.is_merged(batch_id):  # or nothing landed
+            return self.fact()
+        folders = self._folders(batch_id)
+        token = "_".join(folders)
+        path = f"{self.root}/changes/{token}"
+        if not path_exists(self.spark, f"{path}/ready.json") and not self._prepare(batch_id, path):
+            return self.fact()
+        info = json.loads(read_text(self.spark, f"{path}/ready.json"))
+        schema = StructType.fromJson(info["schema"])
+        touched = self.spark.read.parquet(f"{path}/touched")
+        rows, stored = self.change(token)[1], self.fact()
+        if stored is not None:
+            kept = stored.filter(F.col(FACT_PARTITION).isin(info["months"])).join(touched, "order_id", "left_anti")
+            # the write replaces folders that it reads from
+            rows = conform(kept, schema).unionByName(rows).checkpoint()
+        order = [c for c in (FACT_PARTITION, "customer_key", "order_id") if c in schema.names]
+        (rows.hint("rebalance", FACT_PARTITION).sortWithinPartitions(*order).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(FACT_PARTITION).parquet(self.fact_path))
+        filled = {r[0] for r in rows.select(FACT_PARTITION).distinct().collect()}
+        for month in set(info["months"]) - filled:  # a month that its last order has left
             delete_folder(self.spark, f"{self.fact_path}/{FACT_PARTITION}={month}")
-        return self.spark.read.schema(new.schema).parquet(self.fact_path).select(*columns)
+        state = self._state()
+        done = {"token": token, "folders": folders, "batch": batch_id, "changes": info["changes"]}
+        publish_text(self.spark, f"{self.root}/fact_log", f"{state['number'] + 1:012d}.json", json.dumps(
+            {"number": state["number"] + 1, "schema": info["schema"], "merged": state["merged"] + [done]}))
+        return self.fact()
+
+    # ---- upkeep
+
+    def compact(self) -> int:
+        """Few folders instead of one per batch, for the batches before the first
+        one that isn't merged; rows that later batches replace go.  The number of
+        folders that went."""
+        through = None
+        for batch in sorted({b for log in self.logs.values() for b in log.batches()}):
+            if not self.is_merged(batch):
+                break
+            through = batch
+        if through is None:
+            return 0
+        return (self.logs["lines"].compact(through, current_lines)
+                + self.logs["orders"].compact(through, latest_orders))
+
+    def vacuum(self, followed: list[str] | None = None) -> None:
+        """Removes landed folders that nothing names, and the change sets of merged
+        batches (of those in ``followed``, if somebody follows the fact by them)."""
+        for log in self.logs.values():
+            log.vacuum()
+        merged = self.merged()
+        for token in merged if followed is None else [t for t in merged if t in set(followed)]:
+            delete_folder(self.spark, f"{self.root}/changes/{token}")
+
+
+def latest_orders(versions: DataFrame) -> DataFrame:
+    """The latest delivery of each order."""
+    latest = versions.groupBy("order_id").agg(F.max(BATCH).alias("_latest"))
+    return versions.join(latest, "order_id").filter(F.col(BATCH) == F.col("_latest")).drop("_latest")
+
+
+def current_lines(lines: DataFrame) -> DataFrame:
+    """Lines that no later batch replaces."""
+    since = lines.filter(REPLACES).groupBy("order_id").agg(F.max(BATCH).alias("_since"))
+    rows = lines.join(since, "order_id", "left")
+    return rows.filter(F.col("_since").isNull() | (F.col(BATCH) >= F.col("_since"))).drop("_since")
 
 
 def hwm_ingest(spark: SparkSession, source: DataFrame, target_path: str, ts_col: str,

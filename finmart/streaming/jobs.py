@@ -3,7 +3,9 @@
 Each job leaves a table whose content must equal a full rebuild — that is how
 they are tested: ``incremental_fact`` (initial load, then a batch that
 delivers part of a month again), ``redated_order`` and ``late_order`` (orders
-that change month, or come after their lines), ``orders_hwm`` (high-water-mark
+that change month, or come after their lines), ``schema_change`` (batches with
+added, missing and widened columns), ``report_by_change`` (the 90-day report kept
+from what each batch changes), ``orders_hwm`` (high-water-mark
 loads with ties, late rows and rows without a time), ``orders_stream``
 (file-stream landing), ``report_refresh`` (a stream over lineitem files keeping
 the fact and the 90-day report current).
@@ -11,17 +13,19 @@ the fact and the 90-day report current).
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finmart.functions.metadata import META_COLUMNS
-from finmart.plans import gold, reports, silver
+from finmart.plans import gold, silver
 from finmart.plans.bronze import bronze
 from finmart.session import scratch_path
 from finmart.sources.reader import align_source
 from finmart.streaming.incremental import LandedSales, hwm_ingest
+from finmart.streaming.report_state import DayReport
 from finmart.streaming.stream import STREAM_BATCH_COL, refresh_on_new_lines, stream_ingest
 
 
@@ -36,9 +40,14 @@ def fact_for_lines(models, lines: DataFrame, orders: DataFrame) -> DataFrame:
                                    models["dim_geography"])
 
 
-def landed_sales(spark: SparkSession, models, root: str | None = None) -> LandedSales:
+#: Orders that one bucket of the landing log is meant for.
+ORDERS_PER_BUCKET = 100_000
+
+
+def landed_sales(spark: SparkSession, models, root: str | None = None, **options) -> LandedSales:
+    options.setdefault("buckets", max(8, math.ceil(models["orders"].count() / ORDERS_PER_BUCKET)))
     return LandedSales(spark, root or _scratch(spark, "sales"),
-                       lambda lines, orders: fact_for_lines(models, lines, orders))
+                       lambda lines, orders: fact_for_lines(models, lines, orders), **options)
 
 
 def incremental_fact(spark: SparkSession, models, split: str = "2001-01-15",
@@ -81,6 +90,60 @@ def late_order(spark: SparkSession, models) -> DataFrame:
     return sales.merge(2)
 
 
+def schema_change(spark: SparkSession, models, policy: str = "append") -> DataFrame:
+    """Three batches of different schema: the first with small types, the second
+    without a column and with a new one, the third with wider types, in which part
+    of the first is delivered again.  The result is the whole fact."""
+    sales = landed_sales(spark, models, policy=policy)
+    third = F.pmod(F.col("order_id"), F.lit(3))
+    lines, orders = models["lineitem"], models["orders"]
+    small = lines.withColumn("line_number", F.col("line_number").cast("smallint"))
+    sales.land(1, small.filter(third == 0), orders.filter(third == 0).drop("order_comment"))
+    sales.merge(1)
+    sales.land(2, lines.filter(third == 1).drop("line_comment").withColumn("promotion", F.lit("none")),
+               orders.filter(third == 1).withColumn("channel", F.lit("web")))
+    sales.merge(2)
+    wide = lines.filter((third == 2) | (F.col("order_id") % 6 == 0)).withColumns({
+        "line_number": F.col("line_number").cast("bigint"), "quantity": F.col("quantity").cast("decimal(14,3)")})
+    sales.land(3, wide, orders.filter(third == 2), replace=True)
+    return sales.merge(3)
+
+
+def changed_sales(spark: SparkSession, models, sales: LandedSales, after_batch=None) -> None:
+    """The source in three batches that end in the whole of it: early orders, some
+    with a date 45 days off and some with doubled lines; later orders but every
+    seventh; then the late orders and what was wrong."""
+    lines, orders = models["lineitem"], models["orders"]
+    split = orders.select(F.percentile_approx(F.unix_date("order_date"), 0.97)).scalar()
+    early = F.unix_date("order_date") < split
+    off, doubled, late = F.col("order_id") % 5 == 0, F.col("order_id") % 6 == 0, F.col("order_id") % 7 == 0
+    dates = orders.select("order_id", early.alias("early"))
+    early_lines = lines.join(dates, "order_id").filter("early").drop("early")
+    late_lines = lines.join(dates, "order_id").filter("NOT early").drop("early")
+    wrong = early_lines.filter(doubled).withColumn("quantity", (F.col("quantity") * 2).cast("decimal(10,2)"))
+    moved = F.when(off, F.date_add("order_date", 45)).otherwise(F.col("order_date"))
+    batches = [
+        dict(lines=early_lines.filter(~doubled).unionByName(wrong),
+             orders=orders.filter(early).withColumn("order_date", moved)),
+        dict(lines=late_lines, orders=orders.filter(~early & ~late)),
+        dict(lines=early_lines.filter(doubled), replace=True,
+             orders=orders.filter((early & off) | (~early & late))),
+    ]
+    for i, batch in enumerate(batches):
+        sales.land(i + 1, **batch)
+        sales.merge(i + 1)
+        if after_batch:
+            after_batch(i + 1)
+
+
+def report_by_change(spark: SparkSession, models, days: int = 90) -> DataFrame:
+    """The 90-day report after three batches, from what each of them changed."""
+    sales = landed_sales(spark, models)
+    report = DayReport(spark, _scratch(spark, "rpt90-days"), sales, days)
+    changed_sales(spark, models, sales, lambda _: report.refresh(models["dim_customer"]))
+    return report.report(models["dim_customer"])
+
+
 def orders_hwm(spark: SparkSession, sf_dir: str, ts_col: str = "o_orderdate",
                split_fraction: float = 0.5, late: bool = False) -> DataFrame:
     """High-water-mark loads of the orders source: the first up to a cut derived
@@ -111,7 +174,7 @@ def report_refresh(spark: SparkSession, models, sf_dir: str, days: int = 90,
                    max_files: int | None = None) -> DataFrame:
     """Keep the fact and the 90-day report current from a lineitem file stream."""
     sales = landed_sales(spark, models)
-    report_path = _scratch(spark, "rpt90-stream")
+    report = DayReport(spark, _scratch(spark, "rpt90-stream"), sales, days)
     ckpt = _scratch(spark, "rpt90-stream-ckpt")
     o = models.options
     sales.land(0, orders=models["orders"])
@@ -121,10 +184,9 @@ def report_refresh(spark: SparkSession, models, sf_dir: str, days: int = 90,
         lines = silver.silver_lineitem(bronze(raw, o.source_system, f"stream-{batch_id}",
                                               o.ingested_at))
         sales.land(batch_id + 1, lines)
-        fact = sales.merge(batch_id + 1)
-        rpt = reports.rpt_customer_profitability_90d(fact, models["dim_customer"], days)
-        rpt.write.mode("overwrite").parquet(report_path)
+        sales.merge(batch_id + 1)
+        report.refresh(models["dim_customer"])
 
     refresh_on_new_lines(spark, sf_dir, ckpt, on_batch, pattern="lineitem.parquet",
                          max_files=max_files)
-    return spark.read.parquet(report_path)
+    return report.report(models["dim_customer"])

@@ -265,3 +265,27 @@ def test_schema_change_job_equals_a_rebuild(spark):
     fact = jobs.schema_change(spark, m)
     assert dict(fact.dtypes)["line_number"] == "bigint"
     assert same(fact.select(*full.columns), full)
+
+
+def test_the_command_lands_batches(spark, capsys):
+    import json
+    from finmart import land, run
+    wh, source = tempfile.mkdtemp(prefix="finmart-wh-"), tempfile.mkdtemp(prefix="finmart-in-")
+    built = run.build(spark, SF_SMALL, wh, BuildOptions(standin_costs=True))
+    tables = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("orders", "lineitem")}
+    key = {"orders": F.col("o_orderkey"), "lineitem": F.col("l_orderkey")}
+    for batch, parts in ((1, {"orders": 0, "lineitem": 0}), (2, {"lineitem": 1}), (3, {"orders": 1})):
+        for t, rest in parts.items():
+            tables[t].filter(key[t] % 2 == rest).write.parquet(f"{source}/{batch}/{t}.parquet")
+        argv = ["--batch", f"{source}/{batch}", "--batch-id", str(batch), "--warehouse", wh]
+        land.main(argv + (["--compact"] if batch == 3 else []))
+        out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+        assert out["landed"] == sorted({"orders": "orders", "lineitem": "lines"}[t] for t in parts)
+    assert out["folders_compacted"] > 0
+    sales, report, dim = land.warehouse_sales(spark, wh)
+    full = built["fct_sales_lineitem"]
+    assert same(sales.fact().select(*full.columns), full)
+    assert same(spark.read.parquet(f"{sales.root}/rpt_customer_profitability_90d"),
+                reports.rpt_customer_profitability_90d(full, dim))
+    with pytest.raises(FileNotFoundError):
+        land.land_batch(spark, source, 4, wh)

@@ -42,6 +42,13 @@ def _per_key(current: DataFrame, key: str) -> DataFrame:
         F.min(row).alias("c"), F.max(row).alias("_other"))
 
 
+def usable_rows(current: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(_k, c) of the keys that an extract is clear about, and (_k) of the others."""
+    delivered = _per_key(current, key)
+    clear = F.col("c").eqNullSafe(F.col("_other"))
+    return delivered.filter(clear).select("_k", "c"), delivered.filter(~clear).select("_k")
+
+
 def set_aside(current: DataFrame, key: str) -> DataFrame:
     """Rows of an extract that a snapshot can't apply, with the reason: no key,
     or a key that comes with different rows."""

@@ -155,16 +155,18 @@ def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> D
 
 # ---- fct_sales_lineitem --------------------------------------------------
 
-def resolved_orders(orders: DataFrame, dim_cust: DataFrame, dim_geo: DataFrame) -> DataFrame:
+def resolved_orders(orders: DataFrame, dim_cust: DataFrame, dim_geo: DataFrame,
+                    as_of_join=asof_left_join) -> DataFrame:
     """Orders with the customer version valid at the order date and the bill
     geography — resolved at order grain (orders are ~1/4 of the lines, and the
-    customer's dimension is joined once per order instead of once per line)."""
+    customer's dimension is joined once per order instead of once per line).
+    ``as_of_join``: ``asof_carry_join`` where customers have many versions."""
     o = orders.select("order_id", "customer_id", "order_date", "order_status_code",
                       "order_priority", "ship_priority")
     dc = dim_cust.select("customer_id", "valid_from", "valid_to", "customer_key",
                          F.col("nation_id").alias("bill_nation_id"))
-    o = asof_left_join(o, dc, "customer_id", "customer_id",
-                       F.col("order_date").cast("timestamp_ntz"))
+    o = as_of_join(o, dc, "customer_id", "customer_id",
+                   F.col("order_date").cast("timestamp_ntz"))
     bill = dim_geo.select(F.col("nation_id").alias("_bill_nation"),
                           F.col("geography_key").alias("bill_geography_key"))
     return (o.join(bill, o["bill_nation_id"] == bill["_bill_nation"], "left")
@@ -200,7 +202,7 @@ def part_supplier_roles(lineitem: DataFrame, partsupp: DataFrame, dim_sup: DataF
 
 def fct_sales_lineitem(lineitem: DataFrame, orders: DataFrame, dim_cust: DataFrame,
                        partsupp: DataFrame, dim_sup: DataFrame, dim_prt: DataFrame,
-                       dim_geo: DataFrame) -> DataFrame:
+                       dim_geo: DataFrame, as_of_join=asof_left_join) -> DataFrame:
     """Line fact: lines ⋈ resolved orders, ⟕ cost and keys of the line's part and supplier.
 
     Missing unit cost keeps supply_cost, gross_margin and margin_rate NULL
@@ -210,7 +212,7 @@ def fct_sales_lineitem(lineitem: DataFrame, orders: DataFrame, dim_cust: DataFra
                          "extended_price", "discount_rate", "discount_amount", "tax_rate",
                          "tax_amount", "net_revenue", "return_flag", "line_status", "ship_date",
                          "commit_date", "receipt_date", "ship_mode", "ship_instruction")
-    base = li.join(resolved_orders(orders, dim_cust, dim_geo), "order_id", "inner")
+    base = li.join(resolved_orders(orders, dim_cust, dim_geo, as_of_join), "order_id", "inner")
     pairs = part_supplier_roles(li, partsupp, dim_sup, dim_prt, dim_geo)
     x = base.join(pairs, base["part_id"].eqNullSafe(pairs["_part"])
                   & base["supplier_id"].eqNullSafe(pairs["_supplier"]), "left")

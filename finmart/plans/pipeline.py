@@ -21,6 +21,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finmart.operators.asof import asof_left_join
+from finmart.operators.asof_carry import asof_carry_join
 from finmart.operators.scd2 import scd2_snapshot, set_aside
 from finmart.plans import gold, reports, silver
 from finmart.plans.bronze import BRONZE_NAMES, bronze
@@ -54,6 +56,9 @@ class BuildOptions:
     source_system: str = "TPCH_SF1"
     batch_id: str = FIXED_BATCH_ID
     ingested_at: str | None = FIXED_INGESTED_AT
+    # As-of join by sorting and carrying versions forward instead of pairing a key's
+    # rows and versions: for customers with very many versions.
+    carry_versions: bool = False
     # Persisted builds only: write silver orders/lineitem bucketed by order_id.
     # Off by default — a bucketed join reads each bucket in one task, so a hot
     # order key could not be split by AQE's skew handling.
@@ -124,7 +129,8 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
           "dim_geography"],
          lambda m: gold.fct_sales_lineitem(m["lineitem"], m["orders"], m["dim_customer"],
                                            m["partsupp"], m["dim_supplier"], m["dim_part"],
-                                           m["dim_geography"])),
+                                           m["dim_geography"],
+                                           asof_carry_join if o.carry_versions else asof_left_join)),
         ("rpt_customer_profitability_90d", ["fct_sales_lineitem", "dim_customer"],
          lambda m: reports.rpt_customer_profitability_90d(m["fct_sales_lineitem"],
                                                           m["dim_customer"], o.report_days,

@@ -2,7 +2,7 @@
 
     python -m finmart.run --data /path/to/sources --warehouse /shared/wh \
         [--layer source|bronze|snapshot|silver|gold] [--history] [--as-of TS]
-        [--bucketed] [--reproducible] [--standin-costs] [--report-as-of DATE]
+        [--bucketed] [--carry-versions] [--reproducible] [--standin-costs] [--report-as-of DATE]
         [--checks] [--store-failures]
 
 A build is one snapshot run: the open rows of the previous snapshot version (if
@@ -74,6 +74,8 @@ def main(argv=None):
     ap.add_argument("--as-of")
     ap.add_argument("--bucketed", action="store_true",
                     help="bucket silver orders/lineitem by order_id (flat key distributions)")
+    ap.add_argument("--carry-versions", action="store_true",
+                    help="as-of join by sorting, for customers with very many versions")
     ap.add_argument("--reproducible", action="store_true",
                     help="fixed load time and batch id instead of now / a fresh run id")
     ap.add_argument("--standin-costs", action="store_true",
@@ -88,7 +90,7 @@ def main(argv=None):
         "as_of": dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")}
     if a.as_of:
         run_meta["as_of"] = a.as_of
-    opts = BuildOptions(history=a.history, bucketed=a.bucketed, standin_costs=a.standin_costs,
+    opts = BuildOptions(history=a.history, bucketed=a.bucketed, carry_versions=a.carry_versions, standin_costs=a.standin_costs,
                         report_as_of=a.report_as_of, **run_meta)
     models = build(spark, a.data, a.warehouse, opts, a.layer)
     if a.layer in (None, "snapshot"):

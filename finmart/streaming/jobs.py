@@ -5,7 +5,8 @@ they are tested: ``incremental_fact`` (initial load, then a batch that
 delivers part of a month again), ``redated_order`` and ``late_order`` (orders
 that change month, or come after their lines), ``schema_change`` (batches with
 added, missing and widened columns), ``report_by_change`` (the 90-day report kept
-from what each batch changes), ``orders_hwm`` (high-water-mark
+from what each batch changes), ``orders_from_changes`` (a change log in batches of
+any order), ``late_extracts`` (snapshot extracts in any order), ``orders_hwm`` (high-water-mark
 loads with ties, late rows and rows without a time), ``orders_stream``
 (file-stream landing), ``report_refresh`` (a stream over lineitem files keeping
 the fact and the 90-day report current).
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +25,11 @@ from finmart.functions.metadata import META_COLUMNS
 from finmart.plans import gold, silver
 from finmart.plans.bronze import bronze
 from finmart.session import scratch_path
+from finmart.sources.history import customer_extracts
 from finmart.sources.reader import align_source
+from finmart.streaming.change_log import ChangeTable
 from finmart.streaming.incremental import LandedSales, hwm_ingest
+from finmart.streaming.late_snapshots import LateSnapshots
 from finmart.streaming.report_state import DayReport
 from finmart.streaming.stream import STREAM_BATCH_COL, refresh_on_new_lines, stream_ingest
 
@@ -144,6 +149,52 @@ def report_by_change(spark: SparkSession, models, days: int = 90) -> DataFrame:
     return report.report(models["dim_customer"])
 
 
+def order_changes(orders: DataFrame) -> DataFrame:
+    """A change log that ends in the orders without every seventh: each order comes
+    with a wrong price and status, which updates set right; every fifth is deleted
+    and inserted anew, with a priority that an update sets right; every seventh is
+    deleted in the end."""
+    none = F.lit(None).cast("array<string>")
+    wrong = {"o_totalprice": F.lit(0.0), "o_orderstatus": F.lit("X")}
+    fifth, seventh = F.col("o_orderkey") % 5 == 0, F.col("o_orderkey") % 7 == 0
+    steps = [
+        ("I", None, orders.withColumns(wrong)),
+        ("U", ["o_totalprice"], orders.withColumn("o_orderstatus", F.lit("?"))),
+        ("U", ["o_orderstatus"], orders.withColumn("o_totalprice", F.lit(-1.0))),
+        ("D", None, orders.filter(fifth).withColumns(wrong)),
+        ("I", None, orders.filter(fifth).withColumn("o_orderpriority", F.lit("NEW"))),
+        ("U", ["o_orderpriority"], orders.filter(fifth).withColumns(wrong)),
+        ("D", None, orders.filter(seventh)),
+    ]
+    logs = [rows.select(F.lit(op).alias("op"), (F.col("o_orderkey") * 10 + i).alias("seq"),
+                        (F.array(*map(F.lit, changed)) if changed else none).alias("changed"), *orders.columns)
+            for i, (op, changed, rows) in enumerate(steps)]
+    return reduce(DataFrame.unionByName, logs)
+
+
+def orders_from_changes(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
+    """The orders from their change log, dealt to batches without regard to its
+    order; every eighth change comes again in the last batch."""
+    log = order_changes(spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet"))
+    table = ChangeTable(spark, _scratch(spark, "orders-changes"), ["o_orderkey"], buckets=8)
+    dealt = F.pmod(F.xxhash64("seq"), F.lit(batches))
+    for i in range(batches):
+        again = F.pmod(F.xxhash64("seq", F.lit(1)), F.lit(8)) == 0 if i == batches - 1 else F.lit(False)
+        table.apply(log.filter((dealt == i) | again))
+    return table.rows()
+
+
+def late_extracts(spark: SparkSession, customer: DataFrame, key: str, check_cols: list[str],
+                  order: tuple[int, ...] = (2, 0, 1)) -> DataFrame:
+    """The history of the three customer extracts, which arrive in this order."""
+    runs = customer_extracts(customer)
+    snapshots = LateSnapshots(spark, _scratch(spark, "late-snapshots"), key, check_cols)
+    for i in order:
+        as_of, extract = runs[i]
+        snapshots.apply(extract, as_of)
+    return snapshots.history()
+
+
 def orders_hwm(spark: SparkSession, sf_dir: str, ts_col: str = "o_orderdate",
                split_fraction: float = 0.5, late: bool = False) -> DataFrame:
     """High-water-mark loads of the orders source: the first up to a cut derived

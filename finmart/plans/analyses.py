@@ -20,6 +20,12 @@ from finmart.plans.reports import rpt_segment_margin_concentration
 RATE_OUT = DecimalType(18, 6)
 
 
+def largest_first(c: str, nulls: str = "first"):
+    """Descending order of a measure.  ``nulls``: "first" as in the model's warehouse
+    (an unknown measure counts as the greatest value), or "last"."""
+    return F.col(c).desc_nulls_first() if nulls == "first" else F.col(c).desc_nulls_last()
+
+
 def _sum(c: str, alias: str | None = None):
     return F.sum(c).cast(SUM_MONEY).alias(alias or c)
 
@@ -35,12 +41,12 @@ def a01_headline(fact: DataFrame) -> DataFrame:
                  guarded_ratio("total_gross_margin", "total_net_revenue", RATE_OUT))
 
 
-def a02_top_customers_90d(rpt90: DataFrame, k: int = 25) -> DataFrame:
+def a02_top_customers_90d(rpt90: DataFrame, k: int = 25, nulls: str = "first") -> DataFrame:
     cols = ["customer_id", "customer_name", "market_segment", "customer_tier", "region_name",
             "is_lapsed", "order_count", "lineitem_count", "total_net_revenue",
             "total_gross_margin", "margin_rate", "discount_rate_effective"]
     return (rpt90.select(*cols)
-                 .orderBy(F.col("total_gross_margin").desc_nulls_last(), "customer_id")
+                 .orderBy(largest_first("total_gross_margin", nulls), "customer_id")
                  .limit(k))
 
 
@@ -73,23 +79,26 @@ def _customer_totals(fact: DataFrame, dim_cust: DataFrame, attrs: list[str]) ->
         F.sum("_gm").cast(SUM_MONEY).alias("total_gross_margin"))
 
 
-def a04_top_customers_all_time(fact: DataFrame, dim_cust: DataFrame, k: int = 20) -> DataFrame:
+def a04_top_customers_all_time(fact: DataFrame, dim_cust: DataFrame, k: int = 20,
+                               nulls: str = "first") -> DataFrame:
     attrs = ["customer_name", "market_segment", "customer_tier", "region_name"]
     t = _customer_totals(fact, dim_cust, attrs)
     return (t.select("customer_id", *attrs, "total_net_revenue", "total_gross_margin",
                      guarded_ratio("total_gross_margin", "total_net_revenue", RATE_OUT)
                      .alias("margin_rate"))
-             .orderBy(F.col("total_gross_margin").desc_nulls_last(), "customer_id")
+             .orderBy(largest_first("total_gross_margin", nulls), "customer_id")
              .limit(k))
 
 
-def a05_rank_gap(fact: DataFrame, dim_cust: DataFrame, min_gap: int = 10, k: int = 20) -> DataFrame:
+def a05_rank_gap(fact: DataFrame, dim_cust: DataFrame, min_gap: int = 10, k: int = 20,
+                 nulls: str = "first") -> DataFrame:
     """Customers whose all-time margin rank and revenue rank differ by more
-    than ``min_gap``.  Both ranks are distributed global ranks."""
+    than ``min_gap``.  Both ranks are distributed global ranks; unknown measures
+    share the rank that ``nulls`` gives them."""
     t = _customer_totals(fact, dim_cust, [])
-    r = global_rank(t, ["total_net_revenue"], [F.col("total_net_revenue").desc_nulls_last()],
+    r = global_rank(t, ["total_net_revenue"], [largest_first("total_net_revenue", nulls)],
                     "revenue_rank", tie_break=[F.col("customer_id")])
-    r = global_rank(r, ["total_gross_margin"], [F.col("total_gross_margin").desc_nulls_last()],
+    r = global_rank(r, ["total_gross_margin"], [largest_first("total_gross_margin", nulls)],
                     "margin_rank", tie_break=[F.col("customer_id")])
     gap = F.col("margin_rank") - F.col("revenue_rank")
     return (r.select("customer_id", "total_net_revenue", "total_gross_margin", "revenue_rank",
@@ -147,7 +156,8 @@ def a09_month_trend(fact: DataFrame, dim_dt: DataFrame) -> DataFrame:
              .orderBy("year_number", "month_number"))
 
 
-def a10_product_mix(fact: DataFrame, dim_prt: DataFrame, k: int = 30) -> DataFrame:
+def a10_product_mix(fact: DataFrame, dim_prt: DataFrame, k: int = 30,
+                    nulls: str = "first") -> DataFrame:
     pre = fact.groupBy("part_key").agg(F.sum("net_revenue").alias("_nr"),
                                        F.sum("gross_margin").alias("_gm"))
     p = dim_prt.select(F.col("part_key").alias("_p_key"), "part_type", "brand")
@@ -156,7 +166,7 @@ def a10_product_mix(fact: DataFrame, dim_prt: DataFrame, k: int = 30) -> DataFra
              .agg(F.sum("_nr").cast(SUM_MONEY).alias("total_net_revenue"),
                   F.sum("_gm").cast(SUM_MONEY).alias("total_gross_margin"))
              .filter(F.col("total_net_revenue") > 0)
-             .orderBy(F.col("total_gross_margin").desc_nulls_last(), "part_type", "brand")
+             .orderBy(largest_first("total_gross_margin", nulls), "part_type", "brand")
              .limit(k))
 
 

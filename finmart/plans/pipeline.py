@@ -59,6 +59,8 @@ class BuildOptions:
     # As-of join by sorting and carrying versions forward instead of pairing a key's
     # rows and versions: for customers with very many versions.
     carry_versions: bool = False
+    # Persisted builds only: the fact's files of a month hold ranges of customers.
+    clustered: bool = False
     # Persisted builds only: write silver orders/lineitem bucketed by order_id.
     # Off by default — a bucketed join reads each bucket in one task, so a hot
     # order key could not be split by AQE's skew handling.

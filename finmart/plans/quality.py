@@ -118,8 +118,20 @@ def _fused_uniqueness(rel: DataFrame, items: list[tuple[int, Check]]):
     return out, [i for i, _, _ in sets]
 
 
+def row_level_counts(catalogue: list[Check] = CATALOGUE):
+    """The failure counts of all row-level checks of a relation, as aggregates
+    named by check, to be taken in the pass that writes it (``sinks.observation``)."""
+    def watch(relation: str):
+        return [F.count(F.when(_fail_condition(c), F.lit(1))).alias(f"check_{i}")
+                for i, c in enumerate(catalogue, start=1) if c.relation == relation and c.kind in ROW_LEVEL]
+    return watch
+
+
 def run_checks(models, catalogue: list[Check] = CATALOGUE,
-               relations: set[str] | None = None) -> DataFrame:
+               relations: set[str] | None = None, observed: dict[str, int] | None = None) -> DataFrame:
+    """One row per check.  ``observed``: counts of row-level checks that were taken
+    while the models were written; those checks read nothing."""
+    observed = observed or {}
     spark = None
     parts: list[DataFrame] = []
     by_rel: dict[str, list[tuple[int, Check]]] = {}
@@ -130,7 +142,7 @@ def run_checks(models, catalogue: list[Check] = CATALOGUE,
     for rel_name, items in by_rel.items():
         rel = models[rel_name]
         spark = rel.sparkSession
-        fused = [(i, c) for i, c in items if c.kind in ROW_LEVEL]
+        fused = [(i, c) for i, c in items if c.kind in ROW_LEVEL and f"check_{i}" not in observed]
         if fused:
             aggs = []
             for i, c in fused:
@@ -146,6 +158,10 @@ def run_checks(models, catalogue: list[Check] = CATALOGUE,
         parts.extend(_contributions(c, i, rel, models) for i, c in items
                      if c.kind not in ROW_LEVEL and i not in covered)
 
+    if observed:
+        ids = [i for items in by_rel.values() for i, _ in items if f"check_{i}" in observed]
+        parts.append(spark.createDataFrame([(i, observed[f"check_{i}"]) for i in ids], "check_id int, n bigint"))
+
     # One map-side-combined count per check over all contributions (a single
     # shuffle instead of one global aggregate per check).
     counts = (_union_all(parts).groupBy("check_id")

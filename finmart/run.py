@@ -2,7 +2,7 @@
 
     python -m finmart.run --data /path/to/sources --warehouse /shared/wh \
         [--layer source|bronze|snapshot|silver|gold] [--history] [--as-of TS]
-        [--bucketed] [--carry-versions] [--reproducible] [--standin-costs] [--report-as-of DATE]
+        [--bucketed] [--carry-versions] [--cluster-customers] [--reproducible] [--standin-costs] [--report-as-of DATE]
         [--checks] [--store-failures]
 
 A build is one snapshot run: the open rows of the previous snapshot version (if
@@ -30,11 +30,15 @@ from finmart.sources.history import HISTORY_RUNS
 
 
 def build(spark: SparkSession, data_dir: str, warehouse: str,
-          options: BuildOptions | None = None, layer: str | None = None) -> dict:
-    """Persisted build.  Returns the models (tables read back from the warehouse)."""
+          options: BuildOptions | None = None, layer: str | None = None,
+          observed: dict | None = None) -> dict:
+    """Persisted build.  Returns the models (tables read back from the warehouse).
+    ``observed`` takes the counts of the row-level checks of the tables written."""
     o = options or BuildOptions()
     ensure_checkpoint_dir(spark)
-    mat = sinks.table_materializer(spark, warehouse, bucketed=o.bucketed)
+    mat = sinks.table_materializer(
+        spark, warehouse, bucketed=o.bucketed, clustered=o.clustered,
+        watch=None if observed is None else quality.row_level_counts(), observed=observed)
     as_of = HISTORY_RUNS[-1] if o.history else o.as_of
     fresh = sinks.check_snapshot_time(spark, warehouse, as_of)
     prev = None if o.history else sinks.read_latest_snapshot(spark, warehouse, open_only=True)
@@ -52,8 +56,8 @@ def build(spark: SparkSession, data_dir: str, warehouse: str,
 
 
 def run_checks(spark: SparkSession, models: dict, warehouse: str | None = None,
-               store_failures: bool = False):
-    summary = quality.run_checks(models).cache()
+               store_failures: bool = False, observed: dict | None = None):
+    summary = quality.run_checks(models, observed=observed).cache()
     rows = summary.orderBy("check_id").collect()  # one row per declared check
     if store_failures and warehouse:
         for r in rows:
@@ -74,6 +78,8 @@ def main(argv=None):
     ap.add_argument("--as-of")
     ap.add_argument("--bucketed", action="store_true",
                     help="bucket silver orders/lineitem by order_id (flat key distributions)")
+    ap.add_argument("--cluster-customers", action="store_true",
+                    help="the fact's files of a month hold ranges of customers that don't overlap")
     ap.add_argument("--carry-versions", action="store_true",
                     help="as-of join by sorting, for customers with very many versions")
     ap.add_argument("--reproducible", action="store_true",
@@ -90,15 +96,17 @@ def main(argv=None):
         "as_of": dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")}
     if a.as_of:
         run_meta["as_of"] = a.as_of
-    opts = BuildOptions(history=a.history, bucketed=a.bucketed, carry_versions=a.carry_versions, standin_costs=a.standin_costs,
+    opts = BuildOptions(history=a.history, bucketed=a.bucketed, carry_versions=a.carry_versions,
+                        clustered=a.cluster_customers, standin_costs=a.standin_costs,
                         report_as_of=a.report_as_of, **run_meta)
-    models = build(spark, a.data, a.warehouse, opts, a.layer)
+    observed = {} if a.checks else None
+    models = build(spark, a.data, a.warehouse, opts, a.layer, observed)
     if a.layer in (None, "snapshot"):
         counts = set_aside_counts(models[sinks.SET_ASIDE], "customer").collect()  # a row per reason
         print(json.dumps({"snapshot_set_aside": {r["reason"]: r["failures"] for r in counts},
                           "status": "warn" if counts else "pass"}))
     if a.checks:
-        rows = run_checks(spark, models, a.warehouse, a.store_failures)
+        rows = run_checks(spark, models, a.warehouse, a.store_failures, observed)
         failed = [r.asDict() for r in rows if r["status"] == "fail"]
         print(json.dumps({"checks": len(rows), "failed": len(failed),
                           "warned": sum(r["status"] == "warn" for r in rows)}))

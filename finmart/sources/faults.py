@@ -71,3 +71,14 @@ def faulty_order_ids(orders: DataFrame) -> DataFrame:
         F.when(of(73), F.lit("Clerk#7a")).otherwise(
             F.concat(F.lit("Clerk#"), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 9, "0")))
          .alias("clerk_id"))
+
+
+def unknown_margins(fact: DataFrame, dim_cust: DataFrame, dim_prt: DataFrame) -> DataFrame:
+    """The fact without the costs of every fiftieth customer and of every part whose
+    id is divisible by 5: some customers have no known margin at all."""
+    customers = dim_cust.select("customer_key", (F.col("customer_id") % 50 == 0).alias("_no_cost"))
+    parts = dim_prt.select("part_key", (F.col("part_id") % 5 == 0).alias("_no_part"))
+    rows = fact.join(customers, "customer_key", "left").join(parts, "part_key", "left")
+    gap = F.coalesce("_no_cost", F.lit(False)) | F.coalesce("_no_part", F.lit(False))
+    return rows.withColumns({c: F.when(~gap, F.col(c)) for c in ("supply_cost", "gross_margin", "margin_rate")}) \
+        .select(*fact.columns)

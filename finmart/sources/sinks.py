@@ -9,14 +9,16 @@ the written table back, which cuts the lineage at each layer.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import json
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from finmart.session import scratch_path
 from finmart.sources.storage import child_names, publish_text, read_text
 
 # Schema of each model.
@@ -59,8 +61,8 @@ def _save(w, path: str, table: str | None) -> None:
         w.parquet(path)
 
 
-def write_fact(df: DataFrame, path: str, table: str | None = None) -> None:
-    """Persist the fact partitioned by order month and clustered by customer.
+def write_fact(df: DataFrame, path: str, table: str | None = None, clustered: bool = False) -> None:
+    """Persist the fact partitioned by order month and sorted by customer.
 
     ``rebalance`` on the month key lets AQE size the write tasks from the
     actual data — a hot month is split into several tasks, small months are
@@ -68,8 +70,14 @@ def write_fact(df: DataFrame, path: str, table: str | None = None) -> None:
     (which would compute the final join stage twice).  Rows are sorted by
     (customer_key, order_id) inside each file so row-group statistics stay
     tight for customer lookups; the month directory prunes date filters.
+
+    ``clustered``: the files of a month hold ranges of customers that don't
+    overlap, so a lookup opens one or two files of a month instead of looking into all
+    of them.  The ranges need the sampling pass.
     """
-    w = (df.hint("rebalance", "order_year_month_key")
+    spread = (df.repartitionByRange("order_year_month_key", "customer_key") if clustered
+              else df.hint("rebalance", "order_year_month_key"))
+    w = (spread
            .sortWithinPartitions("order_year_month_key", "customer_key", "order_id")
            .write.mode("overwrite").partitionBy("order_year_month_key"))
     _save(w, path, table)
@@ -92,7 +100,9 @@ def ensure_schema(spark: SparkSession, warehouse: str, schema: str) -> None:
 
 def table_materializer(spark: SparkSession, warehouse: str, views: set[str] = VIEWS,
                        catalog: bool = True, bucketed: bool = False,
-                       buckets: int | None = None) -> Callable[[str, DataFrame], DataFrame]:
+                       buckets: int | None = None, clustered: bool = False,
+                       watch: Watch | None = None,
+                       observed: dict | None = None) -> Callable[[str, DataFrame], DataFrame]:
     """``materialize`` hook for ``build_models``: tables are written and read
     back; views stay lazy and are registered as temp views.
 
@@ -100,7 +110,9 @@ def table_materializer(spark: SparkSession, warehouse: str, views: set[str] = VI
     external table ``<schema>.<model>`` (bucketed where ``BUCKETED`` says);
     otherwise plain parquet folders.  ``bucketed`` buckets the tables named in
     ``BUCKETED`` (opt-in: it removes the largest shuffle but gives up AQE's
-    skew splitting on that join)."""
+    skew splitting on that join).  ``clustered``: see ``write_fact``.  ``watch`` gives
+    counts over a model's rows that are taken while the model is written; they are
+    put into ``observed`` by their names."""
     made: set[str] = set()
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
@@ -117,16 +129,53 @@ def table_materializer(spark: SparkSession, warehouse: str, views: set[str] = VI
         if catalog and schema not in made:
             ensure_schema(spark, warehouse, schema)
             made.add(schema)
-        if name == "fct_sales_lineitem":
-            write_fact(df, path, table)
-        else:
-            write_table(df, path, table, BUCKETED.get(name) if bucketed else None, buckets)
+        with observation(name, df, watch, observed) as rows:
+            if name == "fct_sales_lineitem":
+                write_fact(rows, path, table, clustered)
+            else:
+                write_table(rows, path, table, BUCKETED.get(name) if bucketed else None, buckets)
         out = (spark.table(table) if catalog else spark.read.parquet(path)).select(*df.columns)
         out.createOrReplaceTempView(name)
         return out
     return materialize
 
 
+#: The counts to take of a model's rows, by name of the model.
+Watch = Callable[[str], list[Column]]
+
+
+@contextlib.contextmanager
+def observation(name: str, df: DataFrame, watch: Watch | None, observed: dict | None):
+    """``df`` with the counts that ``watch`` wants; they are in ``observed`` once
+    the block has written it.  (Spark counts a row again where a lost executor makes
+    it write the row again: failures may then be counted too often, never too
+    seldom.)"""
+    wanted = watch(name) if watch else []
+    if not wanted:
+        yield df
+        return
+    taken = Observation(f"rows_of_{name}")
+    yield df.observe(taken, *wanted)
+    observed.update(taken.get)
+
+
+def scratch_materializer(watch: Watch | None = None,
+                         observed: dict | None = None) -> Callable[[str, DataFrame], DataFrame]:
+    """``materialize`` hook that writes every derived model once as Parquet in the
+    shared scratch folder (the fact by month), so later plans read the columns and
+    months they need."""
+    run = uuid.uuid4().hex
+
+    def materialize(name: str, df: DataFrame) -> DataFrame:
+        if name.startswith("src_"):
+            return df
+        path = scratch_path(df.sparkSession, f"models-{run}/{name}")
+        with observation(name, df, watch, observed) as rows:
+            (write_fact if name == "fct_sales_lineitem" else write_table)(rows, path)
+        return df.sparkSession.read.parquet(path).select(*df.columns)
+    return materialize
+
+
 def checkpoint_materializer(name: str, df: DataFrame) -> DataFrame:
     """``materialize`` hook that freezes every derived model once in the
     reliable checkpoint folder (raw source scans are left as they are).

@@ -29,7 +29,9 @@ from finmart.sources.history import customer_extracts
 from finmart.sources.reader import align_source
 from finmart.streaming.change_log import ChangeTable
 from finmart.streaming.incremental import LandedSales, hwm_ingest
+from finmart.streaming.landing import LandingLog
 from finmart.streaming.late_snapshots import LateSnapshots
+from finmart.streaming.new_row_checks import NewRowRelationships, NewRowUnique
 from finmart.streaming.report_state import DayReport
 from finmart.streaming.stream import STREAM_BATCH_COL, refresh_on_new_lines, stream_ingest
 
@@ -195,6 +197,28 @@ def late_extracts(spark: SparkSession, customer: DataFrame, key: str, check_cols
     return snapshots.history()
 
 
+def new_row_checks(spark: SparkSession, orders: DataFrame, customers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders that occur more than once (unique_field, n_records) and customers that
+    are missing (value, n), checked while both land in three batches; copies of an
+    order come in another batch than the order, customers after some of their orders."""
+    logs = {n: LandingLog(spark, _scratch(spark, n), k, buckets=8)
+            for n, k in (("orders", "order_id"), ("customers", "customer_id"))}
+    count = orders.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
+    rows = orders.distinct().join(count, "order_id").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0), F.col("_n").cast("int") - 1))).drop("_n")
+    expected = orders.count()
+    unique = NewRowUnique(spark, _scratch(spark, "unique"), logs["orders"], ["order_id"], expected)
+    related = NewRowRelationships(spark, _scratch(spark, "related"), logs["orders"], "customer_id",
+                                  logs["customers"], "customer_id")
+    for i in range(3):
+        logs["orders"].land(i, rows.filter(F.pmod(F.col("order_id") + F.col("_copy"), F.lit(3)) == i).drop("_copy"))
+        logs["customers"].land(i, customers.select("customer_id").filter(F.pmod("customer_id", F.lit(3)) == i))
+        unique.follow(i)
+        related.follow(i)
+    return (unique.failures().select(F.col("order_id").alias("unique_field"), "n_records"),
+            related.failures())
+
+
 def orders_hwm(spark: SparkSession, sf_dir: str, ts_col: str = "o_orderdate",
                split_fraction: float = 0.5, late: bool = False) -> DataFrame:
     """High-water-mark loads of the orders source: the first up to a cut derived

@@ -13,10 +13,15 @@ sign key in each of several tables, and pairs that share a key meet.  Key
 length grows with the logarithm of the number of vectors, so a key's group
 stays small, and the number of tables follows from the wanted recall at the
 threshold (``MISS``; pairs above the threshold are missed far less often).
-Equal vectors are one class before any of this.  Groups of any size are split
-into pairs of chunks; each chunk pair adds up its vectors' links and gives the
-edges that connect them, never the pairs.  A pair that meets in several tables
-counts in the first of them.
+Equal vectors are one class before any of this (told by a digest).
+
+Only ids and codes travel to the tables.  There the differing bits of two codes
+estimate their angle; a vector stays in a group if some other one is, within the
+spread of that estimate (``SPREAD``), as near as the threshold.  Vectors are
+fetched for those that stay, and the estimates above decide on their pairs.  Groups
+of any size are split into pairs of chunks; each chunk pair adds up its vectors'
+links and gives the edges that connect them, never the pairs.  A pair that meets in
+several tables counts in the first of them.
 
 Defined results: a vector that is null, empty, zero or holds null or non-finite
 components links with nothing and is its own component, kept; vectors of
@@ -28,6 +33,7 @@ columns are ignored; an empty table gives an empty table.
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -47,6 +53,8 @@ MISS = 0.005
 GROUP_ROWS = 64
 #: Standard deviations of the estimate's error that the bound allows for.
 BOUND = 4.0
+#: Standard deviations of differing bits, at the threshold, that two codes may be off.
+SPREAD = 5.0
 SEED = 20_24
 
 
@@ -112,14 +120,60 @@ def _coded(bits: int, tables: int):
                 own = keys(unit, bits, tables) ^ (unit.shape[1] << 48)
                 part = batch.take(pa.array(rows))
                 yield pa.record_batch({
-                    "cid": part.column("cid"), "n": part.column("n"),
-                    "embedding": part.column("embedding"),
+                    "cid": part.column("cid"),
                     "code": pa.array([c.tobytes() for c in codes], pa.binary()),
                     "factor": pa.array(factors),
                     "keys": pa.array(list(own), pa.list_(pa.int64()))})
     return run
 
 
+def differing_bits(dimensions: int, threshold: float) -> float:
+    """As many bits of two codes may differ at the threshold: each does with the
+    chance of the angle by pi."""
+    p = math.acos(threshold) / math.pi
+    return dimensions * p + SPREAD * math.sqrt(dimensions * p * (1 - p))
+
+
+def _near(threshold: float):
+    """(cid, key) of the rows of a group whose code is near that of another one."""
+    def run(batch: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        n = batch.num_rows
+        bounds = np.append(starts, n) if starts[-1] != n else starts
+        side, cid, key = (batch.column(c).to_numpy() for c in ("_side", "cid", "key"))
+        code = batch.column("code")
+        stays = np.zeros(n, bool)
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if hi - lo < 2:
+                continue
+            d = int(key[lo] >> 48)  # of a key's group all vectors have one length
+            codes = np.frombuffer(b"".join(code.slice(lo, hi - lo).to_pylist()), np.uint8).reshape(hi - lo, -1)
+            signs = np.unpackbits(codes, axis=1, count=d).astype(np.float32) * 2 - 1
+            least = d - 2 * differing_bits(d, threshold)
+            cut = int(np.searchsorted(side[lo:hi], 1))
+            if cut in (0, hi - lo):
+                close = signs @ signs.T
+                np.fill_diagonal(close, -np.inf)
+                stays[lo:hi] |= close.max(axis=1) >= least
+            else:
+                close = signs[:cut] @ signs[cut:].T
+                stays[lo:lo + cut] |= close.max(axis=1) >= least
+                stays[lo + cut:hi] |= close.max(axis=0) >= least
+        yield pa.record_batch({"cid": pa.array(cid[stays]), "key": pa.array(key[stays])})
+    return run
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A digest of each vector's numbers (0.0 and -0.0 are one number)."""
+    for batch in batches:
+        vectors = batch.column("embedding")
+        sizes = vectors.value_lengths().to_numpy()
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
+        ends = np.cumsum(sizes)
+        names = [hashlib.blake2b(flat[a:b].tobytes(), digest_size=16).digest() for a, b in zip(ends - sizes, ends)]
+        yield pa.record_batch({"vec_id": batch.column("vec_id"), "digest": pa.array(names, pa.binary()),
+                               "embedding": vectors})
+
+
 def _linked(bits: int, tables: int, threshold: float):
     def run(batch: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         n = batch.num_rows
@@ -171,22 +225,27 @@ def _linked(bits: int, tables: int, threshold: float):
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row."""
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" \
+        else "array<double>"
     rows = only_columns(vectors, "vec_id", "embedding").select(
-        F.col("vec_id").cast("bigint").alias("vec_id"),
-        F.col("embedding").cast("array<double>").alias("embedding"))
+        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
-    good = rows.filter(valid)
+    good = rows.filter(valid).mapInArrow(_digests, f"vec_id bigint, digest binary, embedding {kind}")
     classes = checkpointed(
-        good.groupBy("embedding").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"))
+        good.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"),
+                                   F.first("embedding").alias("embedding"))
         .withColumn("cid", F.monotonically_increasing_id()))
     bits, tables = key_plan(classes.count(), threshold)
-    coded = classes.select("cid", "n", "embedding").mapInArrow(
-        _coded(bits, tables), "cid bigint, n bigint, embedding array<double>, code binary, "
-                              "factor double, keys array<bigint>")
-    keyed = coded.select("cid", "n", "embedding", "code", "factor", F.explode("keys").alias("key"))
+    coded = checkpointed(classes.select("cid", "embedding").mapInArrow(
+        _coded(bits, tables), "cid bigint, code binary, factor double, keys array<bigint>"))
+    keyed = coded.select("cid", "code", F.explode("keys").alias("key"))
+    near = checkpointed(compare_groups(paired_chunks(keyed, "key", "cid"), "key", "cid", _near(threshold),
+                                       "cid bigint, key bigint").distinct())
+    fetched = (near.join(coded.select("cid", "code", "factor"), "cid")
+               .join(classes.select("cid", "n", "embedding"), "cid"))
     found = checkpointed(compare_groups(
-        paired_chunks(keyed, "key", "cid"), "key", "cid", _linked(bits, tables, threshold),
+        paired_chunks(fetched, "key", "cid"), "key", "cid", _linked(bits, tables, threshold),
         "a bigint, b bigint, links bigint"))
     linked = checkpointed(components(found.filter("b IS NOT NULL").select("a", "b"))
                           .withColumnRenamed("node", "cid"))
@@ -194,11 +253,11 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
     firsts = classes.select("cid", "first").join(linked, "cid").groupBy("component").agg(
         F.min("first").alias("component_id"))
     known = checkpointed(
-        classes.join(counts, "cid", "left").join(linked, "cid", "left")
+        classes.select("cid", "digest", "n", "first").join(counts, "cid", "left").join(linked, "cid", "left")
         .join(firsts, "component", "left")
-        .select("embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+        .select("digest", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
                 F.coalesce("component_id", "first").alias("component_id")))
-    done = good.join(known, "embedding").select("vec_id", "n_links", "component_id")
+    done = good.select("vec_id", "digest").join(known, "digest").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~valid).select("vec_id", F.lit(0).cast("bigint").alias("n_links"),
                                        F.col("vec_id").alias("component_id"))
     return done.union(alone).select(

@@ -1,30 +1,33 @@
 """Tool calls in conversations: linked, ordered, validated, in canonical JSON.
 
 Everything is DataFrame and SQL functions.  Calls and results meet in a hash
-join on the identifier.  A call may cite an earlier one whose result it needs
-(``after``), so the calls of a conversation form chains; their levels are found
-by pointer doubling (each round every unresolved call jumps over as many steps
-as all rounds before together), in as many rounds as the logarithm of the
-longest chain, with all conversations at once.  A call has level 2d, its result
-2d + 1, so sorting by level is a topological order; calls that never reach the
-beginning of a chain stand in a cycle.  Arguments are parsed once (variant),
-checked against the tool's schema by a column expression compiled from it (nested
-objects and arrays too; patterns are Java's; a keyword that isn't checked, such as
-$ref or format, raises an error), and written with sorted keys and no white space.
+join on the identifier.  A call may cite earlier ones whose results it needs
+(``after``), so the calls of a conversation form a graph; a call's place is the
+longest path of citations to it.  Stretches in which every call cites one other
+are skipped by pointer doubling (each round every unresolved call jumps over as
+many steps as all rounds before together), with all conversations at once; calls
+that cite several are then placed as soon as all they cite are, one round per such
+call on a path.  A call has level 2d, its result 2d + 1, so sorting by level is a
+topological order; calls that are never placed stand in a cycle or after one.
+Arguments are parsed once (variant), checked against the tool's schema by a column
+expression compiled from it (nested objects and arrays too; patterns are Java's; a
+keyword that isn't checked, such as $ref or format, raises an error), and written
+with sorted keys and no white space.
 
 ``with_tool_messages`` derives tool messages from plain conversations: the
 given table has none.  An assistant turn becomes a call whose tool and
-arguments (faulty ones among them) follow from its text, the user turn after it
-is the call's result.  ``whole`` takes the turn's whole text into the arguments;
-without it they hold its first 40 characters, as ``ORACLE`` has it.
+arguments (faulty ones among them) follow from its whole text, the user turn after
+it is the call's result.
 
 Defined results: one row per message; a null conv_id is a conversation of its
 own; messages without identifier, results without call, citations of unknown
-calls, identifiers used twice (all their calls), cycles and faulty arguments
-are kept and say so in ``error``; with ``whole`` the JSON of a call also has the
-text beside it (``content``) and malformed arguments as their raw string, without
-it neither; null text is null content, which the JSON
-leaves out; repeated rows are kept each; extra columns are ignored; an empty
+calls, identifiers used twice (all their calls; they count as one call that cites
+what any of them does), cycles and faulty arguments
+are kept and say so in ``error``; the JSON of a call also has the text beside it
+(``content``), and malformed arguments as their raw string; null text is null
+content, which the JSON leaves out; repeated rows are kept each; citations may be
+an array or one string, repeated and null ones don't count; extra columns are
+ignored, whatever their names; texts of any length are kept whole; an empty
 table gives an empty table.
 """
 
@@ -36,7 +39,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.common import checkpointed
+from finmart.llm.common import checkpointed, only_columns
 
 #: JSON schemas of the tools that ``op4`` knows.
 TOOLS = {
@@ -56,21 +59,20 @@ _TYPES = {"string": "STRING", "integer": "BIGINT|DECIMAL\\(\\d+, ?0\\)", "boolea
           "null": "VOID"}
 
 
-def with_tool_messages(conversations: DataFrame, whole: bool = False) -> DataFrame:
+def with_tool_messages(conversations: DataFrame) -> DataFrame:
     """Plain turns as tool messages: adds kind, call_id, name, arguments, after."""
-    rows = conversations.select("conv_id", "turn", "role", "text")
+    rows = only_columns(conversations, "conv_id", "turn", "role", "text")
     n = F.coalesce(F.length("text"), F.lit(0))
-    used = "text" if whole else "substring(text, 1, 40)"
     name = F.get(F.array(*map(F.lit, ["search", "summarise", "translate", "lookup"])), n % 4)
     has_main = n % 11 != 0
-    main = F.when(has_main, F.expr(used))
+    main = F.when(has_main, F.col("text"))
     to = F.get(F.array(*map(F.lit, ["en", "de", "fr", "es", "xx"])), n % 5)
     number = F.when(n % 5 == 0, F.concat(F.lit('"'), (n % 7).cast("string"), F.lit('"'))).otherwise(
         (n % 7).cast("string"))
     given = F.when(name == "search", F.to_json(F.struct(main.alias("query"), (n % 13).alias("limit")))) \
         .when(name == "summarise", F.concat(
             F.lit('{"max_words": '), number,
-            F.when(has_main, F.concat(F.lit(", "), F.expr(f"substring(to_json(struct({used} AS text)), 2)")))
+            F.when(has_main, F.concat(F.lit(", "), F.expr("substring(to_json(struct(text)), 2)")))
             .otherwise(F.lit("}")))) \
         .when(name == "translate", F.to_json(F.struct(to.alias("to"), main.alias("text")))) \
         .otherwise(F.to_json(F.struct(main.alias("key"))))
@@ -84,7 +86,8 @@ def with_tool_messages(conversations: DataFrame, whole: bool = False) -> DataFra
         F.when(called, "call").when(answer, "result").otherwise("message").alias("kind"),
         F.when(called, of(0)).when(answer, of(1)).alias("call_id"),
         F.when(called, name).alias("name"), F.when(called, cut).alias("arguments"),
-        F.when(called & (n % 3 == 0), of(2)).alias("after"))
+        F.when(called & (n % 6 == 0), F.array(of(2), of(4)))
+         .when(called & (n % 3 == 0), F.array(of(2))).alias("after"))
 
 
 #: Schema keywords that say nothing about a value, and those that are checked.
@@ -193,43 +196,78 @@ def schema_errors(schemas: dict[str, dict], name: str, arguments: str, parsed: s
 
 
 def call_levels(calls: DataFrame) -> DataFrame:
-    """Place in its chain (0, 1 ...; null in a cycle) of every call: ``calls``
-    holds a distinct ``node`` and the node it cites in ``parent`` (or null).
-    Adds ``unknown``: the cited call isn't there."""
+    """The longest path of citations to every call (0, 1 ...; null in or after a
+    cycle): ``calls`` holds a distinct ``node`` and the nodes it cites in ``parents``
+    (distinct, not null).  Adds ``unknown``: a cited call isn't there."""
     there = calls.select(F.col("node").alias("_there"))
-    state = calls.join(there, F.col("parent") == F.col("_there"), "left").select(
-        "node", F.col("_there").alias("_at"), F.col("_there").isNotNull().cast("int").alias("_steps"),
-        (F.col("parent").isNotNull() & F.col("_there").isNull()).alias("unknown"))
-    state = checkpointed(state)
+    cited = calls.select("node", F.explode("parents").alias("parent")).join(
+        there, F.col("parent") == F.col("_there"), "left")
+    cited = checkpointed(cited.select("node", F.col("_there").alias("parent")))
+    known = cited.filter("parent IS NOT NULL")
+    degrees = cited.groupBy("node").agg(F.count("parent").alias("cites"),
+                                        F.max(F.col("parent").isNull()).alias("unknown"),
+                                        F.min("parent").alias("only"))
+    nodes = calls.select("node").join(degrees, "node", "left").select(
+        "node", F.coalesce("cites", F.lit(0)).alias("cites"), F.coalesce("unknown", F.lit(False)).alias("unknown"),
+        F.when(F.col("cites") == 1, F.col("only")).alias("only"))
+
+    # how far from a call that cites none or several: by jumps, all at once
+    state = checkpointed(nodes.select(
+        "node", "cites", "unknown", F.col("only").alias("_at"), F.coalesce("only", "node").alias("_end"),
+        F.when(F.col("only").isNull(), 0).otherwise(1).cast("bigint").alias("_steps")))
     left = state.filter("_at IS NOT NULL").count()
     while left:
         jump = state.select(F.col("node").alias("_n"), F.col("_at").alias("_further"),
-                            F.col("_steps").alias("_more"))
+                            F.col("_end").alias("_last"), F.col("_steps").alias("_more"))
         state = checkpointed(state.filter("_at IS NULL").union(
             state.filter("_at IS NOT NULL").join(jump, F.col("_at") == F.col("_n")).select(
-                "node", "_further", F.col("_steps") + F.col("_more"), "unknown")))
+                "node", "cites", "unknown", "_further", "_last", F.col("_steps") + F.col("_more"))))
         before, left = left, state.filter("_at IS NOT NULL").count()
-        if left == before:  # a round resolves some of every chain that has a beginning
+        if left == before:  # a round resolves some of every stretch that has a beginning
             break
-    return state.select("node", F.when(F.col("_at").isNull(), F.col("_steps")).alias("depth"), "unknown")
+
+    # calls that cite several: placed once all they cite are
+    ends = state.filter("_at IS NULL").select("node", "_end", "_steps")
+    joins = state.filter("cites > 1").select("node", F.col("cites").alias("_cites"))
+    waits = checkpointed(
+        known.join(joins, "node").join(ends.withColumnRenamed("node", "parent"), "parent")
+        .select("node", "_cites", "_end", "_steps"))
+    placed = checkpointed(state.filter("cites = 0").select(
+        F.col("node").alias("_end"), F.lit(0).cast("bigint").alias("_depth")))
+    number = placed.count()
+    while True:
+        ready = (waits.join(placed, "_end").groupBy("node", "_cites")
+                 .agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_depth") + F.col("_steps") + 1).alias("_depth"))
+                 .filter("_n = _cites").select(F.col("node").alias("_end"), "_depth"))
+        placed = checkpointed(ready.union(state.filter("cites = 0").select(
+            F.col("node").alias("_end"), F.lit(0).cast("bigint").alias("_depth"))))
+        before, number = number, placed.count()
+        if number == before:
+            break
+    depth = F.when(F.col("_at").isNull(), F.col("_depth") + F.col("_steps"))
+    return state.join(placed, "_end", "left").select("node", depth.alias("depth"), "unknown")
 
 
-def link_tool_calls(messages: DataFrame, schemas: dict[str, dict], whole: bool = False) -> DataFrame:
+def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per message: its level, whether it is linked, its errors and its
-    canonical JSON (``whole``: with a call's text and malformed arguments); sorted
-    by conversation, level and turn."""
-    conv = F.coalesce(F.col("conv_id").cast("string"), F.lit(""))
-    node = lambda c: F.concat(conv, F.lit("/"), F.col(c))
-    rows = messages.withColumn("node", F.when(F.col("kind") != "message", node("call_id")))
+    canonical JSON; sorted by conversation, level and turn."""
+    messages = only_columns(messages, "conv_id", "turn", "role", "text", "kind", "call_id", "name",
+                            "arguments", "after")
+    if messages.schema["after"].dataType.simpleString() == "string":
+        messages = messages.withColumn("after", F.when(F.col("after").isNotNull(), F.array("after")))
+    conv = F.col("conv_id").cast("string")
+    conv = F.when(conv.isNull(), F.lit("-")).otherwise(F.concat_ws(":", F.length(conv).cast("string"), conv))
+    node = lambda c: F.concat(conv, F.lit("/"), c)
+    rows = messages.withColumn("node", F.when(F.col("kind") != "message", node(F.col("call_id"))))
+    cites = F.transform(F.coalesce("after", F.array().cast("array<string>")), node)
     calls = checkpointed(
         rows.filter("kind = 'call' AND node IS NOT NULL").groupBy("node").agg(
             F.count(F.lit(1)).alias("copies"),
-            F.min(F.struct("turn", node("after").alias("parent"))).alias("f"))
-        .select("node", "copies", "f.parent"))
+            F.array_compact(F.array_distinct(F.flatten(F.collect_set(cites)))).alias("parents")))
     answers = rows.filter("kind = 'result' AND node IS NOT NULL").groupBy("node").agg(
         F.count(F.lit(1)).alias("results"))
-    info = checkpointed(calls.join(call_levels(calls.select("node", "parent")), "node")
-                        .join(answers, "node", "left").drop("parent"))
+    info = checkpointed(calls.join(call_levels(calls.select("node", "parents")), "node")
+                        .join(answers, "node", "left").drop("parents"))
     known = rows.filter("node IS NOT NULL").join(info, "node", "left")
     rest = rows.filter("node IS NULL")
     for c in ("copies", "depth", "unknown", "results"):
@@ -246,10 +284,9 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict], whole: bool =
         F.when(is_call & F.col("copies").isNotNull() & F.col("depth").isNull(), F.lit("cycle"))))
     wrong = F.when(is_call, schema_errors(schemas, "name", "arguments", "_v")).otherwise(
         F.array().cast("array<string>"))
-    given = F.coalesce("_v", F.col("arguments").cast("variant")) if whole else F.col("_v")
-    beside = [F.col("text").alias("content")] if whole else []
+    given = F.coalesce("_v", F.col("arguments").cast("variant"))
     canonical = F.when(is_call, F.to_json(F.struct(
-        "after", given.alias("arguments"), *beside, F.col("call_id").alias("id"), "name",
+        "after", given.alias("arguments"), F.col("text").alias("content"), F.col("call_id").alias("id"), "name",
         F.lit("call").alias("type")))).when(is_result, F.to_json(F.struct(
             F.col("text").alias("content"), F.col("call_id").alias("id"), F.lit("result").alias("type")))
     ).otherwise(F.to_json(F.struct(F.col("text").alias("content"), "role", F.lit("message").alias("type"))))
@@ -261,25 +298,37 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict], whole: bool =
     return rows.orderBy("conv_id", F.col("level").asc_nulls_last(), "turn", "canonical")
 
 
-#: The same rows in DuckDB SQL (levels by recursion along the chains).
+#: A broken call's arguments as they came: without the closing brace.
+_RAW = """CASE m.name
+  WHEN 'search' THEN '{' || CASE WHEN bare THEN '' ELSE '"query":' || to_json(text) || ',' END || '"limit":' || (n % 13)
+  WHEN 'summarise' THEN '{"max_words": ' || CASE WHEN n % 5 = 0 THEN '"' || (n % 7) || '"' ELSE CAST(n % 7 AS VARCHAR) END
+                        || CASE WHEN bare THEN '' ELSE ', "text":' || to_json(text) END
+  WHEN 'translate' THEN '{"to":"' || lang || '"' || CASE WHEN bare THEN '' ELSE ',"text":' || to_json(text) END
+  ELSE '{' || CASE WHEN bare THEN '' ELSE '"key":' || to_json(text) END END"""
+
+#: The same rows in DuckDB SQL (levels by recursion along all paths).
 ORACLE = """
 WITH RECURSIVE r AS (
-  SELECT conv_id, turn, role, text, coalesce(length(text), 0) AS n, substr(text, 1, 40) AS head,
+  SELECT conv_id, turn, role, text, coalesce(length(text), 0) AS n,
          CASE role WHEN 'assistant' THEN 'call' WHEN 'user' THEN 'result' ELSE 'message' END AS kind
   FROM conversations),
 m AS (
   SELECT *, CASE WHEN kind = 'call' THEN 'c' || conv_id || '-' || turn
                  WHEN kind = 'result' THEN 'c' || conv_id || '-' || (turn - 1) END AS call_id,
          CASE WHEN kind = 'call' THEN ['search', 'summarise', 'translate', 'lookup'][n % 4 + 1] END AS name,
-         CASE WHEN kind = 'call' AND n % 3 = 0 THEN 'c' || conv_id || '-' || (turn - 2) END AS after,
+         CASE WHEN kind = 'call' AND n % 6 = 0 THEN ['c' || conv_id || '-' || (turn - 2), 'c' || conv_id || '-' || (turn - 4)]
+              WHEN kind = 'call' AND n % 3 = 0 THEN ['c' || conv_id || '-' || (turn - 2)] END AS after,
          ['en', 'de', 'fr', 'es', 'xx'][n % 5 + 1] AS lang, n % 11 = 0 AS bare, n % 17 = 0 AS broken
   FROM r),
-chain AS (
-  SELECT a.call_id, 0 AS depth FROM m a
-  WHERE a.kind = 'call' AND NOT EXISTS (SELECT 1 FROM m b WHERE b.kind = 'call' AND b.call_id = a.after)
-  UNION ALL
-  SELECT a.call_id, c.depth + 1 FROM m a JOIN chain c ON a.after = c.call_id WHERE a.kind = 'call'),
+cited AS (SELECT call_id, unnest(after) AS parent FROM m WHERE kind = 'call'),
 calls AS (SELECT DISTINCT call_id FROM m WHERE kind = 'call'),
+path AS (
+  SELECT call_id, 0 AS depth FROM calls
+  WHERE call_id NOT IN (SELECT c.call_id FROM cited c JOIN calls p ON c.parent = p.call_id)
+  UNION
+  SELECT c.call_id, p.depth + 1 FROM cited c JOIN path p ON c.parent = p.call_id),
+chain AS (SELECT call_id, max(depth) AS depth FROM path GROUP BY call_id),
+lost AS (SELECT DISTINCT call_id FROM cited WHERE parent NOT IN (SELECT call_id FROM calls)),
 answered AS (SELECT DISTINCT call_id FROM m WHERE kind = 'result')
 SELECT m.conv_id, m.turn, m.kind, m.call_id, m.name,
        CAST(c.depth * 2 + CASE WHEN kind = 'result' THEN 1 ELSE 0 END AS INTEGER) AS level,
@@ -287,7 +336,7 @@ SELECT m.conv_id, m.turn, m.kind, m.call_id, m.name,
                  ELSE false END AS linked,
        concat_ws('; ',
          CASE WHEN kind = 'result' AND c.call_id IS NULL THEN 'no such call' END,
-         CASE WHEN kind = 'call' AND m.after IS NOT NULL AND p.call_id IS NULL THEN 'unknown citation' END,
+         CASE WHEN kind = 'call' AND l.call_id IS NOT NULL THEN 'unknown citation' END,
          CASE WHEN kind = 'call' AND broken THEN 'malformed arguments' END,
          CASE WHEN m.name = 'lookup' THEN 'unknown tool' END,
          CASE WHEN m.name = 'search' AND bare AND NOT broken THEN 'missing query' END,
@@ -301,33 +350,18 @@ SELECT m.conv_id, m.turn, m.kind, m.call_id, m.name,
          WHEN 'result' THEN '{"content":' || to_json(text) || ',"id":' || to_json(m.call_id) || ',"type":"result"}'
          WHEN 'message' THEN '{"content":' || to_json(text) || ',"role":' || to_json(role) || ',"type":"message"}'
          ELSE '{' || CASE WHEN m.after IS NULL THEN '' ELSE '"after":' || to_json(m.after) || ',' END
-              || CASE WHEN broken THEN '' ELSE '"arguments":{' || CASE m.name
-                   WHEN 'search' THEN '"limit":' || (n % 13) || CASE WHEN bare THEN '' ELSE ',"query":' || to_json(head) END
+              || CASE WHEN broken THEN '"arguments":' || to_json(""" + _RAW + """) || ','
+                 ELSE '"arguments":{' || CASE m.name
+                   WHEN 'search' THEN '"limit":' || (n % 13) || CASE WHEN bare THEN '' ELSE ',"query":' || to_json(text) END
                    WHEN 'summarise' THEN '"max_words":' || CASE WHEN n % 5 = 0 THEN '"' || (n % 7) || '"'
                                                                ELSE CAST(n % 7 AS VARCHAR) END
-                                         || CASE WHEN bare THEN '' ELSE ',"text":' || to_json(head) END
-                   WHEN 'translate' THEN CASE WHEN bare THEN '' ELSE '"text":' || to_json(head) || ',' END
+                                         || CASE WHEN bare THEN '' ELSE ',"text":' || to_json(text) END
+                   WHEN 'translate' THEN CASE WHEN bare THEN '' ELSE '"text":' || to_json(text) || ',' END
                                          || '"to":"' || lang || '"'
-                   ELSE CASE WHEN bare THEN '' ELSE '"key":' || to_json(head) END END || '},' END
+                   ELSE CASE WHEN bare THEN '' ELSE '"key":' || to_json(text) END END || '},' END
+              || CASE WHEN text IS NULL THEN '' ELSE '"content":' || to_json(text) || ',' END
               || '"id":' || to_json(m.call_id) || ',"name":"' || m.name || '","type":"call"}'
        END AS canonical
 FROM m LEFT JOIN chain c ON m.call_id = c.call_id
 LEFT JOIN answered a ON m.call_id = a.call_id
-LEFT JOIN calls p ON m.after = p.call_id"""
-
-#: A broken call's arguments as they came: without the closing brace.
-_RAW = """CASE m.name
-  WHEN 'search' THEN '{' || CASE WHEN bare THEN '' ELSE '"query":' || to_json(text) || ',' END || '"limit":' || (n % 13)
-  WHEN 'summarise' THEN '{"max_words": ' || CASE WHEN n % 5 = 0 THEN '"' || (n % 7) || '"' ELSE CAST(n % 7 AS VARCHAR) END
-                        || CASE WHEN bare THEN '' ELSE ', "text":' || to_json(text) END
-  WHEN 'translate' THEN '{"to":"' || lang || '"' || CASE WHEN bare THEN '' ELSE ',"text":' || to_json(text) END
-  ELSE '{' || CASE WHEN bare THEN '' ELSE '"key":' || to_json(text) END END"""
-
-#: The rows with ``whole`` in DuckDB SQL.
-ORACLE_WHOLE = (
-    ORACLE.replace("substr(text, 1, 40) AS head", "text AS head")
-    .replace("CASE WHEN broken THEN '' ELSE '\"arguments\":{'",
-             "CASE WHEN broken THEN '\"arguments\":' || to_json(" + _RAW + ") || ',' ELSE '\"arguments\":{'")
-    .replace("|| '\"id\":' || to_json(m.call_id) || ',\"name\"",
-             "|| CASE WHEN text IS NULL THEN '' ELSE '\"content\":' || to_json(text) || ',' END\n"
-             "              || '\"id\":' || to_json(m.call_id) || ',\"name\""))
+LEFT JOIN lost l ON m.call_id = l.call_id"""

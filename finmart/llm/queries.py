@@ -30,14 +30,6 @@ def op4_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_tool_calls(with_tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
 
 
-@query
-def op4_tool_call_linking_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn's whole text, and malformed arguments, are in the result."""
-    from finmart.llm.chat_tools import TOOLS, link_tool_calls, with_tool_messages
-    messages = with_tool_messages(table(spark, sf_dir, "conversations"), whole=True)
-    return link_tool_calls(messages, TOOLS, whole=True)
-
-
 @query
 def op5_rabitq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from finmart.llm.rabitq_dedup import near_duplicate_vectors
@@ -119,7 +111,6 @@ def _oracles() -> None:
     ORACLE_SQL["op12_source_divergence"] = source_audit.ORACLE
     ORACLE_SQL["op13_secret_ledger"] = secret_ledger.ORACLE
     ORACLE_SQL["op4_tool_call_linking"] = chat_tools.ORACLE
-    ORACLE_SQL["op4_tool_call_linking_whole"] = chat_tools.ORACLE_WHOLE
     ORACLE_SQL["op9_curriculum_mix"] = mixing.ORACLE
 
 

@@ -110,19 +110,18 @@ def test_given_conversations_match_sql(llm):
     assert as_text(got.toPandas()) == as_text(oracle_rows(C.ORACLE, SMALL, "conversations"))
 
 
-def test_whole_keeps_text_and_malformed_arguments(llm):
-    text = "a text of more than forty characters " * 9
+def test_text_and_malformed_arguments_stay_whole(llm):
+    text = "a text of more than forty characters " * 30_000
     rows = [call(1, 0, "a", '{"query":"x"}', "search"), call(1, 1, "b", '{"query":"x"', "search")]
     rows = [r[:3] + (text,) + r[4:] for r in rows] + [call(1, 2, "c", None, "search")]
-    got = C.link_tool_calls(llm.createDataFrame(rows, COLUMNS), C.TOOLS, whole=True).collect()
+    got = C.link_tool_calls(llm.createDataFrame(rows, COLUMNS), C.TOOLS).collect()
     a, b, c = (json.loads(r.canonical) for r in sorted(got, key=lambda r: r.turn))
     assert a["content"] == b["content"] == text and a["arguments"] == {"query": "x"}
     assert b["arguments"] == '{"query":"x"' and c == {"id": "c", "name": "search", "type": "call"}
     given = llm.read.parquet(f"{SMALL}/conversations.parquet")
-    got = C.link_tool_calls(C.with_tool_messages(given, whole=True), C.TOOLS, whole=True)
-    assert as_text(got.toPandas()) == as_text(oracle_rows(C.ORACLE_WHOLE, SMALL, "conversations"))
+    got = C.link_tool_calls(C.with_tool_messages(given), C.TOOLS).collect()
     texts = {(r.conv_id, r.turn): r.text for r in given.collect()}
-    for r in got.collect():
+    for r in got:
         said = json.loads(r.canonical)
         assert said["content"] == texts[r.conv_id, r.turn]
         main = [v for v in said["arguments"].values() if v == texts[r.conv_id, r.turn]] if (
@@ -130,6 +129,64 @@ def test_whole_keeps_text_and_malformed_arguments(llm):
         assert main is None or main or len(texts[r.conv_id, r.turn]) % 11 == 0
 
 
+ARRAYS = COLUMNS.replace("after string", "after array<string>")
+
+
+def longest(cites):
+    """Longest path of citations to each call, by plain recursion; None in or after a cycle."""
+    depth, on_path = {}, set()
+
+    def of(node):
+        if node in on_path:
+            return None
+        if node not in depth:
+            on_path.add(node)
+            above = [of(p) for p in cites[node] if p in cites]
+            on_path.discard(node)
+            depth[node] = None if None in above else max((d + 1 for d in above), default=0)
+        return depth[node]
+
+    return {n: of(n) for n in cites}
+
+
+def test_calls_that_cite_several(llm):
+    import random
+    rng = random.Random(8)
+    cites = {f"n{i}": [f"n{j}" for j in rng.sample(range(i), min(i, rng.choice([0, 1, 1, 1, 2, 3])))] for i in range(150)}
+    cites |= {f"s{i}": [f"s{i - 1}"] if i else [] for i in range(40)}           # a long stretch
+    cites |= {"two": ["s39", "n10"], "far": ["two", "s3", "s3", None], "end": ["far"]}
+    cites |= {"x": ["y", "n1"], "y": ["z"], "z": ["x"], "after": ["z", "n2"], "later": ["after"]}  # cycle
+    cites |= {"gone": ["nowhere", "s5"]}
+    rows = [call(1, i, c, after=list(a)) for i, (c, a) in enumerate(cites.items())]
+    rng.shuffle(rows)
+    got = C.link_tool_calls(llm.createDataFrame(rows, ARRAYS), {"t": {}}).collect()
+    want = longest({c: [p for p in a if p] for c, a in cites.items()})
+    for c in ("x", "y", "z", "after", "later"):
+        want[c] = None
+    assert {r.call_id: r.level for r in got} == {c: None if d is None else 2 * d for c, d in want.items()}
+    error = {r.call_id: r.error for r in got}
+    assert error["gone"] == "unknown citation" and error["later"] == error["x"] == "cycle" and error["two"] == ""
+    assert want["end"] == 42 and json.loads(next(r.canonical for r in got if r.call_id == "two"))["after"] == ["s39", "n10"]
+
+
+def test_clashing_columns_repeated_rows_and_text_ids(llm):
+    from pyspark.sql import functions as F
+    rows = [call(1, 0, "a"), result(1, 1, "a")] * 3 + [call(1, 2, "b", after="a")]
+    df = llm.createDataFrame(rows, COLUMNS)
+    plain = C.link_tool_calls(df, {"t": {}}).collect()
+    assert len(plain) == 7 and sum(r.error == "identifier used twice" for r in plain) == 3
+    for name in ("copies", "depth", "results", "unknown", "node", "parents", "_v", "_at", "level", "error", "cites"):
+        df = df.withColumn(name, F.lit("x"))
+    assert sorted(map(str, C.link_tool_calls(df, {"t": {}}).collect())) == sorted(map(str, plain))
+    text_ids = COLUMNS.replace("conv_id bigint", "conv_id string")
+    rows = [("a/b", 0, "x", None, "call", "c", "t", "{}", None), ("a", 0, "x", None, "result", "b/c", None, None, None),
+            ("", 0, "x", None, "call", "c", "t", "{}", None), (None, 0, "x", None, "result", "c", None, None, None)]
+    got = C.link_tool_calls(llm.createDataFrame(rows, text_ids), {"t": {}}).collect()
+    assert not any(r.linked for r in got)  # none of them belong together
+    given = llm.read.parquet(f"{SMALL}/conversations.parquet").withColumn("_given", F.lit(1)).withColumn("kind", F.lit(2))
+    assert C.link_tool_calls(C.with_tool_messages(given), C.TOOLS).count() == given.count()
+
+
 def test_plan_has_no_python(llm):
     got = C.link_tool_calls(C.with_tool_messages(llm.read.parquet(f"{SMALL}/conversations.parquet")), C.TOOLS)
     plan = got._jdf.queryExecution().toString()

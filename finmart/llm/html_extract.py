@@ -16,10 +16,15 @@ comes whole, and so do short unlinked blocks between two chosen ones and heading
 right before one.
 
 Elements that are furniture by their tag or role (menus, footers, forms, scripts
-...) leave the tree first.  A class or id (advert, sidebar, comments ...) is evidence
+...) leave the tree first.  A class or id (advert, sidebar ...) is evidence
 only: a whole name or its last word counts, and the element stays if it holds an
-article, a headline with prose, or most of the unlinked prose around it.  Names
-that articles have too (discussion, related ...) count outside articles only.
+article (one that is no advert or comment itself), the page's headline with prose,
+or most of the unlinked prose around it.  Names that articles have too (discussion,
+share ...) count outside articles only.
+
+Reader comments go by what they are: elements named so, unless there is next to no
+other prose; what stands under a heading that says so ("Comments", "12 replies")
+after prose; and a discussion whose entries repeat an author or a date.
 
 Defined results: null or empty html gives an empty text; malformed html is
 closed the way browsers do (a new block ends an open paragraph, unknown end
@@ -41,9 +46,9 @@ from pyspark.sql import functions as F
 
 from finmart.llm.common import only_columns, text_slices
 
+#: What may stand at a "<" (a comment's end is looked for by itself).
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|<[/!?][^>]*>"
     r"|</?[a-zA-Z][^>]*>", re.S)
 
@@ -71,17 +76,29 @@ FURNITURE_TAGS = frozenset(
     "textarea input label object embed canvas audio video head menu dialog".split())
 FURNITURE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-FURNITURE_NAMES = frozenset(
+COMMENT_NAMES = frozenset("comment comments commentlist respond reply replies disqus".split())
+FURNITURE_NAMES = COMMENT_NAMES | frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor "
     "sponsored nav navbar navigation menu menubar breadcrumb breadcrumbs footer sidebar side "
     "aside widget widgets related recommended share sharing social cookie cookies consent notice "
-    "notices notification popup modal newsletter subscribe subscription signup login comment "
-    "comments discussion respond replies disqus pagination pager toolbar masthead skip "
+    "notices notification popup modal newsletter subscribe subscription signup login "
+    "discussion pagination pager toolbar masthead skip "
     "disclaimer copyright gdpr alert".split())
 #: Names that parts of an article have as well.
 AMBIGUOUS_NAMES = frozenset(
-    "discussion related recommended respond replies notice notices alert disclaimer copyright "
-    "promotion side share sharing social comment comments skip menu navigation".split())
+    "discussion alert disclaimer copyright side share sharing social skip menu navigation".split())
+#: Names by which an article element is no article.
+NO_ARTICLE_NAMES = COMMENT_NAMES | frozenset(
+    "ad ads advert adverts advertisement advertising promo promotion sponsor sponsored related recommended".split())
+#: Names of the parts that every entry of a discussion has.
+ENTRY_NAMES = frozenset("author user username avatar byline date time timestamp posted".split())
+#: What a heading above reader comments says.
+_COMMENT_HEADING = re.compile(
+    r"(?:\d+ +)?(?:(?:reader|user|your|all|recent|latest|our readers'?) +)?"
+    r"(?:comments?|responses?|replies|reactions|kommentare?|commentaires?|comentarios?)"
+    r"(?: +(?:from|by|of) +(?:our +)?readers)?(?: *\(\d+\))? *:?|(?:leave|post|write) an? (?:comment|reply)", re.I)
+#: Prose beside an element of comments for it to go, and before a heading of comments.
+OTHER_PROSE = 200
 #: Last words that say where or in which form, and words that tell a state of the page.
 _FORM_WORDS = frozenset(
     "area bar block bottom box buttons container content form inner item items left links list "
@@ -95,19 +112,19 @@ _ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^
 
 
 class _Node:
-    __slots__ = ("tag", "children", "furniture", "named", "chars", "tags", "link_chars", "link_tags",
-                 "density", "total", "best")
+    __slots__ = ("tag", "children", "furniture", "named", "entry", "chars", "tags", "link_chars",
+                 "link_tags", "density", "total", "best")
 
-    def __init__(self, tag: str, furniture: bool = False, named: int = 0):
-        self.tag, self.furniture, self.named = tag, furniture, named
+    def __init__(self, tag: str, furniture: bool = False, named: int = 0, entry: bool = False):
+        self.tag, self.furniture, self.named, self.entry = tag, furniture, named, entry
         self.children: list = []  # nodes, and strings of text
 
 
-def _is_furniture(tag: str, attrs: str, open_tags: list[_Node]) -> bool:
+def _is_furniture(tag: str, attrs: str, open_count: dict[str, int]) -> bool:
     if tag in FURNITURE_TAGS:
         return True
     if tag == "header":  # an article's own header holds its headline
-        return not any(n.tag in ("article", "main") for n in open_tags)
+        return not (open_count.get("article") or open_count.get("main"))
     if not attrs or tag in ("html", "body", "article", "main"):
         return False
     for name, a, b, c in _ATTR.findall(attrs):
@@ -121,12 +138,13 @@ def _is_furniture(tag: str, attrs: str, open_tags: list[_Node]) -> bool:
     return False
 
 
-def _named(tag: str, attrs: str) -> int:
+def _named(tag: str, attrs: str) -> tuple[int, bool]:
     """Whether class or id name furniture: 0 no, 1 by a name that parts of an
-    article have too, 2 yes."""
-    found = 0
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return found
+    article have too, 2 yes, 3 comments; and whether they name an author or a date."""
+    found, entry = 0, tag == "time"
+    if not attrs or tag in ("html", "body", "main"):
+        return found, entry
+    names = NO_ARTICLE_NAMES if tag == "article" else FURNITURE_NAMES
     for name, a, b, c in _ATTR.findall(attrs):
         if name.lower() not in ("class", "id"):
             continue
@@ -136,9 +154,11 @@ def _named(tag: str, attrs: str) -> int:
                 continue
             while len(words) > 1 and words[-1] in _FORM_WORDS:
                 words.pop()
-            if words and words[-1] in FURNITURE_NAMES:
-                found = max(found, 1 if words[-1] in AMBIGUOUS_NAMES else 2)
-    return found
+            last = words[-1] if words else ""
+            entry = entry or last in ENTRY_NAMES
+            if last in names:
+                found = max(found, 3 if last in COMMENT_NAMES else 1 if last in AMBIGUOUS_NAMES else 2)
+    return found, entry
 
 
 def parse(page: str) -> _Node:
@@ -151,13 +171,26 @@ def parse(page: str) -> _Node:
         open_count[stack.pop().tag] -= 1
 
     at, n = 0, len(page)
+    last = page.rfind(">")  # a "<" beyond it begins no tag: nothing is looked for from there
     while at < n:
-        m = _TAG.search(page, at)
-        text = page[at:m.start() if m else n]
+        begin, m = at, None
+        while m is None:
+            begin = page.find("<", begin)
+            if begin < 0:
+                break
+            if page.startswith("<!--", begin):
+                break
+            m = _TAG.match(page, begin) if begin < last else None
+            begin += m is None
+        text = page[at:begin if begin >= 0 else n]
         if text:
             stack[-1].children.append(html.unescape(text) if "&" in text else text)
-        if not m:
+        if begin < 0:
             break
+        if m is None:
+            end = page.find("-->", begin + 4)
+            at = end + 3 if end >= 0 else n
+            continue
         at = m.end()
         if m[2] is None:
             continue
@@ -183,7 +216,7 @@ def parse(page: str) -> _Node:
                 if stack[i].tag == open_tag:
                     while len(stack) > i:
                         pop()
-        node = _Node(tag, _is_furniture(tag, attrs, stack), _named(tag, attrs))
+        node = _Node(tag, _is_furniture(tag, attrs, open_count), *_named(tag, attrs))
         stack[-1].children.append(node)
         if tag not in VOID and not (attrs.endswith("/") and tag not in BLOCKS):
             stack.append(node)
@@ -216,30 +249,83 @@ def _measure(root: _Node) -> list[_Node]:
     return order
 
 
+def _text(node: _Node, most: int = 80) -> str:
+    """The text of a small node (a longer one: its beginning)."""
+    out, todo, size, seen = [], [node], 0, 0
+    while todo and size <= most and seen < 4 * most:
+        item = todo.pop()
+        seen += 1
+        if isinstance(item, str):
+            out.append(item)
+            size += len(item)
+        else:
+            todo += reversed(item.children)
+    return " ".join("".join(out).split())
+
+
+def _mark_comments(root: _Node) -> None:
+    """Names as comments what stands under a heading of comments, if there is prose
+    before: the section that the heading begins, or else all up to the next heading
+    of its rank."""
+    seen = 0
+    todo: list = [(root, None, 0, False)]
+    while todo:
+        item, around, place, link = todo.pop()
+        if isinstance(item, str):
+            seen += 0 if link else len(item.strip())
+            continue
+        if item.tag in HEADINGS and around is not None and seen >= OTHER_PROSE and item.chars <= 60 \
+                and _COMMENT_HEADING.fullmatch(_text(item)):
+            begins = not any(c.strip() if isinstance(c, str) else c.chars for c in around.children[:place])
+            if begins and around.tag not in ("html", "body", "article", "main"):
+                around.named = 3
+            else:
+                item.named = 3
+                for c in around.children[place + 1:]:
+                    if isinstance(c, str):
+                        continue
+                    if c.tag in HEADINGS and c.tag <= item.tag:
+                        break
+                    c.named = 3
+        todo += [(c, item, i, link or item.tag == "a") for i, c in reversed(list(enumerate(item.children)))]
+
+
 def _without_named(root: _Node, order: list[_Node]) -> list[_Node]:
-    """The nodes once more, without those that are furniture by name."""
+    """The nodes once more, without those that are furniture by name, and
+    without reader comments."""
+    if any(n.tag in HEADINGS for n in order):
+        _mark_comments(root)
     if not any(n.named for n in order):
         return order
     plain = lambda n: n.chars - n.link_chars
-    holds: dict[int, tuple[bool, bool]] = {}  # article or main with text, h1
+    # an article or main with text, number of h1, an author or date, children with one
+    holds: dict[int, tuple[bool, int, bool, int]] = {}
     for node in order:
         inner = [holds[id(c)] for c in node.children if not isinstance(c, str)]
-        holds[id(node)] = (node.tag in ("article", "main") and plain(node) > 0 or any(a for a, _ in inner),
-                           node.tag == "h1" or any(h for _, h in inner))
-    in_articles = holds[id(root)][0]
+        own = node.tag in ("article", "main") and plain(node) > 0
+        entries = sum(i[2] for i in inner)
+        holds[id(node)] = (not node.named and own or any(i[0] for i in inner),
+                           (node.tag == "h1") + sum(i[1] for i in inner), node.entry or entries > 0, entries)
+    in_articles, headlines = holds[id(root)][:2]
     todo = [(root, root)]
     while todo:
         node, around = todo.pop()
-        if node.tag in ("article", "main"):
+        if node.tag in ("article", "main") and not node.named:
             around = node
         if node.named:
-            article, h1 = holds[id(node)]
+            article, h1, _, entries = holds[id(node)]
             inside = around is not root
-            node.furniture = not (
-                article or h1 and plain(node) >= HEADLINE_PROSE
-                or (inside or not in_articles) and 2 * plain(node) > plain(around)
-                or node.named == 1 and (inside or not in_articles) and plain(node) > node.link_chars
-                and node.tag in ("section", "p", *HEADINGS))
+            named = node.named
+            if named == 1 and entries > 1:  # a discussion among readers
+                named = 3
+            if named == 3:
+                node.furniture = not article and plain(around) - plain(node) >= OTHER_PROSE
+            else:
+                node.furniture = not (
+                    article or h1 and h1 == headlines and plain(node) >= HEADLINE_PROSE
+                    or (inside or not in_articles) and 2 * plain(node) > plain(around)
+                    or named == 1 and (inside or not in_articles) and plain(node) > node.link_chars
+                    and node.tag in ("section", "p", *HEADINGS))
         if not node.furniture:
             todo += [(c, around) for c in node.children if not isinstance(c, str)]
     return _measure(root)

@@ -63,6 +63,47 @@ def test_names_are_evidence_only():
         assert main_text(f"<body><div>{long}</div><div class={name}>{more}</div>").split("\n") == want, name
 
 
+def test_reader_comments_adverts_and_notices_in_an_article_go():
+    long, talk = f"<p>{PROSE * 4}</p>" * 5, f"<p>{PROSE * 5}</p>"
+    want = "\n".join(["Head", *[(PROSE * 4).strip()] * 5])
+    head, said = "<h1>Head</h1>", f"<div class=c><b class=author>Ann</b> <time>1 May</time>{talk}</div>"
+    inside = [f'<section class="comments">{talk * 9}</section>', f'<div id="comments"><ul>{f"<li>{talk}</li>" * 9}</ul></div>',
+              f'<article class="advert"><h1>Buy</h1>{talk * 2}</article>', f'<article class="promo">{talk}</article>',
+              f'<p class="notice">{PROSE}</p>', f'<section class="related"><h2>Related</h2>{talk}</section>',
+              f"<section><h2>Comments (9)</h2>{talk * 9}</section>", f"<h3>12 responses</h3>{talk * 3}",
+              f"<div><h4>Leave a reply</h4>{talk}</div>", f"<section id=discussion>{said * 4}</section>",
+              f"<section class=discussion><h2>Reader comments</h2>{talk * 4}</section>"]
+    for extra in inside:
+        assert main_text(f"<body><article>{head}{long}{extra}</article></body>") == want, extra
+        assert main_text(f"<body><main>{head}{long}{extra}</main></body>") == want, extra
+    one = f'<article class="comment">{talk}</article>'
+    for around in ("<div class=comments>{}</div>", "<section class=comments><h2>Comments</h2>{}</section>",
+                   "<section><h2>Comments</h2>{}</section>", "<div class=x>{}</div>", "{}"):
+        page = f"<body><article>{head}{long}</article>{around.format(one * 7)}</body>"
+        assert main_text(page) == want, around
+    assert main_text(f"<body><article>{head}{long}<h3>Comments</h3>{talk}<h3>Sources</h3><p>{PROSE * 3}</p></article>") == \
+        f"{want}\nSources\n{(PROSE * 3).strip()}"
+    # what only looks like it stays
+    assert main_text(f"<body><article>{head}<h2>Comments</h2>{long}</article>") == want.replace("Head", "Head\nComments")
+    assert main_text(f"<body><div class=comments>{long}</div>") == want.removeprefix("Head\n")
+    paper = f'<section id="related-work"><h2>Related work</h2>{long}</section>'
+    assert "Related work" in main_text(f"<body><article>{head}{long}{paper}</article>")
+    assert main_text(f'<body><article class="post has-comments">{head}{long}</article>') == want
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+    for piece in ("<a ", "x <y ", "<!", "</", "<a '", '<a "b', "<p><b>", "<header>", "<!-- ", "<li><b>", "&amp;<", "<h2>Comments</h2>"):
+        page = piece * (1_000_000 // len(piece))
+        if piece in ("<p><b>", "<li><b>", "<header>", "<h2>Comments</h2>"):  # one node or more a piece
+            page = page[:200_000]
+        start = time.time()
+        main_text(page)
+        assert time.time() - start < 4, piece
+    assert main_text("x <y z") == "x <y z" and main_text("<p>a <b") == "a <b"
+    assert main_text("<p>1 < 2 > 0</p>") == "1 < 2 > 0"
+
+
 def test_rows(llm):
     rows = [(1, "u", f"<article><p>{PROSE}</p></article>"), (None, None, None), (2, "v", ""),
             (2, "v", ""), (3, "w", "<p>a 😀</p>")]

@@ -268,6 +268,7 @@ def _mark_comments(root: _Node) -> None:
     before: the section that the heading begins, or else all up to the next heading
     of its rank."""
     seen = 0
+    first: dict[int, int] = {}  # place of the first child with text
     todo: list = [(root, None, 0, False)]
     while todo:
         item, around, place, link = todo.pop()
@@ -276,12 +277,14 @@ def _mark_comments(root: _Node) -> None:
             continue
         if item.tag in HEADINGS and around is not None and seen >= OTHER_PROSE and item.chars <= 60 \
                 and _COMMENT_HEADING.fullmatch(_text(item)):
-            begins = not any(c.strip() if isinstance(c, str) else c.chars for c in around.children[:place])
-            if begins and around.tag not in ("html", "body", "article", "main"):
+            if id(around) not in first:
+                first[id(around)] = next(i for i, c in enumerate(around.children)
+                                         if (c.strip() if isinstance(c, str) else c.chars))
+            if first[id(around)] == place and around.tag not in ("html", "body", "article", "main"):
                 around.named = 3
             else:
                 item.named = 3
-                for c in around.children[place + 1:]:
+                for c in map(around.children.__getitem__, range(place + 1, len(around.children))):
                     if isinstance(c, str):
                         continue
                     if c.tag in HEADINGS and c.tag <= item.tag:

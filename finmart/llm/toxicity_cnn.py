@@ -8,7 +8,7 @@ training documents, the rest at random; all of it is then trained by gradient
 steps through the pooled windows.
 
 Training takes a bounded sample of labelled documents (``ROWS_PER_CLASS`` of
-each class, of at most ``TRAINING_CHARS`` characters, by a hash of the id) on
+each class, of at most ``CLASS_CHARS`` characters together, by a hash of the id) on
 the driver; documents of the held-out fold are never among them.  A part of the
 sample stays out of the gradient steps and sets a threshold per language.  The
 language is guessed from the text's own function words, so labels, lang, source
@@ -38,7 +38,7 @@ from finmart.llm.common import only_columns, text_slices
 from finmart.llm.learning import held_out, training_documents
 
 ROWS_PER_CLASS = 2000
-TRAINING_CHARS = 12_000
+CLASS_CHARS = 6_000_000
 BUCKETS = 1 << 16
 DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
@@ -235,8 +235,7 @@ def _calibrate(model: Model, texts: list[str], y: np.ndarray) -> None:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model | None:
     """Trains on a bounded sample of the labelled documents."""
-    rows = training_documents(docs.filter(F.coalesce(F.length("text"), F.lit(0)) <= TRAINING_CHARS),
-                              labels, label, ROWS_PER_CLASS).orderBy("doc_id").collect()
+    rows = training_documents(docs, labels, label, ROWS_PER_CLASS, CLASS_CHARS).orderBy("doc_id").collect()
     return train([r["text"] for r in rows], np.array([r["y"] for r in rows], float))
 
 

@@ -14,6 +14,11 @@ Ranks within a length are counted per hash bucket and offset by the totals of
 the buckets before, so a length that a third of all documents have is no
 single task's.
 
+Where the documents have a place in training (``position``), items of one length
+take their ranks in that order, and sequences are numbered by the least place of
+their documents, so reading the sequences by number goes through the documents in
+their order, as nearly as the packing allows.
+
 Defined results: a null text counts as empty and is the end token alone; any
 doc_id, null included, is passed through, repeated rows are packed each; extra
 columns are ignored; an empty table gives an empty table.
@@ -30,10 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finmart.llm.common import byte_symbols, checkpointed, only_columns, text_slices
+from finmart.llm.common import byte_symbols, checkpointed, text_slices
+from finmart.operators.ranking import with_global_position
 
 CAPACITY = 1024
 END_ID = 2
@@ -113,9 +120,28 @@ class UnitEncoder:
 _ENCODERS: dict[str, UnitEncoder] = {}
 
 
+def in_file_order(docs: DataFrame) -> tuple[DataFrame, str | None]:
+    """Documents read from files that were written in an order, with their place in
+    it (from 0), and that column's name; documents from elsewhere as they are, and
+    None.  Files are counted, rows are not sorted."""
+    try:
+        rows = docs.select(*docs.columns, F.col("_metadata.file_name").alias("_file"),
+                           F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return docs, None
+    number = lambda p: F.try_to_number(F.nullif(F.regexp_extract("_file", p, 1), F.lit("")), F.lit("9" * 18))
+    files = checkpointed(rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.orderBy(number(r"^part-(\d+)").asc_nulls_last(), number(r"\.?-?c(\d+)\.").asc_nulls_last(),
+                            "_file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    placed = rows.join(starts, "_file").withColumn("_place", F.col("_start") + F.col("_row"))
+    return placed.select(*docs.columns, "_place"), "_place"
+
+
 def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
-              end_id: int = END_ID) -> DataFrame:
-    """doc_id, ``first`` (tokens of the first piece) and ``crcs`` of all pieces."""
+              end_id: int = END_ID, position: str | None = None) -> DataFrame:
+    """doc_id, ``first`` (tokens of the first piece), ``crcs`` of all pieces, and
+    the position (null without one)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _ENCODERS:
@@ -134,12 +160,14 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
                     crcs.append([zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:])])
                 yield pa.record_batch({
                     "doc_id": batch.column("doc_id").slice(at, len(texts)),
+                    "position": batch.column("position").slice(at, len(texts)),
                     "first": pa.array(firsts, pa.int32()),
                     "crcs": pa.array(crcs, pa.list_(pa.int64()))})
 
-    docs = only_columns(docs, "doc_id", "text")
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return docs.mapInArrow(run, "doc_id bigint, first int, crcs array<bigint>")
+    place = F.col(f"`{position}`") if position else F.lit(None)
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
+                       place.cast("bigint").alias("position"))
+    return docs.mapInArrow(run, "doc_id bigint, position bigint, first int, crcs array<bigint>")
 
 
 class _Gaps:
@@ -216,9 +244,10 @@ def packing_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[l
 
 
 def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
-           end_id: int = END_ID) -> DataFrame:
-    """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    items = checkpointed(tokenized(docs, tokenizer, capacity, end_id)
+           end_id: int = END_ID, position: str | None = None) -> DataFrame:
+    """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    ``position``: a column with the documents' places in training (0, 1 ...)."""
+    items = checkpointed(tokenized(docs, tokenizer, capacity, end_id, position)
                          .withColumn("_uid", F.monotonically_increasing_id()))
     full = F.size("crcs") - 1
     lengths = items.groupBy("first").agg(F.count(F.lit(1)).alias("n"),
@@ -234,16 +263,21 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
         numbers.append((r["first"], before))
         before += r["full"]
     buckets = max(64, min(1 << 16, sum(r["n"] for r in lengths) // BUCKET_ROWS))
-    items = items.withColumn("_b", F.pmod(F.xxhash64("_uid"), F.lit(buckets)).cast("int"))
+    if position:  # buckets are stretches of the training order
+        span = 1 + (items.agg(F.max("position")).first()[0] or 0)
+        bucket = F.floor(F.col("position") / span * buckets)
+    else:
+        bucket = F.pmod(F.xxhash64("_uid"), F.lit(buckets))
+    items = items.withColumn("_b", bucket.cast("int"))
     groups = items.groupBy("first", "_b").agg(F.count(F.lit(1)).alias("_n"),
                                               F.sum(full).alias("_full"))
     prior = Window.partitionBy("first").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     groups = checkpointed(groups.select(
         "first", "_b", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_rank"),
         F.coalesce(F.sum("_full").over(prior), F.lit(0)).alias("_number")))
-    within = Window.partitionBy("first", "_b").orderBy("_uid")
+    within = Window.partitionBy("first", "_b").orderBy("position", "_uid")
     ranked = items.join(groups, ["first", "_b"]).select(
-        "doc_id", "first", "crcs",
+        "doc_id", "position", "first", "crcs",
         (F.col("_rank") + F.row_number().over(within) - 1).alias("_rank"),
         (F.col("_number") + F.coalesce(F.sum(full).over(
             within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_number"))
@@ -256,21 +290,29 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
             run = np.searchsorted(at, first << 40 | rank, side="right") - 1
             base = np.array([number_of[f] for f in first.tolist()], np.int64)
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "first": batch.column("first"),
+                "doc_id": batch.column("doc_id"), "position": batch.column("position"),
+                "first": batch.column("first"),
                 "crcs": batch.column("crcs"),
                 "_sequence": pa.array(to[run] + rank - rank0[run]),
                 "_offset": pa.array(offset[run]),
                 "_number": pa.array(base + batch.column("_number").to_numpy())})
 
-    placed = ranked.mapInArrow(look_up, "doc_id bigint, first int, crcs array<bigint>, "
+    placed = ranked.mapInArrow(look_up, "doc_id bigint, position bigint, first int, crcs array<bigint>, "
                                         "_sequence bigint, _offset bigint, _number bigint")
-    pieces = placed.select("doc_id", "first", "_sequence", "_offset", "_number",
+    pieces = placed.select("doc_id", "position", "first", "_sequence", "_offset", "_number",
                            F.posexplode("crcs").alias("piece", "ids_crc32"))
     is_first = F.col("piece") == 0
     long = lambda c: c.cast("bigint")
-    return pieces.select(
-        "doc_id", "piece",
+    rows = pieces.select(
+        "doc_id", "position", "piece",
         long(F.when(is_first, 0).otherwise(F.col("first") + (F.col("piece") - 1) * capacity)).alias("start"),
         long(F.when(is_first, F.col("first")).otherwise(capacity)).alias("length"), "ids_crc32",
         F.when(is_first, F.col("_sequence")).otherwise(F.col("_number") + F.col("piece") - 1).alias("sequence_id"),
         F.when(is_first, F.col("_offset")).otherwise(F.lit(0)).alias("offset"))
+    if not position:
+        return rows.drop("position")
+    rows = checkpointed(rows)
+    least = rows.groupBy("sequence_id").agg(F.min("position").alias("_least"), F.min("piece").alias("_piece"))
+    numbered = with_global_position(least, [F.col("_least"), F.col("_piece"), F.col("sequence_id")], "_number")
+    return rows.join(numbered.select("sequence_id", (F.col("_number") - 1).alias("_number")), "sequence_id").select(
+        "doc_id", "piece", "start", "length", "ids_crc32", F.col("_number").alias("sequence_id"), "offset")

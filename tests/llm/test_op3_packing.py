@@ -78,3 +78,34 @@ def test_pieces_round_trip(llm, small_docs, odd_docs):
     for docs in (small_docs, odd_docs):
         check_rows(docs, [tuple(r) for r in packed(docs, PATH).collect()])
     assert packed(odd_docs.limit(0), PATH).count() == 0
+
+
+def test_sequences_follow_the_order_of_training(llm, small_docs, odd_docs):
+    from pyspark.sql import functions as F
+
+    from finmart.llm.common import scratch_table
+    from finmart.llm.packing import in_file_order
+    docs = scratch_table(small_docs.orderBy(F.xxhash64("doc_id")), "ordered")
+    placed, name = in_file_order(docs)
+    place = {r.doc_id: r[name] for r in placed.collect()}
+    want = [r.doc_id for r in small_docs.orderBy(F.xxhash64("doc_id")).collect()]
+    assert [i for i, _ in sorted(place.items(), key=lambda x: x[1])] == want
+    assert sorted(place.values()) == list(range(len(want)))
+    rows = [tuple(r) for r in packed(placed, PATH, position=name).collect()]
+    check_rows(docs, rows)
+    least: dict = {}
+    for r in rows:
+        least[r[5]] = min(least.get(r[5], len(want)), place[r[0]])
+    assert sorted(least) == list(range(len(least)))  # numbers without a gap
+    assert [least[s] for s in sorted(least)] == sorted(least.values())
+    plain = packed(docs, PATH).select("sequence_id").distinct().count()
+    assert len(least) == plain  # no sequence more
+    # the pieces of the first half of training are in the first half of the sequences
+    early = [r[5] for r in rows if place[r[0]] < len(want) / 2 and r[1] == 0]
+    late = [r[5] for r in rows if place[r[0]] >= len(want) / 2 and r[1] == 0]
+    assert np.mean(early) < 0.6 * np.mean(late)
+    made = llm.createDataFrame([(1, "x")], "doc_id bigint, text string")
+    assert in_file_order(made)[1] is None
+    odd, name = in_file_order(scratch_table(odd_docs, "odd"))
+    assert odd.drop(name).columns == odd_docs.columns
+    check_rows(odd_docs, [tuple(r) for r in packed(odd, PATH, position=name).collect()])

@@ -1,4 +1,5 @@
 import corpus_pipeline as P
+import numpy as np
 from test_op3_packing import check_rows
 
 from finmart.llm import mixing, quality_rules, simhash_dedup, toxicity_cnn
@@ -25,7 +26,28 @@ def test_every_stage_does_its_operators_work(llm):
     assert ids(after[2]) == ids(groups.filter("doc_id = component_id"))
     copies = mixing.plan(before[3]).collect()
     assert ids(after[3]) == sorted(r.doc_id for r in copies for _ in range(r.copies))
-    check_rows(before[4], [tuple(r) for r in after[4].collect()])
+    packed = [tuple(r) for r in after[4].collect()]
+    check_rows(before[4], packed)
+    # the curriculum reaches the sequences: early positions are in early sequences
+    first = {r.doc_id: r.position for r in copies if r.position is not None}
+    last = max(r[5] for r in packed)
+    assert {r[5] for r in packed} == set(range(last + 1))
+    thirds = [np.mean([r[5] / last for r in packed if r[1] == 0 and lo <= first[r[0]] < lo + 1 / 3
+                       and counts[r[0]] == 1]) for counts in [{r.doc_id: r.copies for r in copies}] for lo in (0, 1 / 3, 2 / 3)]
+    assert thirds[0] < thirds[1] < thirds[2]
+
+
+def test_stages_on_odd_rows(llm, odd_docs):
+    columns = odd_docs.columns
+    docs = scratch_table(odd_docs, "odd")
+    for i, (_, stage) in enumerate(P.STAGES):
+        out = scratch_table(stage(llm, docs, FOLDER), f"odd{i}")  # each on all the odd rows
+        if i < 4:
+            assert out.columns == columns and out.count() <= (3 if i == 3 else 1) * docs.count()
+        else:
+            check_rows(odd_docs, [tuple(r) for r in out.collect()])
+        empty = stage(llm, scratch_table(docs.limit(0), f"none{i}"), FOLDER)
+        assert empty.count() == 0
 
 
 def test_run_and_empty_input(llm, tmp_path):

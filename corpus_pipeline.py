@@ -3,6 +3,18 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each result as Parquet in the cluster's shared folder and gives the next stage
 what it reads back.  All stages but the last return the columns of documents.
+
+Defined results of the stages, whatever the rows: null and empty texts are texts
+without words (the classifiers judge them like any other; they are near copies of
+each other; the mix takes no copy of a source that has no words at all; packed they
+are an end token).  Texts of any length are read whole.  Repeated rows and ties are
+told apart where it matters: each is judged, one of a group of copies stays, the
+mix and the packing count each row.  doc_id, lang and source may be null (the null
+source is a source of its own).  Extra columns pass through the first four stages
+and may have any name.  An empty table gives an empty table.
+
+The mix ends in training order: its files hold the copies by position, the packing
+numbers its sequences by the least position in them.
 """
 
 from __future__ import annotations
@@ -37,15 +49,18 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mix_of_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copies that the mix takes, in training order (packing doesn't keep it)."""
+    """The copies that the mix takes, in training order."""
     workers_find_package(spark)
     return mixing.training_order(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, placed in sequences."""
+    """The pieces of all documents, placed in sequences that are numbered in training
+    order: the order of the files that hold ``docs`` (documents from elsewhere have
+    none)."""
     workers_find_package(spark)
-    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    placed, position = packing.in_file_order(docs)
+    return packing.packed(placed, public_tokenizers.path("byte_bpe_50k.json"), position=position)
 
 
 STAGES = [

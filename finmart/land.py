@@ -1,7 +1,7 @@
 """Land a batch of orders and lines and bring the fact and the report up to date.
 
     python -m finmart.land --batch /in/2024-06-30 --batch-id 17 --warehouse /shared/wh \
-        [--replace] [--on-schema-change ignore|append|sync|fail] [--compact]
+        [--replace] [--on-schema-change ignore|append|sync|fail] [--compact] [--buckets N]
 
 The batch folder holds ``lineitem.parquet``, ``orders.parquet`` or both.  The
 dimensions and unit costs are those of the warehouse's last build
@@ -10,7 +10,8 @@ by order month, the report's state and the report itself; the work of a batch
 grows with the orders it touches, not with what has landed before.  The same
 batch id again replaces what that batch landed.  ``--replace``: the batch's lines
 stand for all earlier lines of their orders.  ``--compact`` joins the folders of
-merged batches and removes what nothing needs any more.
+merged batches and removes what nothing needs any more.  ``--buckets``: the buckets
+of a landing log that begins with this batch (about a hundred thousand orders each).
 """
 
 from __future__ import annotations
@@ -36,18 +37,19 @@ _UPSTREAM = ("dim_customer", "partsupp", "dim_supplier", "dim_part", "dim_geogra
 
 
 def warehouse_sales(spark: SparkSession, warehouse: str, policy: str = "append",
-                    days: int = 90) -> tuple[LandedSales, DayReport, DataFrame]:
+                    days: int = 90, buckets: int = 256) -> tuple[LandedSales, DayReport, DataFrame]:
     """The landed sales of a warehouse, the report that follows them, and dim_customer."""
     t = {n: spark.read.parquet(table_path(warehouse, n)) for n in _UPSTREAM}
     root = f"{warehouse.rstrip('/')}/incremental"
     sales = LandedSales(spark, root, lambda lines, orders: gold.fct_sales_lineitem(
-        lines, orders, *[t[n] for n in _UPSTREAM]), policy=policy)
-    return sales, DayReport(spark, f"{root}/report_state", sales, days), t["dim_customer"]
+        lines, orders, *[t[n] for n in _UPSTREAM]), buckets=buckets, policy=policy)
+    return sales, DayReport(spark, f"{root}/report_state", sales, days, buckets=min(buckets, 64)), t["dim_customer"]
 
 
 def land_batch(spark: SparkSession, batch_dir: str, batch_id: int, warehouse: str, replace: bool = False,
-               policy: str = "append", compact: bool = False, source_system: str = "landing") -> dict:
-    sales, report, dim_customer = warehouse_sales(spark, warehouse, policy)
+               policy: str = "append", compact: bool = False, source_system: str = "landing",
+               buckets: int = 256) -> dict:
+    sales, report, dim_customer = warehouse_sales(spark, warehouse, policy, buckets=buckets)
     now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     given = {}
     for name, (source, clean) in _SILVER.items():
@@ -79,9 +81,10 @@ def main(argv=None):
     ap.add_argument("--replace", action="store_true")
     ap.add_argument("--on-schema-change", choices=POLICIES, default="append")
     ap.add_argument("--compact", action="store_true")
+    ap.add_argument("--buckets", type=int, default=256)
     a = ap.parse_args(argv)
     print(json.dumps(land_batch(get_spark(), a.batch, a.batch_id, a.warehouse, a.replace,
-                                a.on_schema_change, a.compact)))
+                                a.on_schema_change, a.compact, buckets=a.buckets)))
 
 
 if __name__ == "__main__":

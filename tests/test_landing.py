@@ -277,7 +277,7 @@ def test_the_command_lands_batches(spark, capsys):
     for batch, parts in ((1, {"orders": 0, "lineitem": 0}), (2, {"lineitem": 1}), (3, {"orders": 1})):
         for t, rest in parts.items():
             tables[t].filter(key[t] % 2 == rest).write.parquet(f"{source}/{batch}/{t}.parquet")
-        argv = ["--batch", f"{source}/{batch}", "--batch-id", str(batch), "--warehouse", wh]
+        argv = ["--batch", f"{source}/{batch}", "--batch-id", str(batch), "--warehouse", wh, "--buckets", "4"]
         land.main(argv + (["--compact"] if batch == 3 else []))
         out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
         assert out["landed"] == sorted({"orders": "orders", "lineitem": "lines"}[t] for t in parts)

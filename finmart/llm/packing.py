@@ -121,21 +121,27 @@ _ENCODERS: dict[str, UnitEncoder] = {}
 
 
 def in_file_order(docs: DataFrame) -> tuple[DataFrame, str | None]:
-    """Documents read from files that were written in an order, with their place in
-    it (from 0), and that column's name; documents from elsewhere as they are, and
-    None.  Files are counted, rows are not sorted."""
+    """Documents read from files that were written in an order, with the file and the
+    row each comes from, and that column's name; documents from elsewhere as they
+    are, and None."""
+    place = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     try:
-        rows = docs.select(*docs.columns, F.col("_metadata.file_name").alias("_file"),
-                           F.col("_metadata.row_index").alias("_row"))
+        return docs.select(*[F.col(f"`{c}`") for c in docs.columns], place.alias("_place")), "_place"
     except AnalysisException:
         return docs, None
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``position`` as the number of the row over all files (from 0).  Rows are counted
+    per file, not sorted; they are thin by now, the texts don't travel."""
     number = lambda p: F.try_to_number(F.nullif(F.regexp_extract("_file", p, 1), F.lit("")), F.lit("9" * 18))
+    rows = rows.withColumns({"_file": F.col("position.file"), "_row": F.col("position.row")})
     files = checkpointed(rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")))
     before = Window.orderBy(number(r"^part-(\d+)").asc_nulls_last(), number(r"\.?-?c(\d+)\.").asc_nulls_last(),
                             "_file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    placed = rows.join(starts, "_file").withColumn("_place", F.col("_start") + F.col("_row"))
-    return placed.select(*docs.columns, "_place"), "_place"
+    return rows.join(starts, "_file").withColumn("position", F.col("_start") + F.col("_row")).drop(
+        "_file", "_row", "_start")
 
 
 def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
@@ -164,10 +170,11 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
                     "first": pa.array(firsts, pa.int32()),
                     "crcs": pa.array(crcs, pa.list_(pa.int64()))})
 
-    place = F.col(f"`{position}`") if position else F.lit(None)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
-                       place.cast("bigint").alias("position"))
-    return docs.mapInArrow(run, "doc_id bigint, position bigint, first int, crcs array<bigint>")
+    place = F.col(f"`{position}`") if position else F.lit(None).cast("bigint")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", place.alias("position"))
+    kind = docs.schema["position"].dataType.simpleString()
+    rows = docs.mapInArrow(run, f"doc_id bigint, position {kind}, first int, crcs array<bigint>")
+    return numbered(checkpointed(rows)) if kind.startswith("struct") else rows
 
 
 class _Gaps:
@@ -246,7 +253,8 @@ def packing_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[l
 def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
            end_id: int = END_ID, position: str | None = None) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
-    ``position``: a column with the documents' places in training (0, 1 ...)."""
+    ``position``: a column with the documents' places in training (0, 1 ..., or as
+    ``in_file_order`` gives them)."""
     items = checkpointed(tokenized(docs, tokenizer, capacity, end_id, position)
                          .withColumn("_uid", F.monotonically_increasing_id()))
     full = F.size("crcs") - 1

@@ -84,10 +84,10 @@ def test_sequences_follow_the_order_of_training(llm, small_docs, odd_docs):
     from pyspark.sql import functions as F
 
     from finmart.llm.common import scratch_table
-    from finmart.llm.packing import in_file_order
+    from finmart.llm.packing import in_file_order, numbered
     docs = scratch_table(small_docs.orderBy(F.xxhash64("doc_id")), "ordered")
     placed, name = in_file_order(docs)
-    place = {r.doc_id: r[name] for r in placed.collect()}
+    place = {r.doc_id: r.position for r in numbered(placed.withColumnRenamed(name, "position")).collect()}
     want = [r.doc_id for r in small_docs.orderBy(F.xxhash64("doc_id")).collect()]
     assert [i for i, _ in sorted(place.items(), key=lambda x: x[1])] == want
     assert sorted(place.values()) == list(range(len(want)))

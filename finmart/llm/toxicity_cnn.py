@@ -46,7 +46,9 @@ FILTERS = 8
 HEADS = (4, 5)
 EPOCHS = 2
 #: Words a worker remembers the buckets of.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
+#: Characters scored at once: the responses of all their windows are held meanwhile.
+SCORED_CHARS = 600_000
 
 #: Common function words, to guess a text's language.
 FUNCTION_WORDS = {
@@ -244,7 +246,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in text_slices(batch.column("text")):
+            for first, texts in text_slices(batch.column("text"), SCORED_CHARS):
                 scores = model.scores(texts) if model else np.zeros(len(texts))
                 yield pa.record_batch({"doc_id": batch.column("doc_id").slice(first, len(texts)),
                                        "score": pa.array(scores.astype(np.float64))})
@@ -261,7 +263,7 @@ def keep_clean(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [s for _, texts in text_slices(batch.column("text"))
+            scores = [s for _, texts in text_slices(batch.column("text"), SCORED_CHARS)
                       for s in (model.scores(texts) if model else np.zeros(len(texts)))]
             yield batch.filter(pa.array([s < 0.5 for s in scores], pa.bool_()))
 

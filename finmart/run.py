@@ -31,13 +31,14 @@ from finmart.sources.history import HISTORY_RUNS
 
 def build(spark: SparkSession, data_dir: str, warehouse: str,
           options: BuildOptions | None = None, layer: str | None = None,
-          observed: dict | None = None) -> dict:
+          observed: dict | None = None, catalog: bool = True) -> dict:
     """Persisted build.  Returns the models (tables read back from the warehouse).
-    ``observed`` takes the counts of the row-level checks of the tables written."""
+    ``observed`` takes the counts of the row-level checks of the tables written;
+    without ``catalog`` the tables are folders only."""
     o = options or BuildOptions()
     ensure_checkpoint_dir(spark)
     mat = sinks.table_materializer(
-        spark, warehouse, bucketed=o.bucketed, clustered=o.clustered,
+        spark, warehouse, catalog=catalog, bucketed=o.bucketed, clustered=o.clustered,
         watch=None if observed is None else quality.row_level_counts(), observed=observed)
     as_of = HISTORY_RUNS[-1] if o.history else o.as_of
     fresh = sinks.check_snapshot_time(spark, warehouse, as_of)
@@ -56,13 +57,13 @@ def build(spark: SparkSession, data_dir: str, warehouse: str,
 
 
 def run_checks(spark: SparkSession, models: dict, warehouse: str | None = None,
-               store_failures: bool = False, observed: dict | None = None):
-    summary = quality.run_checks(models, observed=observed).cache()
+               store_failures: bool = False, observed: dict | None = None, catalogue: list = CATALOGUE):
+    summary = quality.run_checks(models, catalogue, observed=observed).cache()
     rows = summary.orderBy("check_id").collect()  # one row per declared check
     if store_failures and warehouse:
         for r in rows:
             if r["failures"]:
-                c = CATALOGUE[r["check_id"] - 1]
+                c = catalogue[r["check_id"] - 1]
                 sinks.store_failures(quality.check_failures(c, models), warehouse,
                                      r["check_id"], c.label)
     summary.unpersist()

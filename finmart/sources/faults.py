@@ -82,3 +82,10 @@ def unknown_margins(fact: DataFrame, dim_cust: DataFrame, dim_prt: DataFrame) ->
     gap = F.coalesce("_no_cost", F.lit(False)) | F.coalesce("_no_part", F.lit(False))
     return rows.withColumns({c: F.when(~gap, F.col(c)) for c in ("supply_cost", "gross_margin", "margin_rate")}) \
         .select(*fact.columns)
+
+
+def older_parts(part: DataFrame) -> DataFrame:
+    """An older state of the silver parts: all named otherwise, and as many again that
+    are gone since."""
+    gone = part.withColumn("part_id", -F.col("part_id") - 1)
+    return part.unionByName(gone).withColumn("part_name", F.concat(F.lit("before: "), F.coalesce("part_name", F.lit(""))))

@@ -19,7 +19,7 @@ import json
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -256,10 +256,16 @@ def source_freshness(tables: dict[str, DataFrame], now: str | None = None,
               .select(F.lit(name).alias("table_name"), "max_loaded_at")
             for name, df in tables.items()]
     out = reduce(DataFrame.unionByName, rows)
+    return freshness_states(out, now_col, warn_after, error_after)
+
+
+def freshness_states(latest: DataFrame, now: Column, warn_after: int = WARN_AFTER_HOURS,
+                     error_after: int = ERROR_AFTER_HOURS) -> DataFrame:
+    """Adds age_hours and status to rows with ``max_loaded_at`` (null: error)."""
     # Wall-clock difference of two timestamp_ntz values (no time zone, no DST).
-    micros = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now_col)
+    micros = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now)
     age = micros.cast("decimal(20,0)") / F.lit(3600 * 1_000_000).cast("decimal(12,0)")
-    out = out.withColumn("age_hours", age.cast("decimal(18,2)"))
+    out = latest.withColumn("age_hours", age.cast("decimal(18,2)"))
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
                .when(F.col("age_hours") > error_after, F.lit("error"))
                .when(F.col("age_hours") > warn_after, F.lit("warn")).otherwise(F.lit("pass")))

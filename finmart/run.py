@@ -24,9 +24,10 @@ from finmart.operators.scd2 import set_aside_counts
 from finmart.plans import quality
 from finmart.plans.catalogue import CATALOGUE
 from finmart.plans.pipeline import LAYERS, BuildOptions, build_models
-from finmart.session import ensure_checkpoint_dir, get_spark
+from finmart.session import ensure_checkpoint_dir, get_spark, size_shuffles
 from finmart.sources import sinks
 from finmart.sources.history import HISTORY_RUNS
+from finmart.sources.reader import read_source
 
 
 def build(spark: SparkSession, data_dir: str, warehouse: str,
@@ -37,6 +38,7 @@ def build(spark: SparkSession, data_dir: str, warehouse: str,
     without ``catalog`` the tables are folders only."""
     o = options or BuildOptions()
     ensure_checkpoint_dir(spark)
+    size_shuffles(spark, read_source(spark, data_dir, "lineitem").count())
     mat = sinks.table_materializer(
         spark, warehouse, catalog=catalog, bucketed=o.bucketed, clustered=o.clustered,
         watch=None if observed is None else quality.row_level_counts(), observed=observed)

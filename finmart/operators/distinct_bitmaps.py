@@ -5,6 +5,11 @@ distinct ids themselves can be united: per group and block of 32,768 ids a bitma
 with a bit per id.  Bitmaps of days, months or batches are stored; the distinct
 count of any union of them is the number of bits of their OR.  Building one is an
 aggregation with map-side combine; a group's blocks are rows of their own.
+
+A bitmap takes 4 KB however few ids it holds.  Where groups are many and hold few
+ids each (the orders of a customer's month), ``sparse`` makes a block 64 ids and its
+bits one integer: a group costs a small row per id at most.  Both forms are united
+and counted by the same functions.
 """
 
 from __future__ import annotations
@@ -13,13 +18,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK, BITS = "id_block", "id_bits"
+#: Ids of a block of the sparse form.
+WORD = 64
+
+
+def _is_sparse(bitmaps: DataFrame) -> bool:
+    return dict(bitmaps.dtypes)[BITS] == "bigint"
 
 
-def distinct_bitmaps(rows: DataFrame, keys: list[str], ids: Column | str) -> DataFrame:
+def distinct_bitmaps(rows: DataFrame, keys: list[str], ids: Column | str, sparse: bool = False) -> DataFrame:
     """keys, ``id_block``, ``id_bits``: the distinct integer ids of each group
     (NULL ids are none)."""
     ids = (F.col(ids) if isinstance(ids, str) else ids).cast("bigint")
     known = rows.select(*keys, ids.alias("_id")).filter("_id IS NOT NULL")
+    if sparse:
+        place = F.expr(f"shiftleft(1L, cast(pmod(_id, {WORD}) AS int))")
+        return known.groupBy(*keys, F.shiftright("_id", WORD.bit_length() - 1).alias(BLOCK)).agg(
+            F.bit_or(place).alias(BITS))
     return known.groupBy(*keys, F.bitmap_bucket_number("_id").alias(BLOCK)).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias(BITS))
 
@@ -32,13 +47,15 @@ def bit_is_set(bits: Column, position: Column) -> Column:
 
 def united(bitmaps: DataFrame, keys: list[str]) -> DataFrame:
     """Bitmaps of coarser groups (any ``keys`` of the given ones, or new columns)."""
-    return bitmaps.groupBy(*keys, BLOCK).agg(F.bitmap_or_agg(BITS).alias(BITS))
+    either = F.bit_or if _is_sparse(bitmaps) else F.bitmap_or_agg
+    return bitmaps.groupBy(*keys, BLOCK).agg(either(BITS).alias(BITS))
 
 
 def distinct_counts(bitmaps: DataFrame, keys: list[str], name: str = "n_distinct") -> DataFrame:
     """The number of distinct ids per group of ``keys``."""
     counts = united(bitmaps, keys).groupBy(*keys) if keys else united(bitmaps, keys)
-    return counts.agg(F.coalesce(F.sum(F.bitmap_count(BITS)), F.lit(0)).cast("bigint").alias(name))
+    n_bits = F.bit_count if _is_sparse(bitmaps) else F.bitmap_count
+    return counts.agg(F.coalesce(F.sum(n_bits(BITS)), F.lit(0)).cast("bigint").alias(name))
 
 
 def rolling_months(bitmaps: DataFrame, keys: list[str], months: int, month: str = "order_year_month_key",

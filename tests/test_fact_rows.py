@@ -83,3 +83,23 @@ def test_shuffles_begin_with_partitions_by_the_rows(spark):
     s.conf.set(initial, "7")  # the session's own choice stays
     session.size_shuffles(s, 216_000_000)
     assert s.conf.get(initial) == "7"
+
+
+def test_sparse_bitmaps_count_as_the_dense_ones(spark):
+    from finmart.operators.distinct_bitmaps import BITS, distinct_bitmaps, distinct_counts, rolling_months
+    ids = [None, 0, 1, -1, -64, -65, 63, 64, 2 ** 62, -2 ** 62, 32768]
+    rows = [(g, m, i) for n, i in enumerate(ids) for g in "ab" for m in (202011, 202101) if (n + m) % 3 or g == "a"] * 2
+    df = spark.createDataFrame(rows, "g string, order_year_month_key int, id bigint")
+    sparse, dense = (distinct_bitmaps(df, ["g", "order_year_month_key"], "id", s) for s in (True, False))
+    assert dict(sparse.dtypes)[BITS] == "bigint"  # 8 bytes where a bitmap has 4096
+    for keys in (["g", "order_year_month_key"], ["g"], []):
+        a, b = (distinct_counts(x, keys).select(*keys, "n_distinct").collect() for x in (sparse, dense))
+        assert sorted(map(str, a)) == sorted(map(str, b))
+    a, b = (sorted(map(str, rolling_months(x, ["g"], 3).collect())) for x in (sparse, dense))
+    assert a == b and len(a) == 6
+
+
+def test_orders_of_a_customers_month_are_no_whole_bitmap(spark):
+    import __spark_entry__ as E
+    plan = plan_of(E.queries()["distinct_orders_rolling"](spark, SF_SMALL))
+    assert "bit_or" in plan and "bitmap_construct_agg" not in plan

@@ -26,7 +26,7 @@ from finmart.plans import gold, silver
 from finmart.plans.bronze import bronze
 from finmart.session import get_spark
 from finmart.sources.reader import read_source
-from finmart.sources.sinks import table_path
+from finmart.sources.sinks import spread_fact, table_path
 from finmart.sources.storage import path_exists
 from finmart.streaming.incremental import LandedSales
 from finmart.streaming.report_state import DayReport
@@ -42,7 +42,7 @@ def warehouse_sales(spark: SparkSession, warehouse: str, policy: str = "append",
     t = {n: spark.read.parquet(table_path(warehouse, n)) for n in _UPSTREAM}
     root = f"{warehouse.rstrip('/')}/incremental"
     sales = LandedSales(spark, root, lambda lines, orders: gold.fct_sales_lineitem(
-        lines, orders, *[t[n] for n in _UPSTREAM]), buckets=buckets, policy=policy)
+        lines, orders, *[t[n] for n in _UPSTREAM], spread=spread_fact), buckets=buckets, policy=policy)
     return sales, DayReport(spark, f"{root}/report_state", sales, days, buckets=min(buckets, 64)), t["dim_customer"]
 
 

@@ -103,3 +103,32 @@ def test_orders_of_a_customers_month_are_no_whole_bitmap(spark):
     import __spark_entry__ as E
     plan = plan_of(E.queries()["distinct_orders_rolling"](spark, SF_SMALL))
     assert "bit_or" in plan and "bitmap_construct_agg" not in plan
+
+
+def test_a_merge_keeps_no_uncompressed_copy_of_the_fact(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    from finmart.sources.storage import child_names
+    from finmart.streaming import jobs
+    taken, real = [], DataFrame.checkpoint
+
+    def checkpoint(df, *args, **kwargs):
+        taken.append(df.columns)
+        return real(df, *args, **kwargs)
+
+    m = Models(spark, SF_SMALL, BuildOptions(standin_costs=True), frozenset({"dim_customer", "partsupp"}))
+    want = m[FACT]
+    monkeypatch.setattr(DataFrame, "checkpoint", checkpoint)
+    sales = jobs.landed_sales(spark, m)
+    early = F.col("order_id") % 2 == 0
+    sales.land(1, m["lineitem"], m["orders"].filter(early))
+    sales.merge(1)
+    sales.land(2, orders=m["orders"].filter(~early))
+    fact = sales.merge(2)
+    assert taken == [["order_id"]] * 2  # the orders touched, and nothing else
+    assert fact.exceptAll(want).count() == 0 and want.exceptAll(fact).count() == 0
+    for token in sales.merged():  # what was set aside for the write is gone
+        assert "kept" not in child_names(spark, f"{sales.root}/changes/{token}")
+    new = sales.change(sales.merged()[0])[1]
+    assert new.columns == want.columns and new.count() == want.join(m["orders"].filter(early), "order_id").count()
+    months = child_names(spark, f"{sales.root}/changes/{sales.merged()[0]}/new")
+    assert any(n.startswith("order_year_month_key=") for n in months)

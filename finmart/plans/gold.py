@@ -196,16 +196,9 @@ def part_supplier_roles(lineitem: DataFrame, partsupp: DataFrame, dim_sup: DataF
                     F.col("_dp_part").isNotNull().alias("_has_part"))
 
 
-def fact_rows(lineitem: DataFrame, orders: DataFrame, dim_cust: DataFrame,
-              partsupp: DataFrame, dim_sup: DataFrame, dim_prt: DataFrame,
-              dim_geo: DataFrame, as_of_join=asof_left_join) -> DataFrame:
-    """What has to be looked up for the line fact: lines ⟕ cost and roles of the
-    line's part and supplier ⋈ resolved orders.  These rows hold natural ids (NULL:
-    the dimension lacks it) and measures; all that follows from them, such as the
-    surrogate keys and the derived amounts, is left to ``fact_columns``, so no shuffle carries it.  The lines
-    meet their pair first and their order last, so that the order's columns are
-    shuffled at order grain only.
-    """
+def priced_lines(lineitem: DataFrame, partsupp: DataFrame, dim_sup: DataFrame,
+                 dim_prt: DataFrame, dim_geo: DataFrame) -> DataFrame:
+    """The lines with cost and roles of their part and supplier (NULL id: the dimension lacks it)."""
     li = lineitem.select("order_id", "line_number", "part_id", "supplier_id", "quantity",
                          "extended_price", "discount_rate", "tax_rate", "return_flag", "line_status",
                          "ship_date", "commit_date", "receipt_date", "ship_mode", "ship_instruction")
@@ -214,8 +207,18 @@ def fact_rows(lineitem: DataFrame, orders: DataFrame, dim_cust: DataFrame,
                 & li["supplier_id"].eqNullSafe(pairs["_supplier"]), "left")
     x = x.withColumns({"part_id": F.when(F.col("_has_part"), F.col("part_id")),
                        "supplier_id": F.when(F.col("_has_supplier"), F.col("supplier_id"))})
-    x = x.drop("_part", "_supplier", "_has_part", "_has_supplier")
-    x = x.join(resolved_orders(orders, dim_cust, dim_geo, as_of_join), "order_id", "inner")
+    return x.drop("_part", "_supplier", "_has_part", "_has_supplier")
+
+
+def fact_rows(priced: DataFrame, orders: DataFrame, dim_cust: DataFrame,
+              dim_geo: DataFrame, as_of_join=asof_left_join) -> DataFrame:
+    """What has to be looked up for the line fact: ``priced_lines`` ⋈ resolved orders.
+    These rows hold natural ids (NULL: the dimension lacks it) and measures; all that
+    follows from them, such as the surrogate keys and the derived amounts, is left to
+    ``fact_columns``, so no shuffle carries it.  The lines meet their pair first and
+    their order last, so that the order's columns are shuffled at order grain only.
+    """
+    x = priced.join(resolved_orders(orders, dim_cust, dim_geo, as_of_join), "order_id", "inner")
     return x.drop("customer_id").withColumn("order_year_month_key", year_month_key("order_date"))
 
 
@@ -256,5 +259,6 @@ def fct_sales_lineitem(lineitem: DataFrame, orders: DataFrame, dim_cust: DataFra
                        dim_geo: DataFrame, as_of_join=asof_left_join, spread=None) -> DataFrame:
     """Line fact: lines ⋈ resolved orders, ⟕ cost and keys of the line's part and supplier.
     ``spread`` (``sinks.spread_fact``) deals the rows to tasks before the keys are made."""
-    rows = fact_rows(lineitem, orders, dim_cust, partsupp, dim_sup, dim_prt, dim_geo, as_of_join)
+    priced = priced_lines(lineitem, partsupp, dim_sup, dim_prt, dim_geo)
+    rows = fact_rows(priced, orders, dim_cust, dim_geo, as_of_join)
     return fact_columns(spread(rows) if spread else rows)

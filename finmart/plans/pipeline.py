@@ -30,7 +30,7 @@ from finmart.sources.history import HISTORY_RUNS, customer_extracts
 from finmart.sources.reader import Sources
 from finmart.session import scratch_path
 from finmart.sources.schemas import SOURCE_TABLES
-from finmart.sources.sinks import FACT_ROWS, SET_ASIDE, write_fact_rows, write_table
+from finmart.sources.sinks import FACT_ROWS, PRICED_LINES, SET_ASIDE, write_fact_rows, write_table
 
 # Snapshot key and the columns whose change opens a version.
 SNAPSHOT_KEY = "c_custkey"
@@ -126,11 +126,11 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
         ("dim_supplier", ["supplier", "nation", "region"],
          lambda m: gold.dim_supplier(m["supplier"], m["nation"], m["region"])),
         ("dim_part", ["part"], lambda m: gold.dim_part(m["part"])),
-        (FACT_ROWS,
-         ["lineitem", "orders", "dim_customer", "partsupp", "dim_supplier", "dim_part",
-          "dim_geography"],
-         lambda m: gold.fact_rows(m["lineitem"], m["orders"], m["dim_customer"],
-                                  m["partsupp"], m["dim_supplier"], m["dim_part"],
+        (PRICED_LINES, ["lineitem", "partsupp", "dim_supplier", "dim_part", "dim_geography"],
+         lambda m: gold.priced_lines(m["lineitem"], m["partsupp"], m["dim_supplier"],
+                                     m["dim_part"], m["dim_geography"])),
+        (FACT_ROWS, [PRICED_LINES, "orders", "dim_customer", "dim_geography"],
+         lambda m: gold.fact_rows(m[PRICED_LINES], m["orders"], m["dim_customer"],
                                   m["dim_geography"],
                                   asof_carry_join if o.carry_versions else asof_left_join)),
         ("fct_sales_lineitem", [FACT_ROWS], lambda m: gold.fact_columns(m[FACT_ROWS])),
@@ -151,7 +151,7 @@ LAYERS = {
     "snapshot": [SET_ASIDE, "snap_customer_scd2"],
     "silver": ["customer", "orders", "lineitem", "part", "supplier", "partsupp", "nation", "region"],
     "gold": ["dim_date", "dim_geography", "dim_customer", "dim_supplier", "dim_part",
-             FACT_ROWS, "fct_sales_lineitem", "rpt_customer_profitability_90d",
+             PRICED_LINES, FACT_ROWS, "fct_sales_lineitem", "rpt_customer_profitability_90d",
              "rpt_segment_margin_concentration"],
 }
 

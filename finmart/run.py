@@ -24,7 +24,7 @@ from finmart.operators.scd2 import set_aside_counts
 from finmart.plans import quality
 from finmart.plans.catalogue import CATALOGUE
 from finmart.plans.pipeline import LAYERS, BuildOptions, build_models
-from finmart.session import ensure_checkpoint_dir, get_spark, size_shuffles
+from finmart.session import ensure_checkpoint_dir, freed_shuffles, get_spark, size_shuffles
 from finmart.sources import sinks
 from finmart.sources.history import HISTORY_RUNS
 from finmart.sources.reader import read_source
@@ -55,7 +55,11 @@ def build(spark: SparkSession, data_dir: str, warehouse: str,
             return sinks.store_set_aside(df, warehouse, as_of, fresh)
         return mat(name, df)
 
-    return build_models(spark, data_dir, o, materialize, layer, previous_snapshot=prev)
+    with freed_shuffles(spark):
+        models = build_models(spark, data_dir, o, materialize, layer, previous_snapshot=prev)
+    # the steps to the fact are gone once it is written; views may run more than once
+    steps = {sinks.PRICED_LINES, sinks.FACT_ROWS} if layer in (None, "gold") else set()
+    return {name: df.select("*") for name, df in models.items() if name not in steps}
 
 
 def run_checks(spark: SparkSession, models: dict, warehouse: str | None = None,

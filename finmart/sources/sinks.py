@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from finmart.session import scratch_path
-from finmart.sources.storage import child_names, publish_text, read_text
+from finmart.sources.storage import child_names, delete_folder, publish_text, read_text
 
 # Schema of each model.
 MODEL_SCHEMA = {
@@ -67,8 +67,17 @@ def _save(w, path: str, table: str | None) -> None:
         w.parquet(path)
 
 
-#: The model of the rows that the fact's columns follow from (``gold.fact_rows``).
+#: Steps on the way to the fact, no tables: the lines with cost and roles (``gold.priced_lines``),
+#: and the rows that the fact's columns follow from (``gold.fact_rows``).
+PRICED_LINES = "fct_priced_lines"
 FACT_ROWS = "fct_rows"
+MONTH = "order_year_month_key"
+#: A build takes the fact's rows in parts of about so many: no more of them lie in shuffle
+#: files at once.  Lines meet their orders in at most so many parts, as each reads all lines.
+ROWS_OF_A_PART = 2_000_000
+JOIN_PARTS = 4
+#: Bytes of a dictionary page of the fact: a key in hex that repeats is worth more than Spark's 1 MB.
+FACT_DICTIONARY = str(8 << 20)
 
 
 def spread_fact(rows: DataFrame, clustered: bool = False) -> DataFrame:
@@ -88,7 +97,7 @@ def spread_fact(rows: DataFrame, clustered: bool = False) -> DataFrame:
 
 
 def write_fact(df: DataFrame, path: str, table: str | None = None, clustered: bool = False,
-               spread: bool = True) -> None:
+               spread: bool = True, mode: str = "overwrite") -> None:
     """Persist the fact partitioned by order month and sorted by customer.
 
     Rows are dealt to tasks by ``spread_fact``, unless that was done already, and
@@ -97,17 +106,37 @@ def write_fact(df: DataFrame, path: str, table: str | None = None, clustered: bo
     """
     w = ((spread_fact(df, clustered) if spread else df)
            .sortWithinPartitions("order_year_month_key", "customer_key", "order_id")
-           .write.mode("overwrite").partitionBy("order_year_month_key"))
+           .write.mode(mode).option("parquet.dictionary.page.size", FACT_DICTIONARY)
+           .partitionBy("order_year_month_key"))
     _save(w, path, table)
 
 
-def write_fact_rows(rows: DataFrame, path: str) -> None:
+def write_fact_rows(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A scratch copy of the rows behind the fact, by month as they come out of the
     last join: a month is a file per task, and nothing is shuffled for it."""
-    _save(rows.sortWithinPartitions("order_year_month_key").write.mode("overwrite").partitionBy(
+    _save(rows.sortWithinPartitions("order_year_month_key").write.mode(mode).partitionBy(
         "order_year_month_key"), path, None)
 
 
+def order_parts(rows: DataFrame, n_rows: int) -> list[DataFrame]:
+    """``rows`` in parts by order, each order in one."""
+    n = min(JOIN_PARTS, max(1, -(-n_rows // ROWS_OF_A_PART)))
+    part = F.pmod(F.xxhash64("order_id"), F.lit(n))
+    return [rows.filter(part == i) for i in range(n)] if n > 1 else [rows]
+
+
+def month_parts(rows: DataFrame) -> list[list[int]]:
+    """The months of ``rows``, those that follow each other together up to a part's rows."""
+    parts, n = [], 0
+    for month, count in rows.groupBy(MONTH).count().orderBy(MONTH).collect():  # one row a month
+        if not parts or n + count > ROWS_OF_A_PART:
+            parts.append([])
+            n = 0
+        parts[-1].append(month)
+        n += count
+    return parts
+
+
 def write_table(df: DataFrame, path: str, table: str | None = None,
                 bucket_by: str | None = None, buckets: int | None = None) -> None:
     w = df.write.mode("overwrite")
@@ -137,29 +166,61 @@ def table_materializer(spark: SparkSession, warehouse: str, views: set[str] = VI
     ``BUCKETED`` (opt-in: it removes the largest shuffle but gives up AQE's
     skew splitting on that join).  ``clustered``: see ``write_fact``.  ``watch`` gives
     counts over a model's rows that are taken while the model is written; they are
-    put into ``observed`` by their names."""
+    put into ``observed`` by their names.
+
+    The fact comes by way of scratch copies of its steps, which hold a fraction of what
+    their shuffles do: lines with their prices, then rows by month, of which parts are
+    spread and written one after the other.  What is done with is deleted, so the copies
+    and the shuffle files of a step are gone when the next ones come."""
     made: set[str] = set()
+    scratch = scratch_path(spark, f"build-{uuid.uuid4().hex}")
+    of_rows: list[DataFrame] = []
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}").select(*df.columns)
+
+    def write_months(name: str, df: DataFrame, path: str, table: str | None) -> None:
+        parts = month_parts(of_rows[0])
+        for k, months in enumerate(parts or [[]]):
+            taken: dict = {}
+            rows = df.filter(F.col(MONTH).isin(months)) if len(parts) > 1 else df
+            with observation(name, rows, watch, taken) as rows:
+                write_fact(rows, path, table, spread=False, mode="append" if k else "overwrite")
+            for check, n in taken.items():
+                observed[check] = observed.get(check, 0) + n
+            for month in months:
+                delete_folder(spark, f"{scratch}/{FACT_ROWS}/{MONTH}={month}")
+        delete_folder(spark, scratch)
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
         if name.startswith("src_"):
             return df
+        if name == PRICED_LINES:
+            write_table(df, f"{scratch}/{name}")
+            return stored(name, df)
         if name in views:
             df.createOrReplaceTempView(name)
             return df
         if name == "snap_customer_scd2":
             return df  # versioned by write_snapshot_version
         if name == FACT_ROWS:
-            return spread_fact(df, clustered)  # before the keys are made, which no shuffle need carry
+            lines = f"{scratch}/{PRICED_LINES}"
+            n_lines = spark.read.parquet(lines).count() if child_names(spark, lines) else 0
+            for k, part in enumerate(order_parts(df, n_lines)):
+                write_fact_rows(part, f"{scratch}/{name}", "append" if k else "overwrite")
+            delete_folder(spark, lines)
+            of_rows.append(stored(name, df))
+            return spread_fact(of_rows[0], clustered)  # before the keys are made, which no shuffle need carry
         path = table_path(warehouse, name)
         schema = schema_name(MODEL_SCHEMA.get(name))
         table = f"`{schema}`.`{name}`" if catalog else None
         if catalog and schema not in made:
             ensure_schema(spark, warehouse, schema)
             made.add(schema)
-        with observation(name, df, watch, observed) as rows:
-            if name == "fct_sales_lineitem":
-                write_fact(rows, path, table, spread=False)
-            else:
+        if name == "fct_sales_lineitem":
+            write_months(name, df, path, table)
+        else:
+            with observation(name, df, watch, observed) as rows:
                 write_table(rows, path, table, BUCKETED.get(name) if bucketed else None, buckets)
         out = (spark.table(table) if catalog else spark.read.parquet(path)).select(*df.columns)
         out.createOrReplaceTempView(name)
@@ -194,7 +255,7 @@ def scratch_materializer(watch: Watch | None = None,
     run = uuid.uuid4().hex
 
     def materialize(name: str, df: DataFrame) -> DataFrame:
-        if name.startswith("src_") or name == "fct_sales_lineitem":
+        if name.startswith("src_") or name in (PRICED_LINES, "fct_sales_lineitem"):
             return df
         path = scratch_path(df.sparkSession, f"models-{run}/{name}")
         with observation(name, df, watch, observed) as rows:
@@ -208,7 +269,7 @@ def checkpoint_materializer(name: str, df: DataFrame) -> DataFrame:
     reliable checkpoint folder (raw source scans are left as they are).
     Used when a lazy build feeds many queries, e.g. a full check run: each
     model is computed once and later plans start from its files."""
-    if name.startswith("src_"):
+    if name.startswith("src_") or name == PRICED_LINES:
         return df
     return df.checkpoint(eager=True)
 

@@ -25,32 +25,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from finmart.llm import mixing, packing, quality_rules, simhash_dedup, toxicity_cnn
-from finmart.llm.common import table, workers_find_package
+from finmart.llm.common import small_batches, table, workers_find_package
 from finmart.session import ensure_checkpoint_dir
 from finmart.sources.storage import delete_folder
 
 
+def _prepare(spark: SparkSession) -> None:
+    workers_find_package(spark)
+    small_batches(spark)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    workers_find_package(spark)
+    _prepare(spark)
     return quality_rules.keep_good(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go."""
-    workers_find_package(spark)
+    _prepare(spark)
     return toxicity_cnn.keep_clean(docs, toxicity_cnn.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    workers_find_package(spark)
+    _prepare(spark)
     return simhash_dedup.keep_one_of_each(docs)
 
 
 def mix_of_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that the mix takes, in training order."""
-    workers_find_package(spark)
+    _prepare(spark)
     return mixing.training_order(docs)
 
 
@@ -58,7 +63,7 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The pieces of all documents, placed in sequences that are numbered in training
     order: the order of the files that hold ``docs`` (documents from elsewhere have
     none)."""
-    workers_find_package(spark)
+    _prepare(spark)
     placed, position = packing.in_file_order(docs)
     return packing.packed(placed, public_tokenizers.path("byte_bpe_50k.json"), position=position)
 

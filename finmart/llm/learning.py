@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +49,9 @@ def training_documents(docs: DataFrame, labels: DataFrame, label: str, rows_per_
     """doc_id, text (the least of a repeated id) and y of the sampled documents.  The
     broadcast holds at most twice ``rows_per_class`` ids."""
     ids = training_ids(docs, labels, label, rows_per_class, chars_per_class)
-    sample = docs.sparkSession.createDataFrame(ids, "doc_id bigint, y int")
+    # as an Arrow table: rows of Python would be unpacked by workers of another kind, which stay for a while
+    columns = {"doc_id": pa.array([i for i, _ in ids], pa.int64()), "y": pa.array([y for _, y in ids], pa.int32())}
+    sample = docs.sparkSession.createDataFrame(pa.table(columns), "doc_id bigint, y int")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return (texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id")
             .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("y").alias("y")))

@@ -39,7 +39,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finmart.llm.common import byte_symbols, checkpointed, text_slices
+from finmart.llm.common import byte_symbols, checkpointed, text_slices, worker_turns_to
 from finmart.operators.ranking import with_global_position
 
 CAPACITY = 1024
@@ -150,6 +150,7 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
     the position (null without one)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turns_to("packing")
         if tokenizer not in _ENCODERS:
             _ENCODERS[tokenizer] = UnitEncoder(tokenizer)
         encoder = _ENCODERS[tokenizer]

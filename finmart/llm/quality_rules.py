@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.common import only_columns
+from finmart.llm.common import only_columns, worker_turns_to
 from finmart.llm.learning import held_out, training_documents
 
 ROWS_PER_CLASS = 6000
@@ -87,6 +87,7 @@ def with_statistics(docs: DataFrame, *keep: str) -> DataFrame:
     fields = [pa.field(n, pa.float64()) for n in STATISTICS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turns_to("quality")
         for batch in batches:
             rows = np.array([statistics(t.as_py() or b"") for t in batch.column("_quality_text")],
                             np.float64).reshape(-1, len(STATISTICS))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finmart.llm.blocks import compare_groups, linked_stars, paired_chunks
-from finmart.llm.common import checkpointed, only_columns
+from finmart.llm.common import checkpointed, only_columns, worker_turns_to
 from finmart.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -74,6 +74,7 @@ def fingerprints(docs: DataFrame, *keep: str) -> DataFrame:
     """``keep`` and ``fp`` (the fingerprint's bits as a signed long) per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turns_to("fingerprints")
         for batch in batches:
             texts = batch.column("text")
             fps = np.fromiter((fingerprint(t.as_py() or b"") for t in texts), np.uint64, len(texts))

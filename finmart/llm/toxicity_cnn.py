@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finmart.llm.common import only_columns, text_slices
+from finmart.llm.common import only_columns, text_slices, worker_turns_to
 from finmart.llm.learning import held_out, training_documents
 
 ROWS_PER_CLASS = 2000
@@ -88,6 +88,10 @@ class _Known(dict):
 _KNOWN = _Known()
 
 
+def _forget() -> None:
+    _KNOWN.clear()
+
+
 def words_of(text: str) -> list[str]:
     return text.lower().split() or [""]
 
@@ -245,6 +249,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turns_to("toxicity", _forget)
         for batch in batches:
             for first, texts in text_slices(batch.column("text"), SCORED_CHARS):
                 scores = model.scores(texts) if model else np.zeros(len(texts))
@@ -262,6 +267,7 @@ def keep_clean(docs: DataFrame, model: Model | None) -> DataFrame:
     """The documents that aren't predicted toxic, with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_turns_to("toxicity", _forget)
         for batch in batches:
             scores = [s for _, texts in text_slices(batch.column("text"), SCORED_CHARS)
                       for s in (model.scores(texts) if model else np.zeros(len(texts)))]

@@ -210,6 +210,19 @@ def priced_lines(lineitem: DataFrame, partsupp: DataFrame, dim_sup: DataFrame,
     return x.drop("_part", "_supplier", "_has_part", "_has_supplier")
 
 
+def priced_shares(lineitem: DataFrame, partsupp: DataFrame, dim_sup: DataFrame,
+                  dim_prt: DataFrame, dim_geo: DataFrame, n: int) -> list[DataFrame]:
+    """``priced_lines`` in ``n`` shares by part, each line in one.  A share shuffles its own
+    lines, pairs, costs and parts only."""
+    part = F.pmod(F.xxhash64(F.col("part_id").cast("bigint")), F.lit(n))
+
+    def share(df: DataFrame, i: int) -> DataFrame:
+        return df.filter(part == i) if n > 1 else df
+
+    return [priced_lines(share(lineitem, i), share(partsupp, i), dim_sup, share(dim_prt, i), dim_geo)
+            for i in range(n)]
+
+
 def fact_rows(priced: DataFrame, orders: DataFrame, dim_cust: DataFrame,
               dim_geo: DataFrame, as_of_join=asof_left_join) -> DataFrame:
     """What has to be looked up for the line fact: ``priced_lines`` ⋈ resolved orders.

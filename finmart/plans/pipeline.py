@@ -71,9 +71,11 @@ Step = tuple[str, list[str], Callable[[dict], DataFrame]]
 
 
 def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
-          previous_snapshot: DataFrame | None = None) -> list[Step]:
+          previous_snapshot: DataFrame | None = None, price_shares: int = 1) -> list[Step]:
     """The build steps.  ``previous_snapshot`` (a stored snapshot version)
-    makes the snapshot step an incremental merge of the current extract."""
+    makes the snapshot step an incremental merge of the current extract.
+    ``price_shares`` above 1 gives the lines with their prices as a list of so many
+    frames, which ``materialize`` has to put together."""
     src = Sources(spark, sf_dir, o.standin_costs)
     out: list[Step] = []
     for t in SOURCE_TABLES:
@@ -107,6 +109,11 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
                      m["lineitem"].select("ship_date", "commit_date", "receipt_date")]
         return gold.dim_date(gold.calendar_bounds(spark, o.calendar_start, o.calendar_end, cover))
 
+    def priced(m):
+        shares = gold.priced_shares(m["lineitem"], m["partsupp"], m["dim_supplier"], m["dim_part"],
+                                    m["dim_geography"], price_shares)
+        return shares if price_shares > 1 else shares[0]
+
     out += [
         ("snap_customer_scd2", ["tpch_customer"], snapshot),
         (SET_ASIDE, ["tpch_customer"], left_out),
@@ -126,9 +133,7 @@ def steps(spark: SparkSession, sf_dir: str, o: BuildOptions,
         ("dim_supplier", ["supplier", "nation", "region"],
          lambda m: gold.dim_supplier(m["supplier"], m["nation"], m["region"])),
         ("dim_part", ["part"], lambda m: gold.dim_part(m["part"])),
-        (PRICED_LINES, ["lineitem", "partsupp", "dim_supplier", "dim_part", "dim_geography"],
-         lambda m: gold.priced_lines(m["lineitem"], m["partsupp"], m["dim_supplier"],
-                                     m["dim_part"], m["dim_geography"])),
+        (PRICED_LINES, ["lineitem", "partsupp", "dim_supplier", "dim_part", "dim_geography"], priced),
         (FACT_ROWS, [PRICED_LINES, "orders", "dim_customer", "dim_geography"],
          lambda m: gold.fact_rows(m[PRICED_LINES], m["orders"], m["dim_customer"],
                                   m["dim_geography"],
@@ -163,7 +168,8 @@ def _identity(name: str, df: DataFrame) -> DataFrame:
 def build_models(spark: SparkSession, sf_dir: str, options: BuildOptions | None = None,
                  materialize: Callable[[str, DataFrame], DataFrame] = _identity,
                  layer: str | None = None,
-                 previous_snapshot: DataFrame | None = None, threads: int = 4) -> dict[str, DataFrame]:
+                 previous_snapshot: DataFrame | None = None, threads: int = 4,
+                 price_shares: int = 1) -> dict[str, DataFrame]:
     """Build every model in dependency order (``layer`` restricts which
     models are handed to ``materialize``; upstream ones stay lazy).  Steps that
     don't need each other run at the same time, at most ``threads`` of them."""
@@ -177,7 +183,7 @@ def build_models(spark: SparkSession, sf_dir: str, options: BuildOptions | None
         return materialize(name, df) if selected is None or name in selected else df
 
     with ThreadPoolExecutor(threads) as pool:
-        for name, deps, fn in steps(spark, sf_dir, o, previous_snapshot):
+        for name, deps, fn in steps(spark, sf_dir, o, previous_snapshot, price_shares):
             futures[name] = pool.submit(inheritable_thread_target(spark)(run), name, deps, fn)
         return {name: f.result() for name, f in futures.items()}
 

@@ -38,7 +38,8 @@ def build(spark: SparkSession, data_dir: str, warehouse: str,
     without ``catalog`` the tables are folders only."""
     o = options or BuildOptions()
     ensure_checkpoint_dir(spark)
-    size_shuffles(spark, read_source(spark, data_dir, "lineitem").count())
+    n_lines = read_source(spark, data_dir, "lineitem").count()
+    size_shuffles(spark, n_lines)
     mat = sinks.table_materializer(
         spark, warehouse, catalog=catalog, bucketed=o.bucketed, clustered=o.clustered,
         watch=None if observed is None else quality.row_level_counts(), observed=observed)
@@ -55,10 +56,12 @@ def build(spark: SparkSession, data_dir: str, warehouse: str,
             return sinks.store_set_aside(df, warehouse, as_of, fresh)
         return mat(name, df)
 
+    gold = layer in (None, "gold")
     with freed_shuffles(spark):
-        models = build_models(spark, data_dir, o, materialize, layer, previous_snapshot=prev)
+        models = build_models(spark, data_dir, o, materialize, layer, previous_snapshot=prev,
+                              price_shares=sinks.join_parts(n_lines) if gold else 1)
     # the steps to the fact are gone once it is written; views may run more than once
-    steps = {sinks.PRICED_LINES, sinks.FACT_ROWS} if layer in (None, "gold") else set()
+    steps = {sinks.PRICED_LINES, sinks.FACT_ROWS} if gold else set()
     return {name: df.select("*") for name, df in models.items() if name not in steps}
 
 

@@ -73,7 +73,8 @@ PRICED_LINES = "fct_priced_lines"
 FACT_ROWS = "fct_rows"
 MONTH = "order_year_month_key"
 #: A build takes the fact's rows in parts of about so many: no more of them lie in shuffle
-#: files at once.  Lines meet their orders in at most so many parts, as each reads all lines.
+#: files at once.  Lines meet their prices (by part) and their orders in at most so many parts,
+#: as each reads all lines.
 ROWS_OF_A_PART = 2_000_000
 JOIN_PARTS = 4
 #: Bytes of a dictionary page of the fact: a key in hex that repeats is worth more than Spark's 1 MB.
@@ -118,9 +119,14 @@ def write_fact_rows(rows: DataFrame, path: str, mode: str = "overwrite") -> None
         "order_year_month_key"), path, None)
 
 
+def join_parts(n_rows: int) -> int:
+    """In how many parts so many lines meet their prices, and their orders."""
+    return min(JOIN_PARTS, max(1, -(-n_rows // ROWS_OF_A_PART)))
+
+
 def order_parts(rows: DataFrame, n_rows: int) -> list[DataFrame]:
     """``rows`` in parts by order, each order in one."""
-    n = min(JOIN_PARTS, max(1, -(-n_rows // ROWS_OF_A_PART)))
+    n = join_parts(n_rows)
     part = F.pmod(F.xxhash64("order_id"), F.lit(n))
     return [rows.filter(part == i) for i in range(n)] if n > 1 else [rows]
 
@@ -138,8 +144,8 @@ def month_parts(rows: DataFrame) -> list[list[int]]:
 
 
 def write_table(df: DataFrame, path: str, table: str | None = None,
-                bucket_by: str | None = None, buckets: int | None = None) -> None:
-    w = df.write.mode("overwrite")
+                bucket_by: str | None = None, buckets: int | None = None, mode: str = "overwrite") -> None:
+    w = df.write.mode(mode)
     if bucket_by and table:
         n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         w = w.bucketBy(n, bucket_by).sortBy(bucket_by)
@@ -196,8 +202,10 @@ def table_materializer(spark: SparkSession, warehouse: str, views: set[str] = VI
         if name.startswith("src_"):
             return df
         if name == PRICED_LINES:
-            write_table(df, f"{scratch}/{name}")
-            return stored(name, df)
+            shares = df if isinstance(df, list) else [df]
+            for k, share in enumerate(shares):
+                write_table(share, f"{scratch}/{name}", mode="append" if k else "overwrite")
+            return stored(name, shares[0])
         if name in views:
             df.createOrReplaceTempView(name)
             return df

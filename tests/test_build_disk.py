@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from finmart import run, session
-from finmart.plans import quality
+from finmart.plans import gold, quality
 from finmart.plans.pipeline import BuildOptions, Models
 from finmart.sources import sinks
 from paths import SF_SMALL
@@ -101,3 +101,31 @@ def test_each_order_is_in_one_part(spark):
     orders = [{r.order_id for r in p.collect()} for p in parts]
     assert sum(map(len, orders)) == len(set.union(*orders))
     assert len(sinks.order_parts(rows, 5000)) == 1
+
+
+def test_lines_meet_their_prices_in_shares(spark):
+    m = Models(spark, SF_SMALL, OPTIONS)
+    lines = m["lineitem"].withColumns({c: F.when(F.col("line_number") != n, F.col(c)) for c, n in (
+        ("part_id", 2), ("supplier_id", 3))})
+    rest = [m[t] for t in ("partsupp", "dim_supplier", "dim_part", "dim_geography")]
+    rest[2] = rest[2].filter("part_id % 5 <> 0")  # parts that the dimension lacks
+    want = gold.priced_lines(lines, *rest).collect()
+    shares = [s.collect() for s in gold.priced_shares(lines, *rest, 3)]
+    assert len(shares) == 3 and all(0 < len(s) < len(want) / 2 for s in shares)
+    parts = [{r.part_id for r in s} - {None} for s in shares]
+    assert sum(map(len, parts)) == len(set.union(*parts))
+    assert sorted(map(repr, sum(shares, []))) == sorted(map(repr, want))
+
+
+def test_a_build_prices_a_share_at_a_time(spark, tmp_path, monkeypatch):
+    written, write = [], sinks.write_table
+
+    def logged(df, path, *args, **kwargs):
+        if path.endswith(sinks.PRICED_LINES):
+            written.append(df.count())
+        write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(sinks, "ROWS_OF_A_PART", 900)
+    monkeypatch.setattr(sinks, "write_table", logged)
+    models = run.build(spark.newSession(), SF_SMALL, str(tmp_path), OPTIONS, catalog=False)
+    assert len(written) == sinks.JOIN_PARTS and sum(written) == models["lineitem"].count()

@@ -16,6 +16,7 @@ thresholds.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from finmart.functions.keys import year_month_key
-from finmart.session import ensure_checkpoint_dir
+from finmart.session import ensure_checkpoint_dir, freed_shuffles
+from finmart.sources.sinks import CODEC, FACT_DICTIONARY, join_parts, month_parts
 from finmart.sources.storage import child_names, delete_folder, path_exists, publish_text, read_text
 from finmart.streaming.landing import BATCH, REPLACES, LandingLog
 from finmart.streaming.schema_change import conform, reconcile
@@ -41,33 +43,38 @@ class LandedSales:
     unless a batch is landed with ``replace=True``, which stands for all lines of
     its orders delivered before.
 
-    A merge first writes what changes (``changes/<token>``: the orders touched, their
-    rows in the fact before, their rows now) and then rewrites the months concerned
+    A merge first writes what changes (``changes/<token>``: the rows of the orders touched
+    in the fact before, their rows now) and then rewrites the months concerned
     from it.  So a merge that died at any point is simply run again, and whoever
     follows the fact by its changes (``DayReport``) sees each change once.
     """
 
     def __init__(self, spark: SparkSession, root: str,
                  fact_for: Callable[[DataFrame, DataFrame], DataFrame],
-                 fact_path: str | None = None, buckets: int = 256, policy: str = "append"):
+                 fact_path: str | None = None, buckets: int = 256, policy: str = "append", land_parts: int = 1):
         """``fact_for(lines, orders)`` gives the fact rows of silver lines, dealt to
         tasks by month (else the change sets have a file per task and month);
-        ``policy`` is what a change of schema means, in what lands and in the fact."""
+        ``policy`` is what a change of schema means, in what lands and in the fact;
+        ``land_parts``: see ``LandingLog.land``."""
         ensure_checkpoint_dir(spark)
         self.spark, self.root, self.fact_for = spark, root.rstrip("/"), fact_for
         self.fact_path = fact_path or f"{self.root}/fact"
-        self.policy = policy
+        self.policy, self.land_parts = policy, land_parts
         needed = {"lines": ("line_number",), "orders": ("customer_id", "order_date")}
         self.logs = {name: LandingLog(spark, f"{self.root}/{name}", "order_id", buckets, policy, columns)
                      for name, columns in needed.items()}
 
     # ---- landing
 
-    def land(self, batch_id: int, lines: DataFrame | None = None,
-             orders: DataFrame | None = None, replace: bool = False) -> dict[str, list]:
+    def land(self, batch_id: int, lines: DataFrame | None = None, orders: DataFrame | None = None,
+             replace: bool = False) -> dict[str, list]:
         """What differed in the schema of the batch, by table."""
-        return {name: self.logs[name].land(batch_id, df, replace)
-                for name, df in (("lines", lines), ("orders", orders)) if df is not None}
+        out = {}
+        for name, df in (("lines", lines), ("orders", orders)):
+            if df is not None:
+                with freed_shuffles(df.sparkSession):  # a stream's batches have a session of their own
+                    out[name] = self.logs[name].land(batch_id, df, replace, self.land_parts)
+        return out
 
     def _folders(self, batch_id: int) -> list[str]:
         """The landed folders of a batch; landed again, it has new ones."""
@@ -104,35 +111,52 @@ class LandedSales:
             return None
         return reduce(DataFrame.union, [p.select("order_id") for p in parts]).distinct().checkpoint()
 
-    def _of(self, name: str, touched: DataFrame) -> DataFrame | None:
-        """All landed rows of the touched orders; only their buckets are opened."""
+    def _of(self, name: str, touched: DataFrame,
+            part: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame | None:
+        """All landed rows of the touched orders; only their buckets are opened, and of those
+        a part (by order) is taken before the rows are shuffled."""
         log = self.logs[name]
         rows = log.read(buckets=log.buckets_of(touched))
-        return None if rows is None else rows.join(touched, "order_id", "left_semi")
+        return None if rows is None else part(rows).join(touched, "order_id", "left_semi")
+
+    def _parts(self, touched: DataFrame) -> list[Callable[[DataFrame], DataFrame]]:
+        """Filters that split the touched orders into parts, each with up to so many lines as
+        ``sinks.join_parts`` says: no more of them lie in shuffle files at once."""
+        lines, orders = (log.read() for log in self.logs.values())
+        if lines is None or orders is None:
+            return [lambda df: df]
+        share = min(1.0, touched.count() / max(1, orders.count()))
+        n, kind = join_parts(math.ceil(lines.count() * share)), touched.schema["order_id"].dataType
+        if n == 1:
+            return [lambda df: df]
+        return [lambda df, i=i: df.filter(F.pmod(F.xxhash64(F.col("order_id").cast(kind)), F.lit(n)) == i)
+                for i in range(n)]
 
     def _prepare(self, batch_id: int, change: str) -> bool:
         """Writes the change set of a batch (False while nothing can be in the fact)."""
         touched = self._touched(batch_id)
         if touched is None:
             return False
-        versions, lines = self._of("orders", touched), self._of("lines", touched)
-        if versions is None or lines is None:
-            return False
-        # every month that a version of these orders was or is in (one row per
-        # calendar month): the only folders of the fact that are read and written
-        months = [r[0] for r in versions.select(year_month_key("order_date")).distinct().collect()]
-        new = self.fact_for(current_lines(lines).drop(BATCH, REPLACES),
-                            latest_orders(versions).drop(BATCH, REPLACES))
-        state = self._state()
+        state, months, stored, mode = self._state(), set(), self.fact(), "overwrite"
         known = StructType.fromJson(state["schema"]) if state["schema"] else None
-        schema, changes = reconcile(known, new.schema, self.policy, (FACT_PARTITION, "order_id"))
-        stored = self.fact()
-        old = (conform(stored.filter(F.col(FACT_PARTITION).isin(months)), schema)
-               .join(touched, "order_id", "left_semi") if stored is not None
-               else self.spark.createDataFrame([], schema))
-        touched.select("order_id").write.mode("overwrite").parquet(f"{change}/touched")
-        old.select(*schema.names).write.mode("overwrite").parquet(f"{change}/old")
-        _by_month(conform(new, schema)).parquet(f"{change}/new")
+        for part in self._parts(touched):
+            ids = part(touched)
+            versions, lines = self._of("orders", ids, part), self._of("lines", ids, part)
+            if versions is None or lines is None:
+                return False
+            # every month that a version of these orders was or is in (one row per
+            # calendar month): the only folders of the fact that are read and written
+            of_part = [r[0] for r in versions.select(year_month_key("order_date")).distinct().collect()]
+            new = self.fact_for(current_lines(lines).drop(BATCH, REPLACES),
+                                latest_orders(versions).drop(BATCH, REPLACES))
+            schema, changes = reconcile(known, new.schema, self.policy, (FACT_PARTITION, "order_id"))
+            old = (conform(part(stored.filter(_in_months(of_part))), schema)
+                   .join(ids, "order_id", "left_semi") if stored is not None
+                   else self.spark.createDataFrame([], schema))
+            _by_month(old.select(*schema.names), mode).parquet(f"{change}/old")
+            _by_month(conform(new, schema), mode).parquet(f"{change}/new")
+            months, mode = months | set(of_part), "append"
+        months = sorted(months, key=lambda m: (m is None, m))
         publish_text(self.spark, change, "ready.json", json.dumps({
             "batch": batch_id, "months": months, "schema": schema.jsonValue(),
             "changes": [c.as_dict() for c in changes]}))
@@ -148,6 +172,10 @@ class LandedSales:
     def merge(self, batch_id: int) -> DataFrame | None:
         """Brings the fact up to date with a landed batch; the fact as stored
         (None while nothing can be in it)."""
+        with freed_shuffles(self.spark):
+            return self._merge(batch_id)
+
+    def _merge(self, batch_id: int) -> DataFrame | None:
         if self.is_merged(batch_id):  # or nothing landed
             return self.fact()
         folders = self._folders(batch_id)
@@ -157,24 +185,34 @@ class LandedSales:
             return self.fact()
         info = json.loads(read_text(self.spark, f"{path}/ready.json"))
         schema = StructType.fromJson(info["schema"])
-        touched = self.spark.read.parquet(f"{path}/touched")
-        rows, stored = self.change(token)[1], self.fact()
+        old, new = self.change(token)
+        stored = self.fact()
+        there = new.select(FACT_PARTITION)
         if stored is not None:
-            kept = stored.filter(F.col(FACT_PARTITION).isin(info["months"])).join(touched, "order_id", "left_anti")
-            # the write replaces folders that it reads from; its new rows lie in the change set
-            _by_month(conform(kept, schema).hint("rebalance", FACT_PARTITION)).parquet(f"{path}/kept")
-            kept = self.spark.read.schema(schema).parquet(f"{path}/kept").select(*schema.names)
-            rows = kept.unionByName(rows)
-        # both come by month from their files: they are not shuffled again
-        _by_month(rows).option("partitionOverwriteMode", "dynamic").parquet(self.fact_path)
-        filled = {r[0] for r in rows.select(FACT_PARTITION).distinct().collect()}
-        for month in set(info["months"]) - filled:  # a month that its last order has left
-            delete_folder(self.spark, f"{self.fact_path}/{FACT_PARTITION}={month}")
+            there = there.unionByName(stored.filter(_in_months(info["months"])).select(FACT_PARTITION))
+        # months of about so many rows at a time: no more of them lie twice on disk
+        for months in month_parts(there):
+            rows, written = new.filter(_in_months(months)), {f"{path}/new"}
+            if stored is not None:
+                # an order of the change set has rows of these months in it, before or after (this merge may run again)
+                ids = old.select(FACT_PARTITION, "order_id").unionByName(new.select(FACT_PARTITION, "order_id"))
+                kept = stored.filter(_in_months(months)).join(
+                    ids.filter(_in_months(months)).select("order_id"), "order_id", "left_anti")
+                # the write replaces folders that it reads from; its new rows lie in the change set
+                _by_month(conform(kept, schema).hint("rebalance", FACT_PARTITION)).parquet(f"{path}/kept")
+                kept = self.spark.read.schema(schema).parquet(f"{path}/kept").select(*schema.names)
+                rows = kept.unionByName(rows)
+                written.add(f"{path}/kept")
+            # both come by month from their files: they are not shuffled again
+            _by_month(rows).option("partitionOverwriteMode", "dynamic").parquet(self.fact_path)
+            filled = {name for folder in written for name in child_names(self.spark, folder)}
+            for name in {_month_folder(m) for m in months} - filled:  # a month that its last order has left
+                delete_folder(self.spark, f"{self.fact_path}/{name}")
+            delete_folder(self.spark, f"{path}/kept")
         state = self._state()
         done = {"token": token, "folders": folders, "batch": batch_id, "changes": info["changes"]}
         publish_text(self.spark, f"{self.root}/fact_log", f"{state['number'] + 1:012d}.json", json.dumps(
             {"number": state["number"] + 1, "schema": info["schema"], "merged": state["merged"] + [done]}))
-        delete_folder(self.spark, f"{path}/kept")
         return self.fact()
 
     # ---- upkeep
@@ -203,10 +241,21 @@ class LandedSales:
             delete_folder(self.spark, f"{self.root}/changes/{token}")
 
 
-def _by_month(rows: DataFrame) -> DataFrameWriter:
+def _by_month(rows: DataFrame, mode: str = "overwrite") -> DataFrameWriter:
     """A write of fact rows by month, sorted by customer, in place of what is there."""
     order = [c for c in (FACT_PARTITION, "customer_key", "order_id") if c in rows.columns]
-    return rows.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(FACT_PARTITION)
+    return (rows.sortWithinPartitions(*order).write.mode(mode).option("compression", CODEC)
+                .option("parquet.dictionary.page.size", FACT_DICTIONARY).partitionBy(FACT_PARTITION))
+
+
+def _in_months(months: list[int | None]) -> Column:
+    """Rows of these months (None: of orders without a date)."""
+    found = F.col(FACT_PARTITION).isin([m for m in months if m is not None])
+    return found | F.col(FACT_PARTITION).isNull() if None in months else found
+
+
+def _month_folder(month: int | None) -> str:
+    return f"{FACT_PARTITION}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}"
 
 
 def latest_orders(versions: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finmart.sources.sinks import CODEC
 from finmart.sources.storage import child_names, delete_folder, publish_text, read_text
 from finmart.streaming.schema_change import Change, reconcile, union_conformed
 
@@ -82,20 +83,25 @@ class LandingLog:
     def bucket_of(self, key: str | Column, buckets: int | None = None) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(buckets or self.state()["buckets"])).cast("int")
 
-    def _write(self, rows: DataFrame, name: str, buckets: int) -> tuple[str, list[int]]:
+    def _write(self, rows: DataFrame, name: str, buckets: int, parts: int = 1) -> tuple[str, list[int]]:
         """Rows in a fresh folder by bucket, sorted by key inside the files (so a
         file's statistics narrow a search).  The hint lets Spark size the tasks: a
-        hot bucket is split, small ones share a task."""
+        hot bucket is split, small ones share a task.  ``parts`` are written one after
+        the other, so shuffle files hold one of them at a time; each reads ``rows``."""
         folder = f"data/{name}-{uuid.uuid4().hex[:12]}"
-        (rows.withColumn(BUCKET, self.bucket_of(self.key, buckets)).hint("rebalance", BUCKET)
-             .sortWithinPartitions(BUCKET, self.key).write.partitionBy(BUCKET)
-             .parquet(f"{self.root}/{folder}"))
+        rows = rows.withColumn(BUCKET, self.bucket_of(self.key, buckets))
+        for i in range(parts):
+            part = rows.filter(F.col(BUCKET) % parts == i) if parts > 1 else rows
+            (part.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, self.key).write
+                 .mode("append").option("compression", CODEC).partitionBy(BUCKET)
+                 .parquet(f"{self.root}/{folder}"))
         found = child_names(self.spark, f"{self.root}/{folder}")
         return folder, sorted(int(n.split("=")[1]) for n in found if n.startswith(f"{BUCKET}="))
 
-    def land(self, batch_id: int, df: DataFrame, replace: bool = False) -> list[Change]:
+    def land(self, batch_id: int, df: DataFrame, replace: bool = False, parts: int = 1) -> list[Change]:
         """Adds a batch (or replaces the batch of this id); what differed in its
-        schema.  ``replace``: its rows stand for all earlier rows of their keys."""
+        schema.  ``replace``: its rows stand for all earlier rows of their keys.
+        ``parts`` above 1: ``df`` is run so many times, and must give the same rows each time."""
         state = self.state()
         if any(batch_id in f["batches"] and len(f["batches"]) > 1 for f in state["folders"]):
             raise ValueError(f"batch {batch_id} is compacted, it can't be landed again")
@@ -103,7 +109,7 @@ class LandingLog:
         known = T.StructType.fromJson(state["schema"]) if state["schema"] and others else None
         schema, changes = reconcile(known, df.schema, self.policy, self.required)
         rows = df.withColumn(BATCH, F.lit(batch_id).cast("bigint")).withColumn(REPLACES, F.lit(replace))
-        folder, buckets = self._write(rows, f"{batch_id:012d}", state["buckets"])
+        folder, buckets = self._write(rows, f"{batch_id:012d}", state["buckets"], parts)
         entry = {"folder": folder, "batches": [batch_id], "buckets": buckets,
                  "schema": df.schema.jsonValue()}
         log = [c for c in state["changes"] if c["batch"] != batch_id]

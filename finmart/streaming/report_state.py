@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from finmart.functions.decimals import SUM_MONEY
 from finmart.functions.keys import year_month_key
 from finmart.plans.reports import MEASURES, customer_profitability
-from finmart.session import ensure_checkpoint_dir
+from finmart.session import ensure_checkpoint_dir, freed_shuffles
+from finmart.sources.sinks import CODEC
 from finmart.sources.storage import child_names, delete_folder, publish_text, read_text
 from finmart.streaming.incremental import LandedSales
 
@@ -96,8 +97,8 @@ class DayReport:
     def _write(self, rows: DataFrame, name: str, by: str, key: Column) -> dict[str, str]:
         """A fresh folder by ``by``; the folder of each value that has rows."""
         folder = f"{name}/{uuid.uuid4().hex[:12]}"
-        (rows.withColumn(by, key).hint("rebalance", by).write.partitionBy(by)
-             .parquet(f"{self.root}/{folder}"))
+        (rows.withColumn(by, key).hint("rebalance", by).write.option("compression", CODEC)
+             .partitionBy(by).parquet(f"{self.root}/{folder}"))
         found = child_names(self.spark, f"{self.root}/{folder}")
         return {n.split("=")[1]: f"{folder}/{n}" for n in found if n.startswith(f"{by}=")}
 
@@ -106,7 +107,8 @@ class DayReport:
         done = set(self.state()["applied"])
         todo = [t for t in self.sales.merged() if t not in done]
         for token in todo:
-            self._apply(token, dim_cust)
+            with freed_shuffles(self.spark):
+                self._apply(token, dim_cust)
         return len(todo)
 
     def _apply(self, token: str, dim_cust: DataFrame) -> None:

@@ -69,3 +69,19 @@ def test_a_followed_report_leaves_no_change_sets(spark, sales_made):
     want = models["rpt_customer_profitability_90d"]
     assert report.exceptAll(want).count() == 0 and want.exceptAll(report).count() == 0
 
+
+def test_the_batches_are_split_at_one_day(spark):
+    class Landed:
+        def __init__(self):
+            self.frames = []
+
+        def land(self, _, lines=None, orders=None, replace=False):
+            self.frames += [lines, orders]
+
+        def merge(self, _):
+            pass
+
+    landed = Landed()
+    jobs.changed_sales(spark, E._models(spark, SF_SMALL), landed)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in landed.frames]
+    assert len(plans) == 6 and not any("percentile" in p for p in plans)

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from finmart.session import scratch_path
 from finmart.sources import sinks
 from finmart.sources.storage import child_names
 from finmart.streaming import incremental, jobs
@@ -85,3 +84,26 @@ def test_the_batches_are_split_at_one_day(spark):
     jobs.changed_sales(spark, E._models(spark, SF_SMALL), landed)
     plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in landed.frames]
     assert len(plans) == 6 and not any("percentile" in p for p in plans)
+
+
+@pytest.mark.parametrize("job, n", [("incremental_fact", 2), ("late_order", 2), ("schema_change", 3)])
+def test_a_job_drops_each_change_set_after_its_merge(spark, monkeypatch, job, n):
+    class Sales:
+        def __init__(self):
+            self.calls = []
+
+        def __getattr__(self, name):
+            return lambda *a, **k: self.calls.append(name)
+
+    sales = Sales()
+    monkeypatch.setattr(jobs, "landed_sales", lambda *a, **k: sales)
+    getattr(jobs, job)(spark, E._models(spark, SF_SMALL))
+    assert sales.calls == ["land", "merge", "vacuum"] * n
+
+
+def test_a_stream_leaves_neither_change_sets_nor_old_reports(spark, sales_made):
+    models = E._models(spark, SF_SMALL)
+    report = jobs.report_refresh(spark, models, SF_SMALL)
+    sales, = sales_made
+    assert sales.merged() and not child_names(spark, f"{sales.root}/changes")
+    assert report.count() == models["rpt_customer_profitability_90d"].count()
